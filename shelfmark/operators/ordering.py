@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -62,7 +63,8 @@ def exact_percentiles(
     # One literal keeps the plan small, however many shares it lists.
     shares = F.split(F.lit(",".join(str(i / buckets) for i in range(1, buckets))), ",").cast("array<double>")
     cuts = rows.agg(F.percentile_approx("_v", shares, 10 * buckets)).first()[0] or []
-    splits = [float("-inf"), *sorted({c for c in cuts if c == c and abs(c) != float("inf")}), float("inf")]
+    inner = sorted({c for c in cuts if math.isfinite(c)}) or [0.0]
+    splits = [-math.inf, *inner, math.inf]
     bucketed = Bucketizer(splits=splits, inputCol="_v", outputCol="_b", handleInvalid="keep").transform(rows)
 
     in_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
