@@ -9,7 +9,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.session import materialise
+from shelfmark.session import BROADCAST_ROWS, materialise
 
 _SLOT_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | row
 
@@ -44,22 +44,80 @@ def dense_ids(names: DataFrame, name: str, id_col: str) -> DataFrame:
     return with_positions(names, [name], id_col, start=1)
 
 
+# A group of up to this many rows may be ordered inside one task.
+GROUP_ROWS = 1_000_000
+
+
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], buckets: int = 1024
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Mapping[str, float],
+    group_rows: int = GROUP_ROWS,
+    buckets: int = 1024,
 ) -> DataFrame:
     """Exact linear-interpolated percentiles per key, one column per entry of ``probs``.
 
-    ``percentile`` and ``median`` hold all distinct values of a group in one
-    task.  Here equi-depth cut points of the whole column (a fixed number of
-    doubles) split every group into buckets; bucket counts tell which bucket
-    holds each wanted rank, and only the rows of those buckets are shuffled
-    and ordered.  A group of any size meets at most 1/``buckets`` of all rows
-    in one task, give or take the accuracy of the sketch.
+    ``percentile`` and ``median`` hold all distinct values of a group in the
+    memory of one task.  Here groups up to ``group_rows`` are ordered by a
+    window, which spills.  Larger ones are never gathered: see
+    :func:`_bucket_ranks`.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
+    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > group_rows).select(*keys)
+    large_keys = large.limit(BROADCAST_ROWS + 1).count()
+    if not large_keys:
+        return _interpolated(_window_ranks(rows, keys, probs), keys, probs)
+    large = materialise(large, "large-groups")
+    marked = F.broadcast(large) if large_keys <= BROADCAST_ROWS else large
+    usual = _window_ranks(rows.join(marked, keys, "left_anti"), keys, probs)
+    split = _bucket_ranks(rows.join(marked, keys, "left_semi"), keys, probs, buckets)
+    return _interpolated(usual.unionByName(split), keys, probs)
+
+
+def _ranks(p: float) -> tuple[Column, Column]:
+    """Ranks from 0 next to a share of a group of ``_total`` rows."""
+    exact = F.lit(float(p)) * (F.col("_total") - 1).cast("double")
+    return F.floor(exact), F.ceil(exact)
+
+
+def _holds(rank: Column, first: str, n: Column) -> Column:
+    return (rank >= F.col(first)) & (rank < F.col(first) + n)
+
+
+def _wanted(probs: Mapping[str, float], first: str, n: Column) -> Column:
+    ranks = [rank for p in probs.values() for rank in _ranks(p)]
+    wanted = F.lit(False)
+    for rank in ranks:
+        wanted = wanted | _holds(rank, first, n)
+    return wanted
+
+
+def _window_ranks(rows: DataFrame, keys: list[str], probs: Mapping[str, float]) -> DataFrame:
+    """The rows at the wanted ranks: (keys, _v, _first, _c, _total)."""
+    in_key = Window.partitionBy(*keys)
+    ranked = rows.select(
+        *keys,
+        "_v",
+        (F.row_number().over(in_key.orderBy("_v")) - 1).cast("bigint").alias("_first"),
+        F.lit(1).cast("bigint").alias("_c"),
+        F.count(F.lit(1)).over(in_key).alias("_total"),
+    )
+    return ranked.where(_wanted(probs, "_first", F.col("_c")))
+
+
+def _bucket_ranks(rows: DataFrame, keys: list[str], probs: Mapping[str, float], buckets: int) -> DataFrame:
+    """The same for groups too large for one task.
+
+    Equi-depth cut points of the whole column (a fixed number of doubles)
+    split every group into buckets.  Bucket counts, combined on the map side,
+    tell which bucket holds each wanted rank; only the distinct values of
+    those buckets are shuffled and ordered.  One task meets at most about
+    1/``buckets`` of all rows, whatever the size of a group.
+    """
     # One literal keeps the plan small, however many shares it lists.
     shares = F.split(F.lit(",".join(str(i / buckets) for i in range(1, buckets))), ",").cast("array<double>")
     cuts = rows.agg(F.percentile_approx("_v", shares, 10 * buckets)).first()[0] or []
@@ -67,47 +125,43 @@ def exact_percentiles(
     splits = [-math.inf, *inner, math.inf]
     bucketed = Bucketizer(splits=splits, inputCol="_v", outputCol="_b", handleInvalid="keep").transform(rows)
 
-    in_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    in_key = Window.partitionBy(*keys)
     earlier = in_key.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    histogram = bucketed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    placed = histogram.select(
-        *keys,
-        "_b",
-        "_n",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(in_key).alias("_total"),
+    placed = (
+        bucketed.groupBy(*keys, "_b")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(
+            *keys,
+            "_b",
+            "_n",
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_n").over(in_key).alias("_total"),
+        )
     )
-
-    def ranks(p: float) -> tuple[Column, Column]:
-        exact = F.lit(float(p)) * (F.col("_total") - 1).cast("double")
-        return F.floor(exact), F.ceil(exact)
-
-    def covers(rank: Column, first: str, n: str) -> Column:
-        return (rank >= F.col(first)) & (rank < F.col(first) + F.col(n))
-
-    wanted = F.lit(False)
-    for p in probs.values():
-        for rank in ranks(p):
-            wanted = wanted | covers(rank, "_before", "_n")
     # Stored, so that Spark plans the join below with its true size.
-    hit = materialise(placed.where(wanted).select(*keys, "_b", "_before", "_total"), "ranks")
-
+    hit = materialise(
+        placed.where(_wanted(probs, "_before", F.col("_n"))).select(*keys, "_b", "_before", "_total"), "ranks"
+    )
     in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     values = (
         bucketed.join(hit, [*keys, "_b"])
         .groupBy(*keys, "_b", "_v")
         .agg(F.count(F.lit(1)).alias("_c"), F.max("_before").alias("_before"), F.max("_total").alias("_total"))
-        .withColumn("_first", F.col("_before") + F.coalesce(F.sum("_c").over(in_bucket), F.lit(0)))
     )
+    first = F.col("_before") + F.coalesce(F.sum("_c").over(in_bucket), F.lit(0))
+    return values.select(*keys, "_v", first.alias("_first"), "_c", "_total")
+
+
+def _interpolated(ranked: DataFrame, keys: list[str], probs: Mapping[str, float]) -> DataFrame:
     picks, results = [], []
     for i, (name, p) in enumerate(probs.items()):
-        low, high = ranks(p)
-        picks.append(F.max(F.when(covers(low, "_first", "_c"), F.col("_v"))).alias(f"_low{i}"))
-        picks.append(F.max(F.when(covers(high, "_first", "_c"), F.col("_v"))).alias(f"_high{i}"))
+        low, high = _ranks(p)
+        picks.append(F.max(F.when(_holds(low, "_first", F.col("_c")), F.col("_v"))).alias(f"_low{i}"))
+        picks.append(F.max(F.when(_holds(high, "_first", F.col("_c")), F.col("_v"))).alias(f"_high{i}"))
         exact = F.lit(float(p)) * (F.col("_total") - 1).cast("double")
         step = F.col(f"_high{i}") - F.col(f"_low{i}")
         results.append((F.col(f"_low{i}") + step * (exact - F.floor(exact).cast("double"))).alias(name))
-    return values.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks).select(*keys, *results)
+    return ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks).select(*keys, *results)
 
 
 def mode_per_key(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:

@@ -43,8 +43,8 @@ def test_exact_percentiles_with_a_hot_key(spark):
     data = {0: [draw.lognormvariate(3, 2) for _ in range(20000)], 1: [5.0] * 3000, 2: [1.0, 2.0], 3: [9.0]}
     data.update({k: [round(draw.random(), 2) for _ in range(k)] for k in range(4, 40)})
     df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs] + [(50, None), (None, 1.0)], "k int, v double")
-    for buckets in (8, 512):
-        out = exact_percentiles(df, ["k"], "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99, "top": 1.0}, buckets)
+    for group_rows, buckets in ((10**6, 1024), (0, 8), (20, 512), (5000, 64)):
+        out = exact_percentiles(df, ["k"], "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99, "top": 1.0}, group_rows, buckets)
         got = {r["k"]: r for r in out.collect()}
         assert set(got) == set(data)
         for k, values in data.items():
