@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.literals import is_unparsed, parse_literal
+from shelfmark.operators.ordering import first_per_key
 
 # Bounds of a 32-bit signed integer.
 INT32_MIN, INT32_MAX = -2147483648, 2147483647
@@ -78,12 +79,9 @@ def limit_records(df: DataFrame, n: int) -> DataFrame:
 def dedup_keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the first in ``order_by``.
 
-    ``order_by`` must order the rows of a key totally, exact copies aside.  A
-    minimum over rows combines on the map side, so a hot key costs one row per
-    task instead of one sort of all its rows.  Null keys form one group.
+    ``order_by`` must order the rows of a key totally, exact copies aside.
     """
-    first = F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.struct(*[F.col(c) for c in order_by]))
-    return df.groupBy(*key).agg(first.alias("_first")).select("_first.*")
+    return first_per_key(df, key, [F.col(c) for c in order_by])
 
 
 def duplicate_rows(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import exact_mean, first_item, round_half_up, true_count
-from shelfmark.operators.relational import first_games, top
+from shelfmark.operators.relational import detail_order, first_games, top
 from shelfmark.session import BROADCAST_ROWS
 
 CHUNK = "_chunk"
@@ -179,21 +179,19 @@ def game_details(
     high: float,
     limit: int | None = 100,
 ) -> DataFrame:
-    """Links are looked up for the first games of the report, then unwound and named.
+    """Links and then names are looked up and unwound, keeping games without any.
 
-    Every game gives at least one row, so a report of ``limit`` rows needs no
-    more than the first ``limit`` games (``appid`` is unique).
+    Each such step keeps every row it starts from, so a report of ``limit``
+    rows needs no more than the first ``limit`` rows of each step.
     """
     rows = games.where((F.col("price") >= low) & (F.col("price") <= high)).select(
         "appid", F.col("name").alias("game_name")
     )
-    if limit is not None:
-        rows = rows.orderBy("appid").limit(limit)
-    for table, _, id_col, out in bridges:
-        rows = lookup_unwind(rows, table, "appid", "game_appid", f"{out}_link", [id_col], keep_empty=True)
-    for _, dimension, id_col, out in bridges:
-        ids = rows.withColumn(f"{out}_id", F.col(f"{out}_link.{id_col}"))
-        rows = lookup_unwind(ids, dimension, f"{out}_id", id_col, f"{out}_info", ["name"], keep_empty=True)
-    named = rows.select("appid", "game_name", *[F.col(f"{out}_info.name").alias(out) for *_, out in bridges])
-    order = [F.asc("appid"), *[F.coalesce(F.col(out), F.lit("")).asc() for *_, out in bridges]]
-    return top(named, order, limit)
+    outs = [out for *_, out in bridges]
+    for step, (table, dimension, id_col, out) in enumerate(bridges):
+        rows = top(rows, detail_order(*outs[:step]), limit) if limit is not None else rows
+        linked = lookup_unwind(rows, table, "appid", "game_appid", "link", [id_col], keep_empty=True)
+        flat = linked.withColumn("link_id", F.col(f"link.{id_col}")).drop("link")
+        named = lookup_unwind(flat, dimension, "link_id", id_col, "info", ["name"], keep_empty=True)
+        rows = named.withColumn(out, F.col("info.name")).drop("info", "link_id")
+    return top(rows.select("appid", "game_name", *outs), detail_order(*outs), limit)

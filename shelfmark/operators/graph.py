@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import exact_mean, round_half_up, true_count
 from shelfmark.operators.normalize import list_entries
-from shelfmark.operators.relational import first_games, top
+from shelfmark.operators.ordering import first_per_key
+from shelfmark.operators.relational import detail_order, first_games, top
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Last write wins; combines on the map side, so a hot key stays cheap."""
-    last = F.max_by(F.struct(*df.columns), F.struct(*order_by))
-    return df.groupBy(*key).agg(last.alias("_last")).select("_last.*")
+    """Last write wins."""
+    return first_per_key(df, key, [F.col(c).desc() for c in order_by])
 
 
 def upsert_nodes(
@@ -266,19 +266,18 @@ def game_details(
 ) -> DataFrame:
     """Optional matches per pattern (edges, nodes, node key, output column).
 
-    Each game gives at least one row, so a report of ``limit`` rows needs no
-    more than the first ``limit`` games.
+    Each optional match keeps every row it starts from, so a report of
+    ``limit`` rows needs no more than the first ``limit`` rows of each step.
     """
     rows = games.where((F.col("price") >= low) & (F.col("price") <= high)).select(
         "appid", F.col("name").alias("game_name")
     )
-    if limit is not None:
-        rows = rows.orderBy("appid").limit(limit)
-    for edges, nodes, key, out in patterns:
-        rows = match(rows, "appid", edges, nodes, key, f"_{out}", ["name"], optional=True)
     outs = [out for *_, out in patterns]
-    named = rows.select("appid", "game_name", *[F.col(f"_{out}.name").alias(out) for out in outs])
-    return top(named, [F.asc("appid"), *[F.coalesce(F.col(o), F.lit("")).asc() for o in outs]], limit)
+    for step, (edges, nodes, key, out) in enumerate(patterns):
+        rows = top(rows, detail_order(*outs[:step]), limit) if limit is not None else rows
+        found = match(rows, "appid", edges, nodes, key, "_node", ["name"], optional=True)
+        rows = found.withColumn(out, F.col("_node.name")).drop("_node")
+    return top(rows.select("appid", "game_name", *outs), detail_order(*outs), limit)
 
 
 def count_by_label(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -8,23 +8,43 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.session import BROADCAST_ROWS, materialise
 
 _SLOT_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | row
 
 
-def with_positions(df: DataFrame, order_by: Sequence[str | Column], position: str, start: int = 0) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+    """One row per key, the first in ``order_by``; null keys form one group.
+
+    Spark turns this filter into a limit per group that also runs before the
+    shuffle, so a hot key sends one row per task.
+    """
+    window = Window.partitionBy(*keys).orderBy(*order_by)
+    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
+
+
+def with_positions(
+    df: DataFrame, order_by: Sequence[str], position: str, start: int = 0, unique: bool = False
+) -> DataFrame:
     """Number the rows ``start, start+1, ...`` in global order.
 
     Rows are range-partitioned and sorted inside each partition, written once,
     and shifted by the row counts of the partitions before theirs.  The count
-    table has one row per partition, so its broadcast is bounded.
+    table has one row per partition, so its broadcast is bounded.  Unless the
+    order is ``unique``, equal rows are told apart by a hash of the row and
+    their input partition, so that many equal rows spread over partitions.
     """
+    keyed, order = df, [F.col(c) for c in order_by]
+    if not unique:
+        hashable = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+        keyed = df.withColumn("_hash", F.xxhash64(*hashable)).withColumn("_input", F.spark_partition_id())
+        order += [F.col("_hash"), F.col("_input")]
     slotted = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_slot", F.monotonically_increasing_id())
+        keyed.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select(*df.columns, F.monotonically_increasing_id().alias("_slot"))
     )
     stored = materialise(slotted, "positions").withColumn("_part", F.shiftright("_slot", _SLOT_BITS))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -41,7 +61,7 @@ def with_positions(df: DataFrame, order_by: Sequence[str | Column], position: st
 
 def dense_ids(names: DataFrame, name: str, id_col: str) -> DataFrame:
     """Ids from 1 in code-point order of a column of distinct names."""
-    return with_positions(names, [name], id_col, start=1)
+    return with_positions(names, [name], id_col, start=1, unique=True)
 
 
 # A group of up to this many rows may be ordered inside one task.

@@ -110,7 +110,8 @@ def price_history_analysis(history: DataFrame, limit: int | None = 100) -> DataF
     return top(stats, [F.desc("price_points"), F.asc("game_appid")], limit)
 
 
-def _detail_order(*names: str) -> list[Column]:
+def detail_order(*names: str) -> list[Column]:
+    """Report order of game details; missing names sort as empty text."""
     return [F.asc("appid"), *[F.coalesce(F.col(n), F.lit("")).asc() for n in names]]
 
 
@@ -134,7 +135,7 @@ def game_details(
     names = [out for *_, out in bridges]
     rows = games.where(F.col("price").between(low, high)).select("appid", F.col("name").alias("game_name"))
     if limit is not None:
-        rows = top(rows, _detail_order(), limit)
+        rows = top(rows, detail_order(), limit)
         wanted = _small(rows.select(F.col("appid").alias("game_appid")), limit)
     for step, (table, dimension, id_col, out) in enumerate(bridges, start=1):
         links = table.select("game_appid", id_col)
@@ -146,8 +147,8 @@ def game_details(
             named = named.withColumn("_rank", F.row_number().over(per_game)).where(F.col("_rank") <= limit).drop("_rank")
         rows = rows.join(named, F.col("appid") == F.col("game_appid"), "left").drop("game_appid")
         if limit is not None and step < len(bridges):
-            rows = top(rows, _detail_order(*names[:step]), limit)
-    return top(rows.select("appid", "game_name", *names), _detail_order(*names), limit)
+            rows = top(rows, detail_order(*names[:step]), limit)
+    return top(rows.select("appid", "game_name", *names), detail_order(*names), limit)
 
 
 def games_by_genre_and_developer(

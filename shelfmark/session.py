@@ -7,15 +7,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the operators rely on.  UTC keeps timestamp text stable;
-# the rest lets adaptive execution split hot join keys even when the split
-# costs one more exchange downstream.
+# Runtime settings the operators rely on.  UTC keeps timestamp text stable.
+# Adaptive execution may split hot join keys even when that costs one more
+# exchange downstream.  "First rows per group" windows drop the other rows
+# before the shuffle, also for reports of up to a million rows.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 # A side is only ever marked for broadcast when its construction caps it at

@@ -72,8 +72,13 @@ def append_jdbc(
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
-    """Store a table bucketed and sorted by its join key: later joins on it need no shuffle."""
-    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    """Store a table bucketed by its join key: later joins on it need no shuffle.
+
+    For keys without hot values.  A bucket is read by one task, which adaptive
+    execution cannot split; leave a table with a hot key unbucketed.
+    """
+    spread = df.hint("rebalance", buckets, key)
+    writer = spread.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 

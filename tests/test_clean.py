@@ -98,3 +98,8 @@ def test_dataset_shape(spark):
 def test_nested_to_json(spark):
     df = spark.sql("select array('a') plain, array(named_struct('u', 1)) deep, map('k', 2) tags, array() none")
     assert tuple(clean.nested_to_json(df).select("plain", "deep", "tags").first()) == (["a"], '[{"u":1}]', '{"k":2}')
+
+
+def test_dedup_limits_hot_keys_before_the_shuffle(spark):
+    plan = clean.dedup_keep_first(duplicated(spark), ["k"], ["ord", "v"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange hashpartitioning") < plan.rindex("WindowGroupLimit")

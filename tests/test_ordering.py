@@ -65,3 +65,21 @@ def test_mode_takes_the_smallest_on_ties(spark, rows):
         "k string, g array<string>",
     )
     assert rows(mode_per_key(df, ["k"], "g", "m")) == [("d", ["b"]), ("t", ["a"])]
+
+
+def test_positions_spread_equal_rows_over_partitions(spark):
+    df = spark.range(60000, numPartitions=12).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(F.lit(-1)).alias("k"))
+    # Keep small partitions apart, in the shuffle and in the scan after it.
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.openCostInBytes": "134217728"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        numbered = with_positions(df, ["k"], "n", start=1)
+        parts = numbered.where("k = -1").select(F.spark_partition_id()).distinct().count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert parts > 1
+    assert numbered.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first() == (1, 60000, 60000)
+    assert numbered.where("k = -1").agg(F.min("n"), F.max("n")).first() == (1, 20000)
