@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import exact_mean, first_item, round_half_up, true_count
-from shelfmark.operators.relational import detail_order, first_games, top
+from shelfmark.operators import relational
+from shelfmark.operators.relational import first_games, left_join, top
 from shelfmark.session import BROADCAST_ROWS
 
 CHUNK = "_chunk"
@@ -74,7 +75,9 @@ def lookup_unwind(
     execution can split.
     """
     match = right.select(F.col(foreign).alias("_foreign"), F.struct(*(fields or right.columns)).alias(into))
-    return left.join(match, F.col(local) == F.col("_foreign"), "left" if keep_empty else "inner").drop("_foreign")
+    if keep_empty:
+        return left_join(left, match, local, "_foreign").drop("_foreign")
+    return left.join(match, F.col(local) == F.col("_foreign")).drop("_foreign")
 
 
 def unwind(df: DataFrame, path: str, keep_empty: bool = False) -> DataFrame:
@@ -179,19 +182,9 @@ def game_details(
     high: float,
     limit: int | None = 100,
 ) -> DataFrame:
-    """Links and then names are looked up and unwound, keeping games without any.
+    """Links and names looked up and unwound, keeping games without any.
 
-    Each such step keeps every row it starts from, so a report of ``limit``
-    rows needs no more than the first ``limit`` rows of each step.
+    A lookup whose array is unwound at once is a join, so the pipeline is the
+    same chain of joins as the relational form.
     """
-    rows = games.where((F.col("price") >= low) & (F.col("price") <= high)).select(
-        "appid", F.col("name").alias("game_name")
-    )
-    outs = [out for *_, out in bridges]
-    for step, (table, dimension, id_col, out) in enumerate(bridges):
-        rows = top(rows, detail_order(*outs[:step]), limit) if limit is not None else rows
-        linked = lookup_unwind(rows, table, "appid", "game_appid", "link", [id_col], keep_empty=True)
-        flat = linked.withColumn("link_id", F.col(f"link.{id_col}")).drop("link")
-        named = lookup_unwind(flat, dimension, "link_id", id_col, "info", ["name"], keep_empty=True)
-        rows = named.withColumn(out, F.col("info.name")).drop("info", "link_id")
-    return top(rows.select("appid", "game_name", *outs), detail_order(*outs), limit)
+    return relational.game_details(games, bridges, low, high, limit)

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import exact_mean, round_half_up, true_count
+from shelfmark.operators import relational
 from shelfmark.operators.normalize import list_entries
 from shelfmark.operators.ordering import first_per_key
-from shelfmark.operators.relational import detail_order, first_games, top
+from shelfmark.operators.relational import first_games, left_join, top
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -182,8 +183,9 @@ def match(
     """
     ends = end.select(F.col(end_key).alias("dst"), F.struct(*fields).alias(into))
     hops = edges.select("src", "dst").join(ends, "dst").drop("dst")
-    how = "left" if optional else "inner"
-    return start.join(hops, F.col(start_key) == F.col("src"), how).drop("src")
+    if optional:
+        return left_join(start, hops, start_key, "src").drop("src")
+    return start.join(hops, F.col(start_key) == F.col("src")).drop("src")
 
 
 def expensive_games(games: DataFrame, min_price: float, limit: int | None = 100) -> DataFrame:
@@ -266,18 +268,13 @@ def game_details(
 ) -> DataFrame:
     """Optional matches per pattern (edges, nodes, node key, output column).
 
-    Each optional match keeps every row it starts from, so a report of
-    ``limit`` rows needs no more than the first ``limit`` rows of each step.
+    A typed edge is a bridge between two node tables.
     """
-    rows = games.where((F.col("price") >= low) & (F.col("price") <= high)).select(
-        "appid", F.col("name").alias("game_name")
-    )
-    outs = [out for *_, out in patterns]
-    for step, (edges, nodes, key, out) in enumerate(patterns):
-        rows = top(rows, detail_order(*outs[:step]), limit) if limit is not None else rows
-        found = match(rows, "appid", edges, nodes, key, "_node", ["name"], optional=True)
-        rows = found.withColumn(out, F.col("_node.name")).drop("_node")
-    return top(rows.select("appid", "game_name", *outs), detail_order(*outs), limit)
+    bridges = [
+        (edges.select(F.col("src").alias("game_appid"), F.col("dst").alias(key)), nodes, key, out)
+        for edges, nodes, key, out in patterns
+    ]
+    return relational.game_details(games, bridges, low, high, limit)
 
 
 def count_by_label(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -115,6 +115,19 @@ def detail_order(*names: str) -> list[Column]:
     return [F.asc("appid"), *[F.coalesce(F.col(n), F.lit("")).asc() for n in names]]
 
 
+def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left join that leaves both sides free to be split where a key is hot.
+
+    Adaptive execution never splits the optional side of an outer join.  The
+    matches are therefore an inner join, and left rows without one are added
+    by an anti join against the distinct keys.
+    """
+    same = F.col(left_key) == F.col(right_key)
+    matched = left.join(right, same)
+    alone = left.join(right.select(right_key).distinct(), same, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def game_details(
     games: DataFrame,
     bridges: Sequence[tuple[DataFrame, DataFrame, str, str]],
@@ -125,27 +138,34 @@ def game_details(
     """Games with every combination of their names, unmatched games kept.
 
     ``bridges`` lists (bridge, dimension, id column, output column) in sort
-    order.  Output rows are ordered by game and then by these names, and each
-    left join keeps at least one row per left row.  So the first ``limit``
-    output rows can only come from the first ``limit`` rows of any prefix of
-    the joins, and from the first ``limit`` names of a game.  Cutting there is
-    exact, and no fan-out larger than the report is ever built.
-    ``appid`` must be unique in ``games``.
+    order; ``appid`` must be unique in ``games``.
+
+    Output rows are ordered by game and then by these names, and every game
+    and every name of it leads to at least one row.  So the first ``limit``
+    output rows can only come from the first ``limit`` games, from the first
+    ``limit`` names of a game, and from the first ``limit`` rows after each
+    join.  Cutting there is exact, and no fan-out larger than the report is
+    ever built.
     """
     names = [out for *_, out in bridges]
     rows = games.where(F.col("price").between(low, high)).select("appid", F.col("name").alias("game_name"))
     if limit is not None:
         rows = top(rows, detail_order(), limit)
-        wanted = _small(rows.select(F.col("appid").alias("game_appid")), limit)
+    chosen = rows.select(F.col("appid").alias("game_appid"))
+    wanted = chosen if limit is None else _small(chosen, limit)
     for step, (table, dimension, id_col, out) in enumerate(bridges, start=1):
-        links = table.select("game_appid", id_col)
-        if limit is not None:
-            links = links.join(wanted, "game_appid", "left_semi")
+        links = table.select("game_appid", id_col).join(wanted, "game_appid", "left_semi")
         named = links.join(dimension.select(id_col, F.col("name").alias(out)), id_col, "left").drop(id_col)
-        if limit is not None:
+        if limit is None:
+            # A null name for games without links turns the left join into an
+            # inner one, whose hot keys adaptive execution can split.
+            alone = chosen.join(links.select("game_appid").distinct(), "game_appid", "left_anti")
+            named = named.unionByName(alone.withColumn(out, F.lit(None).cast("string")))
+        else:
             per_game = Window.partitionBy("game_appid").orderBy(F.coalesce(F.col(out), F.lit("")))
             named = named.withColumn("_rank", F.row_number().over(per_game)).where(F.col("_rank") <= limit).drop("_rank")
-        rows = rows.join(named, F.col("appid") == F.col("game_appid"), "left").drop("game_appid")
+        how = "inner" if limit is None else "left"
+        rows = rows.join(named, F.col("appid") == F.col("game_appid"), how).drop("game_appid")
         if limit is not None and step < len(bridges):
             rows = top(rows, detail_order(*names[:step]), limit)
     return top(rows.select("appid", "game_name", *names), detail_order(*names), limit)

@@ -123,7 +123,11 @@ def anova_f(log: DataFrame) -> DataFrame:
 
 
 def describe_by_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """count, mean, std, min, quartiles and max per group; std of one value is null."""
+    """count, mean, std, min, quartiles and max per group; std of one value is null.
+
+    Interpolated quartiles are rounded to six digits, as their last bits depend
+    on how an engine orders the same arithmetic.
+    """
     x = F.col(value)
     base = df.groupBy(*keys).agg(
         F.count(x).alias("count"),
@@ -133,9 +137,8 @@ def describe_by_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFra
         F.max(x).alias("max"),
     )
     quartiles = exact_percentiles(df, keys, value, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    return base.join(quartiles, list(keys), "left").select(
-        *keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+    rounded = [round_half_up(F.col(c), 6).alias(c) for c in ("p25", "p50", "p75")]
+    return base.join(quartiles, list(keys), "left").select(*keys, "count", "mean", "std", "min", *rounded, "max")
 
 
 def histogram_bins(df: DataFrame, keys: Sequence[str], value: str, bins: int = 30) -> DataFrame:

@@ -408,8 +408,8 @@ _STATEMENTS: dict[str, str] = {
         FROM log WHERE success GROUP BY test_name, database) GROUP BY test_name)""",
     "describe_by_group": f"""SELECT test_name, database, COUNT(execution_time_ms) AS count, {mean("execution_time_ms")} AS mean,
         {r("SQRT(" + variance("execution_time_ms") + ")", 6)} AS std, MIN(execution_time_ms) AS min,
-        quantile_cont(execution_time_ms, 0.25) AS p25, quantile_cont(execution_time_ms, 0.5) AS p50,
-        quantile_cont(execution_time_ms, 0.75) AS p75, MAX(execution_time_ms) AS max FROM log GROUP BY test_name, database""",
+        {r("quantile_cont(execution_time_ms, 0.25)", 6)} AS p25, {r("quantile_cont(execution_time_ms, 0.5)", 6)} AS p50,
+        {r("quantile_cont(execution_time_ms, 0.75)", 6)} AS p75, MAX(execution_time_ms) AS max FROM log GROUP BY test_name, database""",
     "histogram_bins": """SELECT test_name, CAST(LEAST(FLOOR((execution_time_ms - lo)*CAST(30 AS DOUBLE)/(hi - lo)), 29) AS BIGINT) + 1 AS bin,
         COUNT(*) AS values FROM log JOIN (SELECT test_name, MIN(execution_time_ms) AS lo, MAX(execution_time_ms) AS hi
         FROM log GROUP BY test_name) USING (test_name) GROUP BY ALL""",

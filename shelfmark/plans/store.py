@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,24 +72,28 @@ class Store:
         self.root = root or f"{scratch_root(spark)}/store-{tag}"
         self._tables: dict[str, DataFrame] = {}
 
-    NAMES: Sequence[str] = (
-        "games", "developers", "publishers", "genres", "categories", "tags", "game_developers", "game_publishers",
-        "game_genres", "game_categories", "game_tags", "user_profiles", "game_review_summary", "developer_stats",
-        "game_price_history",
-    )
-
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = prepared(self.spark, self.root, name, getattr(self, f"_{name}"))
         return self._tables[name]
 
-    def build_all(self) -> None:
-        for name in self.NAMES:
-            self.table(name)
+    # Tables of one step do not read each other.
+    STEPS: Sequence[Sequence[str]] = (
+        ("games", "developers", "publishers", "genres", "categories", "tags", "user_profiles", "game_review_summary",
+         "game_price_history"),
+        ("game_developers", "game_publishers", "game_genres", "game_categories", "game_tags"),
+        ("developer_stats",),
+    )
+
+    def build_all(self, jobs: int = 4) -> None:
+        """Build every table; small tables of a step share the cluster, ``jobs`` at a time."""
+        with ThreadPoolExecutor(jobs) as pool:
+            for step in self.STEPS:
+                list(pool.map(self.table, step))
 
     def register_views(self, prefix: str = "") -> None:
         """Temporary views, so the queries can also be written as SQL text."""
-        for name in self.NAMES:
+        for name in (name for step in self.STEPS for name in step):
             self.table(name).createOrReplaceTempView(f"{prefix}{name}")
         self.catalog.reviews().createOrReplaceTempView(f"{prefix}reviews")
 

@@ -16,9 +16,13 @@ class Catalog:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """The scan of one table; files and schema are looked up once."""
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._scans[name]
 
     # -- games ---------------------------------------------------------------
 
