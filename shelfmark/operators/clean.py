@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.literals import is_unparsed, parse_literal
-from shelfmark.operators.ordering import first_per_key
+from shelfmark.operators.ordering import first_per_key, with_positions
+from shelfmark.session import BROADCAST_ROWS, materialise
 
 # Bounds of a 32-bit signed integer.
 INT32_MIN, INT32_MAX = -2147483648, 2147483647
 
+# Keys a top-k may bring into one task.
+TOP_KEYS = 1_000_000
+
 # Author columns of the review file and the names used afterwards.
 AUTHOR_COLUMNS = {
     "author.steamid": "author_steamid",
@@ -76,12 +80,54 @@ def limit_records(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n) if n > 0 else df
 
 
+def first_records(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest values of a unique key, in no order.
+
+    Sorting and limiting whole rows would bring them into one task.  Only the
+    key takes part in finding the last value to keep; the rows are filtered
+    where they are.
+    """
+    if n <= 0:
+        return df
+    keys = df.select(key).where(F.col(key).isNotNull())
+    if n <= TOP_KEYS:
+        last = keys.orderBy(key).limit(n).agg(F.max(key))
+    else:
+        last = with_positions(keys, [key], "_n", unique=True).where(F.col("_n") < n).agg(F.max(key))
+    return df.where(F.col(key) <= F.lit(last.first()[0]))
+
+
+def repeated_keys(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int]:
+    """Keys with more than one row, stored, and their number up to ``BROADCAST_ROWS + 1``."""
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    stored = materialise(counts.where(F.col("_n") > 1).select(*key), "repeated-keys")
+    return stored, stored.limit(BROADCAST_ROWS + 1).count()
+
+
+def _with_key_in(df: DataFrame, keys: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join against a small key table; null equals null."""
+    renamed = keys.select(*[F.col(c).alias(f"_key_{c}") for c in key])
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+    return df.join(F.broadcast(renamed), same, how)
+
+
 def dedup_keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the first in ``order_by``.
 
     ``order_by`` must order the rows of a key totally, exact copies aside.
+    Repeated keys are found from the key columns alone.  While they are few,
+    only their rows are shuffled and the others stay where they are.
     """
-    return first_per_key(df, key, [F.col(c) for c in order_by])
+    order = [F.col(c) for c in order_by]
+    keys, n = repeated_keys(df, key)
+    if n == 0:
+        return df
+    if n > BROADCAST_ROWS:
+        return first_per_key(df, key, order)
+    single = _with_key_in(df, keys, key, "left_anti")
+    return single.unionByName(first_per_key(_with_key_in(df, keys, key, "left_semi"), key, order))
 
 
 def duplicate_rows(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -91,9 +137,11 @@ def duplicate_rows(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -
     removed for certain.  Only the partition firsts, at most one per key and
     input partition, meet in a second window; the others stay spread.
     """
+    keys, n = repeated_keys(df, key)
+    rows = _with_key_in(df, keys, key, "left_semi") if n <= BROADCAST_ROWS else df
     order = [F.col(c) for c in order_by]
     local = Window.partitionBy(*key, "_part").orderBy(*order)
-    marked = df.withColumn("_part", F.spark_partition_id()).withColumn("_local", F.row_number().over(local) == 1)
+    marked = rows.withColumn("_part", F.spark_partition_id()).withColumn("_local", F.row_number().over(local) == 1)
     spread = F.when(~F.col("_local"), F.col("_part"))
     final = Window.partitionBy(*key, "_local", "_spread").orderBy(*order, "_part")
     ranked = marked.withColumn("_spread", spread).withColumn("_rank", F.row_number().over(final))

@@ -100,6 +100,29 @@ def test_nested_to_json(spark):
     assert tuple(clean.nested_to_json(df).select("plain", "deep", "tags").first()) == (["a"], '[{"u":1}]', '{"k":2}')
 
 
-def test_dedup_limits_hot_keys_before_the_shuffle(spark):
-    plan = clean.dedup_keep_first(duplicated(spark), ["k"], ["ord", "v"])._jdf.queryExecution().executedPlan().toString()
+def test_dedup_limits_hot_keys_before_the_shuffle(spark, monkeypatch, rows):
+    df = duplicated(spark)
+    few = clean.dedup_keep_first(df, ["k"], ["ord", "v"])
+    monkeypatch.setattr(clean, "BROADCAST_ROWS", 1)
+    many = clean.dedup_keep_first(df, ["k"], ["ord", "v"])
+    assert rows(few) == rows(many)
+    assert rows(many.unionByName(clean.duplicate_rows(df, ["k"], ["ord", "v"]))) == rows(df)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    # Plans print from the last step to the first: limit, exchange, limit.
     assert plan.index("WindowGroupLimit") < plan.index("Exchange hashpartitioning") < plan.rindex("WindowGroupLimit")
+
+
+def test_dedup_leaves_unique_keys_alone(spark):
+    df = spark.range(100).withColumnRenamed("id", "k")
+    assert clean.dedup_keep_first(df, ["k"], ["k"]) is df
+    assert clean.duplicate_rows(df, ["k"], ["k"]).count() == 0
+
+
+def test_first_records(spark, monkeypatch, rows):
+    df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k"), F.lit("x").alias("v")).repartition(5)
+    expected = [(i, "x") for i in range(250)]
+    assert sorted(rows(clean.first_records(df, "k", 250))) == expected
+    monkeypatch.setattr(clean, "TOP_KEYS", 10)
+    assert sorted(rows(clean.first_records(df, "k", 250))) == expected
+    assert clean.first_records(df, "k", 5000).count() == 1000
+    assert clean.first_records(df, "k", 0) is df
