@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import exact_mean, first_item, round_half_up, true_count
 from shelfmark.operators import relational
-from shelfmark.operators.relational import first_games, left_join, top
+from shelfmark.operators.relational import first_games, id_bounds, left_join, top
 from shelfmark.session import BROADCAST_ROWS
 
 CHUNK = "_chunk"
@@ -131,7 +131,8 @@ def review_stats_by_game(
     n = games_limit if limit is None else min(games_limit, limit)
     ids = F.broadcast(first_games(games, min_price, n))
     grouped = (
-        reviews.join(ids, F.col("app_id") == F.col("appid"), "left_semi")
+        reviews.where(id_bounds(ids, "app_id"))
+        .join(ids, F.col("app_id") == F.col("appid"), "left_semi")
         .groupBy("app_id")
         .agg(
             F.count(F.lit(1)).alias("total_reviews"),

@@ -16,7 +16,7 @@ from shelfmark.functions.scalars import exact_mean, round_half_up, true_count
 from shelfmark.operators import relational
 from shelfmark.operators.normalize import list_entries
 from shelfmark.operators.ordering import first_per_key
-from shelfmark.operators.relational import first_games, left_join, top
+from shelfmark.operators.relational import first_games, id_bounds, left_join, top
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -220,7 +220,8 @@ def review_stats_by_game(
     n = games_limit if limit is None else min(games_limit, limit)
     chosen = F.broadcast(first_games(games, min_price, n).withColumnRenamed("appid", "app_id"))
     rows = (
-        reviews.join(chosen, "app_id")
+        reviews.where(id_bounds(chosen, "app_id"))
+        .join(chosen, "app_id")
         .groupBy("app_id")
         .agg(
             F.count(F.lit(1)).alias("total_reviews"),

@@ -58,6 +58,17 @@ def first_games(games: DataFrame, min_price: float, n: int) -> DataFrame:
     return games.where(F.col("price") > min_price).select("appid").orderBy("appid").limit(n)
 
 
+def id_bounds(ids: DataFrame, key: str) -> Column:
+    """Condition that ``key`` lies between the smallest and largest of a short list of ids.
+
+    A literal range reaches the scan.  Over tables stored in key order it skips
+    all files and row groups of other keys, as an index would; the exact join
+    with the ids still follows.
+    """
+    low, high = ids.agg(F.min(ids.columns[0]), F.max(ids.columns[0])).first()
+    return F.lit(False) if low is None else F.col(key).between(low, high)
+
+
 def review_aggregates(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("app_id").agg(
         F.count(F.lit(1)).alias("total_reviews"),
@@ -71,14 +82,15 @@ def review_stats_by_game(
 ) -> DataFrame:
     n = games_limit if limit is None else min(games_limit, limit)
     chosen = _small(first_games(games, min_price, n), n)
-    stats = review_aggregates(reviews.join(chosen, F.col("app_id") == F.col("appid")))
+    candidates = reviews.where(id_bounds(chosen, "app_id"))
+    stats = review_aggregates(candidates.join(chosen, F.col("app_id") == F.col("appid")))
     return top(stats, [F.desc("total_reviews"), F.asc("app_id")], limit)
 
 
 def semi_join_reviews(games: DataFrame, reviews: DataFrame, min_price: float = 0, games_limit: int = 20) -> DataFrame:
     """Reviews of the first games, the ids coming from a query instead of a literal list."""
     chosen = _small(first_games(games, min_price, games_limit), games_limit)
-    return reviews.join(chosen, F.col("app_id") == F.col("appid"), "left_semi")
+    return reviews.where(id_bounds(chosen, "app_id")).join(chosen, F.col("app_id") == F.col("appid"), "left_semi")
 
 
 def developer_statistics(
@@ -153,8 +165,12 @@ def game_details(
         rows = top(rows, detail_order(), limit)
     chosen = rows.select(F.col("appid").alias("game_appid"))
     wanted = chosen if limit is None else _small(chosen, limit)
+    id_range = F.lit(True) if limit is None else id_bounds(chosen, "game_appid")
     for step, (table, dimension, id_col, out) in enumerate(bridges, start=1):
-        links = table.select("game_appid", id_col).join(wanted, "game_appid", "left_semi")
+        links = table.select("game_appid", id_col)
+        if limit is not None:
+            links = links.where(id_range)
+        links = links.join(wanted, "game_appid", "left_semi")
         named = links.join(dimension.select(id_col, F.col("name").alias(out)), id_col, "left").drop(id_col)
         if limit is None:
             # A null name for games without links turns the left join into an

@@ -79,7 +79,8 @@ def append_table(store: Store) -> DataFrame:
     games = store.catalog.games_nested().select("appid", "name", "price", "genres")
     for part in (games.where("price <= 910"), games.where("price > 910")):
         sinks.append_table(part, table, json_columns=["genres"], column_types={"name": "string"}, path=path)
-    return store.spark.table(table)
+    sinks.drop_tables(store.spark, [table])  # the catalogue entry; the files stay
+    return store.spark.read.parquet(path)
 
 
 @query("document_sink")
@@ -298,7 +299,7 @@ def games_with_developers(store: Store, limit: int | None = 100) -> DataFrame:
 
 @query("review_stats_by_game")
 def review_stats_by_game(store: Store, limit: int | None = 100) -> DataFrame:
-    return relational.review_stats_by_game(store.table("games"), store.catalog.reviews(), limit)
+    return relational.review_stats_by_game(store.table("games"), store.table("reviews"), limit)
 
 
 @query("developer_statistics")
@@ -308,7 +309,7 @@ def developer_statistics(store: Store, limit: int | None = 100) -> DataFrame:
 
 @query("price_history_analysis")
 def price_history_analysis(store: Store, limit: int | None = 100) -> DataFrame:
-    return relational.price_history_analysis(store.catalog.price_history(), limit)
+    return relational.price_history_analysis(store.table("prices"), limit)
 
 
 @query("multi_join_details")
@@ -340,7 +341,7 @@ def games_with_summary(store: Store, limit: int | None = 100) -> DataFrame:
 
 
 def late_reviews(store: Store) -> DataFrame:
-    return store.catalog.reviews().where("timestamp_created >= '2001-01-01'")
+    return store.table("reviews").where("timestamp_created >= '2001-01-01'")
 
 
 @query("most_reviewed")
@@ -350,7 +351,7 @@ def most_reviewed(store: Store, limit: int | None = 20) -> DataFrame:
 
 @query("semi_join_reviews")
 def semi_join_reviews(store: Store) -> DataFrame:
-    reviews = store.catalog.reviews().select("review_id", "app_id", "language", "votes_helpful")
+    reviews = store.table("reviews").select("review_id", "app_id", "language", "votes_helpful")
     return relational.semi_join_reviews(store.table("games"), reviews)
 
 
@@ -418,7 +419,7 @@ def games_with_developers_documents(store: Store, limit: int | None = 100) -> Da
 
 @query("review_stats_by_game_documents")
 def review_stats_by_game_documents(store: Store, limit: int | None = 100) -> DataFrame:
-    return documents.review_stats_by_game(store.table("games"), store.catalog.reviews(), limit)
+    return documents.review_stats_by_game(store.table("games"), store.table("reviews"), limit)
 
 
 @query("developer_statistics_documents")
@@ -428,7 +429,7 @@ def developer_statistics_documents(store: Store, limit: int | None = 100) -> Dat
 
 @query("price_history_analysis_documents")
 def price_history_analysis_documents(store: Store, limit: int | None = 100) -> DataFrame:
-    return documents.price_history_analysis(store.catalog.price_history(), limit)
+    return documents.price_history_analysis(store.table("prices"), limit)
 
 
 @query("multi_join_details_documents")
@@ -466,7 +467,7 @@ def graph_optional_match(store: Store) -> DataFrame:
 
 @query("graph_group")
 def graph_group(store: Store, limit: int | None = 100) -> DataFrame:
-    return graph.group_prices(store.catalog.price_history(), limit)
+    return graph.group_prices(store.table("prices"), limit)
 
 
 @query("simple_select_graph")
@@ -487,7 +488,7 @@ def games_with_developers_graph(store: Store, limit: int | None = 100) -> DataFr
 
 @query("review_stats_by_game_graph")
 def review_stats_by_game_graph(store: Store, limit: int | None = 100) -> DataFrame:
-    return graph.review_stats_by_game(store.table("games"), store.catalog.reviews(), limit)
+    return graph.review_stats_by_game(store.table("games"), store.table("reviews"), limit)
 
 
 @query("developer_statistics_graph")

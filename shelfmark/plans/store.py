@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfmark.operators import normalize, summaries
 from shelfmark.session import scratch_root
 from shelfmark.sources.catalog import Catalog
-from shelfmark.sources.sinks import prepared
+from shelfmark.sources.sinks import in_key_order, prepared
 
 # Base date of the snapshot series built with the store.
 SNAPSHOT_BASE = "2024-06-30"
@@ -74,12 +74,28 @@ class Store:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = prepared(self.spark, self.root, name, getattr(self, f"_{name}"))
+            self._tables[name] = prepared(self.spark, self.root, name, lambda: self._build(name))
         return self._tables[name]
 
+    # Tables that reports read for a few games are stored in game order; the
+    # second key splits a game with very many rows.
+    KEY_ORDER: Mapping[str, Sequence[str]] = {
+        "reviews": ("app_id", "review_id"),
+        "prices": ("game_appid", "recorded_date", "price"),
+        "game_developers": ("game_appid", "developer_id"),
+        "game_publishers": ("game_appid", "publisher_id"),
+        "game_genres": ("game_appid", "genre_id"),
+        "game_categories": ("game_appid", "category_id"),
+        "game_tags": ("game_appid", "tag_id"),
+    }
+
+    def _build(self, name: str) -> DataFrame:
+        table = getattr(self, f"_{name}")()
+        return in_key_order(table, *self.KEY_ORDER[name]) if name in self.KEY_ORDER else table
+
     # Tables of one step do not read each other.
     STEPS: Sequence[Sequence[str]] = (
-        ("games", "developers", "publishers", "genres", "categories", "tags", "user_profiles", "game_review_summary",
+        ("games", "reviews", "prices", "developers", "publishers", "genres", "categories", "tags", "user_profiles", "game_review_summary",
          "game_price_history"),
         ("game_developers", "game_publishers", "game_genres", "game_categories", "game_tags"),
         ("developer_stats",),
@@ -95,11 +111,16 @@ class Store:
         """Temporary views, so the queries can also be written as SQL text."""
         for name in (name for step in self.STEPS for name in step):
             self.table(name).createOrReplaceTempView(f"{prefix}{name}")
-        self.catalog.reviews().createOrReplaceTempView(f"{prefix}reviews")
 
     def _games(self) -> DataFrame:
         return self.catalog.games()
 
+    def _reviews(self) -> DataFrame:
+        return self.catalog.reviews()
+
+    def _prices(self) -> DataFrame:
+        return self.catalog.price_history()
+
     def _entries(self, column: str) -> DataFrame:
         if column == "developers":
             return self.catalog.developer_entries()

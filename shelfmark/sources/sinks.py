@@ -82,6 +82,14 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
+def in_key_order(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows range-partitioned and sorted by ``keys``, for tables filtered by the first key.
+
+    The further keys split a hot value of the first one over partitions.
+    """
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
 def write_documents(df: DataFrame, path: str, batch_size: int = 0) -> None:
     """One JSON document per row; ``batch_size`` caps the documents per file."""
     writer = df.write.mode("overwrite")

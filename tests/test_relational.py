@@ -72,3 +72,20 @@ def test_first_games_limit_comes_before_the_join(spark):
     assert out.count() == 20
     assert out.first()["avg_helpful_votes"] == 2.35
     assert relational.review_stats_by_game(games, reviews, 5).count() == 5
+
+
+def test_a_few_games_reach_the_scan_as_a_range(spark, tmp_path):
+    from shelfmark.sources.sinks import in_key_order
+
+    games = spark.range(1000, 1050).select(F.col("id").alias("appid"), F.lit(1.0).alias("price"))
+    reviews = spark.range(20000).select(
+        (F.col("id") % 5000).alias("app_id"), "id", F.lit(True).alias("recommended"), F.lit(1.0).alias("votes_helpful")
+    )
+    in_key_order(reviews, "app_id", "id").write.parquet(str(tmp_path / "reviews"))
+    stored = spark.read.parquet(str(tmp_path / "reviews"))
+    out = relational.review_stats_by_game(games, stored, 100)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(app_id,1000)" in plan and "LessThanOrEqual(app_id,1019)" in plan
+    assert out.agg(F.count("*"), F.sum("total_reviews")).first() == (20, 80)
+    none = relational.review_stats_by_game(games.where("price > 5"), stored, 100)
+    assert none.count() == 0
