@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -57,7 +57,7 @@ def read_large_csv(spark: SparkSession, path: str, types: Mapping[str, str]) ->
     )
     starts = materialise(starts, "csv-blocks")
     records = lines.join(F.broadcast(starts), ["file", "block"]).mapInPandas(
-        _cut_records, "file string, block bigint, kind int, value string"
+        _record_cutter(), "file string, block bigint, kind int, value string"
     )
     whole = records.where(F.col("kind") == WHOLE).select("value")
     # Order inside a block: the end of an earlier record, then the start of a later one.
@@ -79,51 +79,50 @@ def read_large_csv(spark: SparkSession, path: str, types: Mapping[str, str]) ->
 HEAD, MIDDLE, TAIL, WHOLE = 0, 1, 2, 3
 
 
-def _cut_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Cut the lines of each (file, block) run into records and border pieces."""
-    current = None
-    inside = False  # the next line continues a record
-    pending: list[str] = []
-    pending_is_head = False
+def _record_cutter() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The function that cuts the lines of each (file, block) run into records.
 
-    def piece(key, kind, value) -> pd.DataFrame:
+    It is made here, not defined at module level, so that it travels to the
+    executors whole and they need no copy of this package.
+    """
+
+    def piece(key: tuple, kind: int, value: str) -> pd.DataFrame:
         return pd.DataFrame({"file": [key[0]], "block": [key[1]], "kind": [kind], "value": [value]})
 
-    def finish() -> list[pd.DataFrame]:
-        if not pending:
-            return []
-        kind = MIDDLE if pending_is_head else TAIL
-        return [piece(current, kind, "\n".join(pending))]
-
-    for batch in batches:
-        runs = ((batch["file"] != batch["file"].shift()) | (batch["block"] != batch["block"].shift())).cumsum()
-        for _, run in batch.groupby(runs, sort=False):
-            key = (run["file"].iloc[0], int(run["block"].iloc[0]))
-            out: list[pd.DataFrame] = []
-            fresh = key != current
-            if fresh:
-                out += finish()
-                current, pending = key, []
-                inside = bool(run["open"].iloc[0])
-                pending_is_head = inside
-            values = run["value"]
-            open_after = (int(inside) + values.str.count('"').cumsum().to_numpy()) % 2 == 1
-            starts = ~pd.Series(open_after).shift(fill_value=inside).to_numpy(dtype=bool)
-            record = starts.cumsum()
-            texts = values.groupby(record).agg("\n".join)
-            if 0 in texts.index:
-                pending.append(texts.loc[0])
-                texts = texts.drop(0)
-                if len(texts) or not open_after[-1]:
-                    out.append(piece(key, HEAD if pending_is_head else WHOLE, "\n".join(pending)))
-                    pending, pending_is_head = [], False
-            inside = bool(open_after[-1])
-            if inside and len(texts):
-                pending, pending_is_head = [texts.iloc[-1]], False
-                texts = texts.iloc[:-1]
-            if fresh and key[1] == 0 and len(texts):
-                texts = texts.iloc[1:]  # header line
-            if len(texts):
-                out.append(pd.DataFrame({"file": key[0], "block": key[1], "kind": WHOLE, "value": texts.to_numpy()}))
-            yield from out
-    yield from finish()
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current = None
+        inside = False  # the next line continues a record
+        pending: list[str] = []
+        pending_is_head = False
+        for batch in batches:
+            runs = ((batch["file"] != batch["file"].shift()) | (batch["block"] != batch["block"].shift())).cumsum()
+            for _, run in batch.groupby(runs, sort=False):
+                key = (run["file"].iloc[0], int(run["block"].iloc[0]))
+                fresh = key != current
+                if fresh:
+                    if pending:
+                        yield piece(current, MIDDLE if pending_is_head else TAIL, "\n".join(pending))
+                    current, pending = key, []
+                    inside = pending_is_head = bool(run["open"].iloc[0])
+                values = run["value"]
+                open_after = (int(inside) + values.str.count('"').cumsum().to_numpy()) % 2 == 1
+                starts = ~pd.Series(open_after).shift(fill_value=inside).to_numpy(dtype=bool)
+                texts = values.groupby(starts.cumsum()).agg("\n".join)
+                if 0 in texts.index:
+                    pending.append(texts.loc[0])
+                    texts = texts.drop(0)
+                    if len(texts) or not open_after[-1]:
+                        yield piece(key, HEAD if pending_is_head else WHOLE, "\n".join(pending))
+                        pending, pending_is_head = [], False
+                inside = bool(open_after[-1])
+                if inside and len(texts):
+                    pending, pending_is_head = [texts.iloc[-1]], False
+                    texts = texts.iloc[:-1]
+                if fresh and key[1] == 0 and len(texts):
+                    texts = texts.iloc[1:]  # header line
+                if len(texts):
+                    yield pd.DataFrame({"file": key[0], "block": key[1], "kind": WHOLE, "value": texts.to_numpy()})
+        if pending:
+            yield piece(current, MIDDLE if pending_is_head else TAIL, "\n".join(pending))
+
+    return cut
