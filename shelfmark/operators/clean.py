@@ -72,7 +72,8 @@ def epoch_to_timestamp(df: DataFrame, columns: Sequence[str], unit: str | None =
 
 
 def sort_by_column(df: DataFrame, column: str) -> DataFrame:
-    return df.orderBy(column) if column in df.columns else df
+    """Ascending, missing values last; no change when the column is absent."""
+    return df.orderBy(F.col(column).asc_nulls_last()) if column in df.columns else df
 
 
 def limit_records(df: DataFrame, n: int) -> DataFrame:
@@ -81,7 +82,7 @@ def limit_records(df: DataFrame, n: int) -> DataFrame:
 
 
 def first_records(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` rows with the smallest values of a unique key, in no order.
+    """The ``n`` rows with the smallest values of a unique key, in no order; a null key comes last.
 
     Sorting and limiting whole rows would bring them into one task.  Only the
     key takes part in finding the last value to keep; the rows are filtered
@@ -91,10 +92,11 @@ def first_records(df: DataFrame, key: str, n: int) -> DataFrame:
         return df
     keys = df.select(key).where(F.col(key).isNotNull())
     if n <= TOP_KEYS:
-        last = keys.orderBy(key).limit(n).agg(F.max(key))
+        kept = keys.orderBy(key).limit(n)
     else:
-        last = with_positions(keys, [key], "_n", unique=True).where(F.col("_n") < n).agg(F.max(key))
-    return df.where(F.col(key) <= F.lit(last.first()[0]))
+        kept = with_positions(keys, [key], "_n", unique=True).where(F.col("_n") < n)
+    last, found = kept.agg(F.max(key), F.count(key)).first()
+    return df if found < n else df.where(F.col(key) <= F.lit(last))
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int]:
@@ -149,10 +151,15 @@ def duplicate_rows(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -
 
 
 def top_duplicate_keys(df: DataFrame, key: str, limit: int = 10) -> DataFrame:
-    """Keys with the most removed rows, i.e. copies beyond the first."""
+    """Keys with the most removed rows, i.e. copies beyond the first; a null key is no key."""
     removed = (F.count(F.lit(1)) - 1).alias("removed_rows")
     return (
-        df.groupBy(key).agg(removed).where("removed_rows > 0").orderBy(F.desc("removed_rows"), F.asc(key)).limit(limit)
+        df.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(removed)
+        .where("removed_rows > 0")
+        .orderBy(F.desc("removed_rows"), F.asc(key))
+        .limit(limit)
     )
 
 

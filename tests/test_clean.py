@@ -48,9 +48,11 @@ def test_epoch_to_timestamp(spark):
 
 
 def test_sort_and_limit(spark):
-    df = spark.createDataFrame([(3,), (1,), (2,)], ["k"])
+    df = spark.createDataFrame([(3,), (1,), (2,), (None,)], ["k"])
+    assert [r.k for r in clean.sort_by_column(df, "k").collect()] == [1, 2, 3, None]
+    assert clean.first_records(df, "k", 3).count() == 3 and clean.first_records(df, "k", 4).count() == 4
     assert [r.k for r in clean.limit_records(clean.sort_by_column(df, "k"), 2).collect()] == [1, 2]
-    assert clean.limit_records(df, 0).count() == 3
+    assert clean.limit_records(df, 0).count() == 4
     assert clean.sort_by_column(df, "absent") is df
 
 
@@ -69,7 +71,7 @@ def test_dedup_keeps_the_first_and_reports_the_rest(spark, rows):
     assert kept.where("k is null").collect() == [(None, 1, "a")]
     assert kept.count() == 500
     assert rows(kept.unionByName(removed)) == rows(df)
-    assert rows(clean.top_duplicate_keys(df, "k")) == [(1, 2999), (None, 1)]
+    assert rows(clean.top_duplicate_keys(df, "k")) == [(1, 2999)]
 
 
 def test_nan_to_null(spark):
