@@ -56,7 +56,10 @@ def lookup(
         .agg(F.sort_array(F.collect_list("_item")).alias(into))
     )
     items = F.coalesce(F.col(into), F.array().cast(nested.schema[into].dataType))
-    joined = left.join(nested, F.col(local) == F.col("_foreign"), "left")
+    if hot_keys:  # the chunks of one key may have to be split over tasks
+        joined = left_join(left, nested, local, "_foreign")
+    else:
+        joined = left.join(nested, F.col(local) == F.col("_foreign"), "left")
     return joined.select(*left.columns, F.coalesce(CHUNK, F.lit(0)).alias(CHUNK), items.alias(into))
 
 
