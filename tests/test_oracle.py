@@ -5,7 +5,7 @@ import pytest
 from compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.01"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry.REGISTRY, entry.ORACLE
 
 
 @pytest.fixture(scope="module")
