@@ -201,3 +201,18 @@ def near_duplicates(
     out = out.withColumn("component_id", F.when(F.col("set_id").isNull(), F.col("ident")).otherwise(F.col("component_id")))
     kept = F.coalesce(F.col("ident") == F.col("component_id"), F.lit(True))
     return out.select(F.col("ident").alias(ident), "set_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, banding: Banding = Banding(), ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each component.
+
+    Rows without ident or without words stay; rows that repeat an ident and its text leave one.
+    """
+    verdict = near_duplicates(docs, banding, ident, text)
+    kept = verdict.where(F.col("kept") & F.col(ident).isNotNull() & F.col("set_id").isNotNull())
+    kept = materialise(kept.select(F.col(ident).alias("_kept")).distinct(), "kept")
+    blank = F.coalesce(~F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
+    stay = docs.where(F.col(ident).isNull() | blank)
+    rest = docs.where(F.col(ident).isNotNull() & ~blank).withColumn("_hash", F.xxhash64(text))
+    once = rest.join(kept, F.col(ident).cast("long") == F.col("_kept")).dropDuplicates([ident, "_hash"])
+    return once.select(*docs.columns).unionByName(stay)

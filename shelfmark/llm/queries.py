@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import minhash, toxicity
+from shelfmark.llm import lines, minhash, mixing, packing, toxicity
 from shelfmark.llm.common import prepared, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +36,24 @@ CONTRACT_BANDING = minhash.Banding(words=3, percent=85, subkeys=8, values=3)
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(prepared(spark), folder, "documents")
     return minhash.near_duplicates(docs, CONTRACT_BANDING).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(prepared(spark), folder, "documents").select("doc_id", "text")
+    shorter = lines.without_repeated_lines(docs.withColumn("n_lines", F.size(F.split("text", "\n", -1))))
+    return shorter.select("doc_id", "n_lines", F.length("text").alias("n_chars_left"), F.md5("text").alias("text_md5"))
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(prepared(spark), folder, "documents")
+    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+@query
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed_sizes(read(prepared(spark), folder, "documents"))
