@@ -36,7 +36,7 @@ class Banding:
     percent: int = 80
     subkeys: int = 9
     values: int = 3
-    star_rounds: int = 2
+    block: int = 400
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -123,6 +123,70 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInPandas(similar, "src long, dst long")
 
 
+def _linked_in_clusters(rows: DataFrame, sets: DataFrame, banding: Banding) -> DataFrame:
+    """``(src, dst)`` edges that connect all similar sets among ``rows`` (``rep, hub, part``).
+
+    Members of buckets that overlap form a cluster, and all similar pairs lie inside one.  A cluster is cut into blocks
+    and every two blocks are compared in a task of their own: no pair of documents is ever a row.
+    """
+    clusters = connected_components(rows.where("rep <> hub").select(F.col("rep").alias("src"), F.col("hub").alias("dst")))
+    clusters = materialise(clusters.withColumnsRenamed({"node": "rep", "component": "cluster"}), "clusters")
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / banding.block).cast("int").alias("blocks"))
+    placed = clusters.join(materialise(sizes, "cluster-sizes"), "cluster").join(rows.select("rep", "part").distinct(), "rep")
+    placed = placed.withColumn("own", F.pmod(F.xxhash64(F.lit(9), "rep"), "blocks").cast("int"))
+    placed = placed.join(sets.select("rep", "shingles"), "rep").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    placed = placed.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        edges = similar_sets([np.frombuffer(x, np.uint64) for x in rows["shingles"]], rows["part"].to_numpy(), banding.percent)
+        reps = rows["rep"].to_numpy()
+        return pd.DataFrame({"src": reps[edges[:, 0]], "dst": reps[edges[:, 1]]})
+
+    return placed.select("cluster", "low", "high", "rep", "part", "shingles").groupBy("cluster", "low", "high").applyInPandas(compare, "src long, dst long")
+
+
+_COLUMNS = 4096
+
+
+def similar_sets(sets: list[np.ndarray], parts: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of places that connect all similar sets of different parts: a forest, not all pairs.
+
+    Sizes of intersections are products of 0/1 matrices over the elements that two sets share at least.
+    """
+    count = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(count), sizes)
+    values, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[place]
+    owner, column = owner[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((count, count), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        low, high = np.searchsorted(column, [at, at + _COLUMNS])
+        part = np.zeros((count, min(_COLUMNS, int(column[high - 1]) + 1 - at)), np.float32)
+        part[owner[low:high], column[low:high] - at] = 1.0
+        both += part @ part.T
+    shared = np.rint(both).astype(np.int64)
+    alike = 100 * shared >= percent * (sizes[:, None] + sizes[None] - shared)
+    one, two = np.nonzero(np.triu(alike & (parts[:, None] != parts[None]), 1))
+    # A forest over the parts is enough; each edge joins two trees.
+    tree = {p: p for p in parts.tolist()}
+
+    def root(p: int) -> int:
+        while tree[p] != p:
+            tree[p] = p = tree[tree[p]]
+        return p
+
+    keep = []
+    for a, b in zip(one.tolist(), two.tolist()):
+        x, y = root(int(parts[a])), root(int(parts[b]))
+        if x != y:
+            tree[x] = y
+            keep.append((a, b))
+    return np.array(keep, np.int64).reshape(-1, 2)
+
+
 def near_duplicates(
     docs: DataFrame, banding: Banding = Banding(), ident: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -131,8 +195,8 @@ def near_duplicates(
     Documents with ``100 * |intersection| >= percent * |union|`` of their shingle sets are linked; ``component_id`` is
     the smallest ident reachable over links, itself included, and ``kept`` marks that document.  Equal sets form one
     class before any table is built, so copies cost one row each.  In every bucket all classes are first compared
-    with one member (a star, another member in every further round); what is connected then needs no more
-    comparisons, and only members of different components that still share a bucket are compared in pairs.
+    with one member; what is connected then needs no more comparisons, and members of buckets that still hold several
+    components are compared block by block.
 
     Null or empty texts have no shingles and link with nothing.  A row without ident never names a component, is
     linked by an equal set only, and is kept.  Repeated rows each give a row.  Other columns of ``docs`` are not read.
@@ -163,35 +227,18 @@ def near_duplicates(
     sets = sets.mapInPandas(full, "rep long, n long, shingles binary")
     sets = materialise(sets.dropDuplicates(["rep"]), "sets")  # an ident may stand in several rows
 
-    links, labels = None, None
-    done = None
-    for turn in range(banding.star_rounds + 1):
-        if turn == 0:
-            pairs = members.where("rep > hub").select(F.col("rep").alias("src"), F.col("hub").alias("dst"))
-        else:
-            named = members.join(labels, members["rep"] == labels["node"], "left")
-            named = materialise(named.select("key", "rep", F.coalesce("component", "rep").alias("part")), "named")
-            mixed = named.groupBy("key").agg(
-                F.min("part").alias("a"), F.max("part").alias("b"), F.min_by("rep", F.xxhash64(F.lit(turn), "rep")).alias("hub")
-            )
-            mixed = materialise(mixed.where("a < b").select("key", "hub"), "mixed")
-            open_rows = materialise(named.join(mixed, "key"), "open")
-            if turn < banding.star_rounds:
-                hubs = open_rows.where("rep = hub").select("key", F.col("part").alias("hub_part"))
-                rest = open_rows.join(hubs.distinct(), "key").where("part <> hub_part")
-                pairs = rest.select(F.greatest("rep", "hub").alias("src"), F.least("rep", "hub").alias("dst"))
-            else:
-                other = open_rows.select("key", F.col("rep").alias("rep2"), F.col("part").alias("part2"))
-                pairs = open_rows.join(other, "key").where("part < part2")
-                pairs = pairs.select(F.greatest("rep", "rep2").alias("src"), F.least("rep", "rep2").alias("dst"))
-        pairs = pairs.distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["src", "dst"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        found = _confirmed(pairs, sets, banding.percent)
-        links = materialise(found if links is None else links.unionByName(found), "links")
-        done = pairs if done is None else done.unionByName(pairs)
-        labels = materialise(connected_components(links), "labels")
+    # Stars: every member of a bucket is compared with the bucket's smallest one.
+    pairs = members.where("rep > hub").select(F.col("rep").alias("src"), F.col("hub").alias("dst")).distinct()
+    links = materialise(_confirmed(materialise(pairs, "pairs"), sets, banding.percent), "links")
+    labels = materialise(connected_components(links), "labels")
+    # What is connected needs no more comparisons; buckets that still hold several components do.
+    named = members.join(labels, members["rep"] == labels["node"], "left")
+    named = materialise(named.select("key", "rep", F.coalesce("component", "rep").alias("part")), "named")
+    mixed = named.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.min("rep").alias("hub"))
+    open_rows = materialise(named.join(materialise(mixed.where("a < b").select("key", "hub"), "mixed"), "key").select("rep", "hub", "part").distinct(), "open")
+    if not open_rows.isEmpty():
+        more = _linked_in_clusters(open_rows, sets, banding)
+        labels = connected_components(links.unionByName(materialise(more, "more-links")))
 
     parts = classes.select("set_id", "rep", "low").join(labels, F.col("rep") == F.col("node"), "left")
     parts = materialise(parts.select("set_id", "low", F.coalesce("component", "rep").alias("part")), "parts")

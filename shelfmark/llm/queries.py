@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import lines, minhash, mixing, packing, toxicity
+from shelfmark.llm import chat, graph_dedup, lines, minhash, mixing, nearest, packing, pages, quality, toxicity
 from shelfmark.llm.common import prepared, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,23 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+@query
+def op2_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.repair(read(prepared(spark), folder, "conversations"))
+
+
+@query
+def op3_graph_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return graph_dedup.near_duplicate_vectors(read(prepared(spark), folder, "embeddings"))
+
+
+@query
+def op4_co_training(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(prepared(spark), folder, "documents"), read(spark, folder, "labels")
+    scored = quality.score_documents(docs, quality.train(docs, labels))
+    return scored.withColumn("held_out", quality.held_out())
+
+
 #: Contract of op5: three words, 85 of 100.
 CONTRACT_BANDING = minhash.Banding(words=3, percent=85, subkeys=8, values=3)
 
@@ -54,6 +71,18 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_page_differencing(spark: SparkSession, folder: str) -> DataFrame:
+    texts = pages.extract_text(read(prepared(spark), folder, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_sizes(read(prepared(spark), folder, "documents"))
+
+
+@query
+def op10_multiprobe_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(prepared(spark), folder, "embeddings")
+    return nearest.nearest(vectors, vectors.where("vec_id % 20 = 0"))
