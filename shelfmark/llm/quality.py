@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -137,9 +136,8 @@ def held_out(ident: str = "doc_id") -> Column:
 
 def _features(docs: DataFrame) -> DataFrame:
     @F.pandas_udf("array<double>")
-    def both(batches: Iterator[tuple]) -> Iterator[pd.Series]:
-        for texts, sources, langs, sizes in batches:
-            yield pd.Series([text_view(t) + metadata_view(s, g, n) for t, s, g, n in zip(texts, sources, langs, sizes)])
+    def both(texts: pd.Series, sources: pd.Series, langs: pd.Series, sizes: pd.Series) -> pd.Series:
+        return pd.Series([text_view(t) + metadata_view(s, g, n) for t, s, g, n in zip(texts, sources, langs, sizes)])
 
     return docs.withColumn("features", both("text", "source", "lang", F.col("n_chars").cast("double")))
 
@@ -181,16 +179,15 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     width = len(text_view(None))
 
     @F.pandas_udf("score double, text_score double, metadata_score double")
-    def whole(batches: Iterator[tuple]) -> Iterator[pd.DataFrame]:
-        for texts, sources, langs, sizes in batches:
-            x = np.array([text_view(t) + metadata_view(s, g, n) for t, s, g, n in zip(texts, sources, langs, sizes)], float)
-            x = x.reshape(len(texts), -1)
-            if model.joint is None:
-                out = np.full((len(texts), 3), model.share)
-            else:
-                logits = np.stack([model.text.logits(x[:, :width]), model.metadata.logits(x[:, width:])], 1)
-                out = 1 / (1 + np.exp(-np.column_stack([model.joint.logits(logits), logits])))
-            yield pd.DataFrame(out, columns=["score", "text_score", "metadata_score"])
-
-    scored = docs.select("doc_id", whole("text", "source", "lang", F.col("n_chars").cast("double")).alias("s")).select("doc_id", "s.*")
+    def score(texts: pd.Series, sources: pd.Series, langs: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+        rows = [text_view(t) + metadata_view(s, g, n) for t, s, g, n in zip(texts, sources, langs, sizes)]
+        if model.joint is None or not rows:
+            out = np.full((len(rows), 3), model.share)
+        else:
+            x = np.array(rows, float)
+            logits = np.stack([model.text.logits(x[:, :width]), model.metadata.logits(x[:, width:])], 1)
+            out = 1 / (1 + np.exp(-np.column_stack([model.joint.logits(logits), logits])))
+        return pd.DataFrame(out, columns=["score", "text_score", "metadata_score"])
+
+    scored = docs.select("doc_id", score("text", "source", "lang", F.col("n_chars").cast("double")).alias("s")).select("doc_id", "s.*")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).withColumn("kept", F.col("score") >= 0.5)
