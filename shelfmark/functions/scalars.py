@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT = "decimal(18,6)"
 _MICRO = 1_000_000
+# Below this, whole parts and millionths add up as integers.
+_SMALL = 1e9
 
 
 def round_half_up(x: Column, digits: int = 2) -> Column:
-    """Round a double; gives the same bits on every engine with IEEE doubles."""
+    """Round a double; gives the same bits on every engine with IEEE doubles.
+
+    NaN, infinity, and numbers too large to have such digits stay as they are.
+    """
     scale = float(10**digits)
-    return F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    rounded = F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    return F.when(F.abs(x) < F.lit(2.0**52 / scale), rounded).otherwise(x.cast("double"))
 
 
 def _known(x: Column) -> Column:
@@ -21,16 +26,19 @@ def _known(x: Column) -> Column:
 
 
 def exact_sum(x: Column) -> Column:
-    """Sum to six decimals, independent of the order of the rows; NaN counts as missing.
+    """Sum of doubles; NaN counts as missing.
 
-    Whole parts and millionths are added up as integers, which costs no more
-    per row than a sum of doubles; decimals only meet at the end of a group.
+    Numbers with at most six decimals, as prices and times have, are added up
+    as integers, so that the sum does not depend on the order of the rows.  A
+    group with any other number, or one too large, is summed as doubles.
     """
     real = _known(x)
-    whole = F.floor(real)
-    millionths = F.floor((real - whole) * F.lit(float(_MICRO)) + F.lit(0.5))
-    total = F.sum(whole).cast("decimal(20,0)") * F.lit(_MICRO) + F.sum(millionths)
-    return total.cast("double") / F.lit(float(_MICRO))
+    small = F.when(F.abs(real) < F.lit(_SMALL), real)
+    whole = F.floor(small)
+    millionths = F.floor((small - whole) * F.lit(float(_MICRO)) + F.lit(0.5))
+    fits = F.coalesce((whole * F.lit(_MICRO) + millionths).cast("double") / F.lit(float(_MICRO)) == real, real.isNull())
+    total = F.try_sum(whole).cast("decimal(20,0)") * F.lit(_MICRO) + F.try_sum(millionths)
+    return F.coalesce(F.when(F.bool_and(fits), total.cast("double") / F.lit(float(_MICRO))), F.sum(real))
 
 
 def exact_mean(x: Column) -> Column:
@@ -38,17 +46,21 @@ def exact_mean(x: Column) -> Column:
 
 
 def sample_std(x: Column, digits: int = 6) -> Column:
-    """Sample standard deviation from exact moments; 0 for a single value."""
-    return F.when(F.count(x) == 1, F.lit(0.0)).otherwise(round_half_up(F.sqrt(sample_variance(x)), digits))
+    """Sample standard deviation; 0 for a single value, NaN counts as missing."""
+    return F.when(F.count(_known(x)) == 1, F.lit(0.0)).otherwise(round_half_up(F.sqrt(sample_variance(x)), digits))
 
 
 def sample_variance(x: Column) -> Column:
-    """Sample variance from decimal moments; null below two values."""
-    n = F.count(x).cast("double")
-    total = exact_sum(x)
-    squares = F.sum((x.cast(EXACT) * x.cast(EXACT)).cast("decimal(28,6)")).cast("double")
-    spread = F.greatest(squares - total * total / n, F.lit(0.0))
-    return F.when(F.count(x) > 1, spread / (n - F.lit(1.0)))
+    """Sample variance about a running mean; null below two values, NaN counts as missing.
+
+    Its last bits depend on the order of the rows: round it for comparison.
+    """
+    return F.var_samp(_known(x))
+
+
+def known_count(x: Column) -> Column:
+    """Number of values that are neither null nor NaN."""
+    return F.count(_known(x))
 
 
 def true_count(flag: Column) -> Column:

@@ -15,10 +15,7 @@ from shelfmark.session import BROADCAST_ROWS, materialise
 # Bounds of a 32-bit signed integer.
 INT32_MIN, INT32_MAX = -2147483648, 2147483647
 
-# Keys a top-k may bring into one task.
-TOP_KEYS = 1_000_000
-
-# Author columns of the review file and the names used afterwards.
+# Author columns of the review file and the names used afterwards.
 AUTHOR_COLUMNS = {
     "author.steamid": "author_steamid",
     "author.num_games_owned": "author_num_games_owned",
@@ -84,17 +81,14 @@ def limit_records(df: DataFrame, n: int) -> DataFrame:
 def first_records(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` rows with the smallest values of a unique key, in no order; a null key comes last.
 
-    Sorting and limiting whole rows would bring them into one task.  Only the
-    key takes part in finding the last value to keep; the rows are filtered
-    where they are.
+    Sorting and limiting rows would bring them into one task.  Only the key
+    takes part in finding the last value to keep, by its place in the global
+    order; the rows are filtered where they are.
     """
     if n <= 0:
         return df
     keys = df.select(key).where(F.col(key).isNotNull())
-    if n <= TOP_KEYS:
-        kept = keys.orderBy(key).limit(n)
-    else:
-        kept = with_positions(keys, [key], "_n", unique=True).where(F.col("_n") < n)
+    kept = with_positions(keys, [key], "_n", unique=True).where(F.col("_n") < n)
     last, found = kept.agg(F.max(key), F.count(key)).first()
     return df if found < n else df.where(F.col(key) <= F.lit(last))
 

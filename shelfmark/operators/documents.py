@@ -8,59 +8,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import exact_mean, first_item, round_half_up, true_count
-from shelfmark.operators import relational
-from shelfmark.operators.relational import first_games, id_bounds, left_join, top
-from shelfmark.session import BROADCAST_ROWS
-
-CHUNK = "_chunk"
+from shelfmark.operators.relational import first_games, id_bounds, left_join, small, top
 
 
 def lookup(
-    left: DataFrame,
-    right: DataFrame,
-    local: str,
-    foreign: str,
-    into: str,
-    fields: Sequence[str] | None = None,
-    max_items: int = 100_000,
+    left: DataFrame, right: DataFrame, local: str, foreign: str, into: str, fields: Sequence[str] | None = None
 ) -> DataFrame:
-    """Left nest join: matches become an array column, empty where there are none.
+    """Left nest join: one row per left row, its matches as a sorted array, empty where there are none.
 
-    A key with more than ``max_items`` matches would need an array no task can
-    hold.  Its matches arrive in several rows instead, numbered by ``_chunk``
-    and each with part of the array; together they hold all matches.  Every
-    other key has the single chunk 0.
+    The array of a key is as large as its matches.  Where only their number or
+    the first one is wanted, ``lookup_summary`` builds no array, and where they
+    are unwound at once, ``lookup_unwind`` is a join.
     """
     fields = list(fields or right.columns)
-    matches = right.where(F.col(foreign).isNotNull()).withColumn("_foreign", F.col(foreign))
-    hot = (
-        matches.groupBy("_foreign")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > max_items)
-        .select("_foreign", F.ceil(F.col("_n") * 2 / max_items).alias("_chunks"))
-    )
-    hot_keys = hot.limit(BROADCAST_ROWS + 1).count()
-    if hot_keys:
-        # Rows of a hot key are dealt out by row number; twice the needed
-        # chunks leave room for an uneven deal.
-        dealt = matches.withColumn("_row", F.monotonically_increasing_id()).join(
-            F.broadcast(hot) if hot_keys <= BROADCAST_ROWS else hot, "_foreign", "left"
-        )
-        chunk = F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_chunks")), F.lit(0))
-        matches = dealt.withColumn(CHUNK, chunk).repartition("_foreign", CHUNK)
-    else:
-        matches = matches.withColumn(CHUNK, F.lit(0).cast("bigint"))
     nested = (
-        matches.select("_foreign", CHUNK, F.struct(*fields).alias("_item"))
-        .groupBy("_foreign", CHUNK)
+        right.where(F.col(foreign).isNotNull())
+        .select(F.col(foreign).alias("_foreign"), F.struct(*fields).alias("_item"))
+        .groupBy("_foreign")
         .agg(F.sort_array(F.collect_list("_item")).alias(into))
     )
     items = F.coalesce(F.col(into), F.array().cast(nested.schema[into].dataType))
-    if hot_keys:  # the chunks of one key may have to be split over tasks
-        joined = left_join(left, nested, local, "_foreign")
-    else:
-        joined = left.join(nested, F.col(local) == F.col("_foreign"), "left")
-    return joined.select(*left.columns, F.coalesce(CHUNK, F.lit(0)).alias(CHUNK), items.alias(into))
+    joined = left.join(nested, F.col(local) == F.col("_foreign"), "left")
+    return joined.select(*left.columns, items.alias(into))
+
+
+def lookup_summary(
+    left: DataFrame, right: DataFrame, local: str, foreign: str, size: str, first: str, fields: Sequence[str] | None = None
+) -> DataFrame:
+    """Size and first item of what ``lookup`` would nest, from aggregates that combine before the shuffle."""
+    fields = list(fields or right.columns)
+    summed = (
+        right.where(F.col(foreign).isNotNull())
+        .groupBy(F.col(foreign).alias("_foreign"))
+        .agg(F.count(F.lit(1)).alias(size), F.min(F.struct(*fields)).alias(first))
+    )
+    joined = left.join(summed, F.col(local) == F.col("_foreign"), "left")
+    return joined.select(*left.columns, F.coalesce(size, F.lit(0)).alias(size), first)
 
 
 def lookup_unwind(
@@ -132,7 +115,7 @@ def review_stats_by_game(
     games: DataFrame, reviews: DataFrame, limit: int | None = 100, min_price: float = 0, games_limit: int = 20
 ) -> DataFrame:
     n = games_limit if limit is None else min(games_limit, limit)
-    ids = F.broadcast(first_games(games, min_price, n))
+    ids = small(first_games(games, min_price, n), n)
     grouped = (
         reviews.where(id_bounds(ids, "app_id"))
         .join(ids, F.col("app_id") == F.col("appid"), "left_semi")
@@ -188,7 +171,20 @@ def game_details(
 ) -> DataFrame:
     """Links and names looked up and unwound, keeping games without any.
 
-    A lookup whose array is unwound at once is a join, so the pipeline is the
-    same chain of joins as the relational form.
+    Every step is lookup, unwind that keeps the empty, lookup of the name, and
+    its first item; the sort fields are added last.  With a limit the games are
+    cut first, as each leads to a row at least.
     """
-    return relational.game_details(games, bridges, low, high, limit)
+    rows = games.where(F.col("price").between(low, high)).select("appid", F.col("name").alias("game_name"))
+    if limit is not None:
+        rows = top(rows, [F.asc("appid")], limit)
+    for table, dimension, id_col, out in bridges:
+        linked = lookup_unwind(rows, table, "appid", "game_appid", "_link", [id_col], keep_empty=True)
+        flat = linked.select(*rows.columns, F.col(f"_link.{id_col}").alias("_id"))
+        named = lookup_unwind(flat, dimension, "_id", id_col, "_info", ["name"], keep_empty=True)
+        rows = named.select(*rows.columns, F.col("_info.name").alias(out))
+        if limit is not None:
+            rows = top(rows, [F.coalesce(F.col(c), F.lit("")) if c in [b[3] for b in bridges] else F.col(c) for c in rows.columns if c != "game_name"], limit)
+    names = [out for *_, out in bridges]
+    keyed = rows.withColumns({f"_sort_{n}": F.coalesce(F.col(n), F.lit("")) for n in names})
+    return top(keyed, [F.asc("appid"), *[F.asc(f"_sort_{n}") for n in names]], limit).select("appid", "game_name", *names)

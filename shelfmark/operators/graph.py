@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import exact_mean, round_half_up, true_count
-from shelfmark.operators import relational
 from shelfmark.operators.normalize import list_entries
 from shelfmark.operators.ordering import first_per_key
-from shelfmark.operators.relational import first_games, id_bounds, left_join, top
+from shelfmark.operators.relational import detail_order, first_games, id_bounds, small, top
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -27,18 +26,29 @@ def last_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) ->
 def upsert_nodes(
     existing: DataFrame, incoming: DataFrame, key: str, order_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """Merge nodes by key.
+    """Merge nodes by key; the result has one row per key.
 
     Incoming columns overwrite, an incoming null removes the property, and
     columns the incoming frame does not mention stay.  ``order_by`` settles
-    several incoming rows for one key: the last one wins.
+    several incoming rows for one key: the last one wins.  Without it, a
+    repeated key is an error, raised when the result is computed.  Rows with a
+    null key are no nodes and are left out on both sides.
     """
+    incoming = incoming.where(F.col(key).isNotNull())
     if order_by:
         incoming = last_per_key(incoming, [key], order_by)
-    old = existing.select(F.col(key).alias("_old_key"), F.struct(*existing.columns).alias("_old"))
-    new = incoming.select(F.col(key).alias("_new_key"), F.struct(*incoming.columns).alias("_new"))
+        new = incoming.select(F.col(key).alias("_new_key"), F.struct(F.lit(True).alias("_here"), *incoming.columns).alias("_new"))
+    else:
+        new = incoming.groupBy(F.col(key).alias("_new_key")).agg(
+            F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(True).alias("_here"), *incoming.columns)).alias("_new")
+        )
+        single = F.when(F.col("_n") == 1, F.col("_new")).otherwise(
+            F.raise_error(F.concat(F.lit("several incoming rows for node "), F.col("_new_key").cast("string")))
+        )
+        new = new.select("_new_key", single.alias("_new"))
+    old = existing.where(F.col(key).isNotNull()).select(F.col(key).alias("_old_key"), F.struct(*existing.columns).alias("_old"))
     merged = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
-    arrived = F.col("_new_key").isNotNull()
+    arrived = F.coalesce(F.col("_new._here"), F.lit(False))
     columns = [F.coalesce("_new_key", "_old_key").alias(key)]
     for c in [*existing.columns, *[c for c in incoming.columns if c not in existing.columns]]:
         if c == key:
@@ -74,12 +84,16 @@ def edges_from_bridge(
     properties: Sequence[str] = (),
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Edges whose two ends exist; with properties, the last write per edge wins."""
-    links = bridge.select(F.col(src).alias("src"), F.lit(rel_type).alias("rel_type"), F.col(dst).alias("dst"), *properties)
+    """Edges whose two ends exist; with properties, the last write per edge in ``order_by`` wins."""
+    if properties and not order_by:
+        raise ValueError("edge properties need order_by: the order of the writes")
+    written = [F.col(c).alias(f"_order_{c}") for c in order_by or ()]
+    ends = [F.col(src).alias("src"), F.lit(rel_type).alias("rel_type"), F.col(dst).alias("dst")]
+    links = bridge.select(*ends, *properties, *written)
     if properties:
-        links = last_per_key(links, ["src", "rel_type", "dst"], order_by or properties)
+        links = last_per_key(links, ["src", "rel_type", "dst"], [f"_order_{c}" for c in order_by])
     else:
-        links = links.distinct()
+        links = links.select("src", "rel_type", "dst").distinct()
     return links.join(src_nodes.select(F.col(src_key).alias("src")), "src", "left_semi").join(
         dst_nodes.select(F.col(dst_key).alias("dst")), "dst", "left_semi"
     ).select("src", "rel_type", "dst", *properties)
@@ -151,8 +165,11 @@ def detach_delete(nodes: DataFrame, edges: DataFrame, labels: Sequence[str] | No
     if labels is None:
         return nodes.limit(0), edges.limit(0)
     gone = list(labels)
-    keep_edge = ~F.col("src_label").isin(gone) & ~F.col("dst_label").isin(gone)
-    return nodes.where(~F.col("label").isin(gone)), edges.where(keep_edge)
+
+    def stays(label: str) -> Column:
+        return ~F.coalesce(F.col(label).isin(gone), F.lit(False))  # a null label is none of them
+
+    return nodes.where(stays("label")), edges.where(stays("src_label") & stays("dst_label"))
 
 
 def dangling_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -181,11 +198,15 @@ def match(
 
     An optional match keeps start rows without a match, with a null struct.
     """
-    ends = end.select(F.col(end_key).alias("dst"), F.struct(*fields).alias(into))
-    hops = edges.select("src", "dst").join(ends, "dst").drop("dst")
-    if optional:
-        return left_join(start, hops, start_key, "src").drop("src")
-    return start.join(hops, F.col(start_key) == F.col("src")).drop("src")
+    ends = end.select(F.col(end_key).alias("_end"), F.struct(*fields).alias(into))
+    # From the start side outwards: ends are looked up for edges of start rows only.
+    steps = start.join(edges.select("src", "dst"), F.col(start_key) == F.col("src"))
+    found = steps.join(ends, F.col("dst") == F.col("_end")).drop("src", "dst", "_end")
+    if not optional:
+        return found
+    linked = edges.select("src", "dst").join(ends.select("_end"), F.col("dst") == F.col("_end"), "left_semi")
+    alone = start.join(linked.select("src"), F.col(start_key) == F.col("src"), "left_anti")
+    return found.unionByName(alone, allowMissingColumns=True)
 
 
 def expensive_games(games: DataFrame, min_price: float, limit: int | None = 100) -> DataFrame:
@@ -218,7 +239,7 @@ def review_stats_by_game(
 ) -> DataFrame:
     """First step picks games, second matches review nodes by property, third groups."""
     n = games_limit if limit is None else min(games_limit, limit)
-    chosen = F.broadcast(first_games(games, min_price, n).withColumnRenamed("appid", "app_id"))
+    chosen = small(first_games(games, min_price, n).withColumnRenamed("appid", "app_id"), n)
     rows = (
         reviews.where(id_bounds(chosen, "app_id"))
         .join(chosen, "app_id")
@@ -267,15 +288,20 @@ def game_details(
     high: float,
     limit: int | None = 100,
 ) -> DataFrame:
-    """Optional matches per pattern (edges, nodes, node key, output column).
+    """Optional matches per pattern (edges, nodes, node key, output column), one after the other.
 
-    A typed edge is a bridge between two node tables.
+    With a limit the games are cut first, as each gives a row at least.
     """
-    bridges = [
-        (edges.select(F.col("src").alias("game_appid"), F.col("dst").alias(key)), nodes, key, out)
-        for edges, nodes, key, out in patterns
-    ]
-    return relational.game_details(games, bridges, low, high, limit)
+    rows = games.where(F.col("price").between(low, high)).select("appid", F.col("name").alias("game_name"))
+    names = [out for *_, out in patterns]
+    if limit is not None:
+        rows = top(rows, [F.asc("appid")], limit)
+    for step, (edges, nodes, key, out) in enumerate(patterns, start=1):
+        found = match(rows, "appid", edges, nodes, key, "_node", ["name"], optional=True)
+        rows = found.withColumn(out, F.col("_node.name")).drop("_node")
+        if limit is not None:
+            rows = top(rows, detail_order(*names[:step]), limit)
+    return top(rows.select("appid", "game_name", *names), detail_order(*names), limit)
 
 
 def count_by_label(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -22,10 +22,16 @@ def list_entries(df: DataFrame, key: str, column: str) -> DataFrame:
     return df.select(F.col(key).alias("game_appid"), F.explode(items).alias("name")).where("name <> ''")
 
 
+def whole_number(votes: Column) -> Column:
+    """Votes as an integer, fractions cut off; null where they are no number."""
+    real = votes.try_cast("double")
+    return F.coalesce(votes.try_cast("bigint"), F.when(F.abs(real) < F.lit(2.0**53), F.when(real < 0, F.ceil(real)).otherwise(F.floor(real))))
+
+
 def map_entries(df: DataFrame, key: str, column: str) -> DataFrame:
     """(key, name, vote_count) per map entry; missing or unreadable votes count 0."""
     return df.select(F.col(key).alias("game_appid"), F.explode(F.col(column)).alias("name", "_votes")).select(
-        "game_appid", "name", F.coalesce(F.col("_votes").try_cast("bigint"), F.lit(0)).alias("vote_count")
+        "game_appid", "name", F.coalesce(whole_number(F.col("_votes")), F.lit(0)).alias("vote_count")
     )
 
 

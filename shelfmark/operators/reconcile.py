@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,8 +98,11 @@ def column_diff(left: DataFrame, right: DataFrame) -> dict[str, list[str]]:
 def cell_diff(left: DataFrame, right: DataFrame, key: str, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per differing cell of the common fields, and per row only one side has.
 
-    ``key`` identifies a row on both sides.  Numbers differ beyond the
-    tolerance, everything else when not equal; null equals null only.
+    ``key`` identifies a row on both sides; null is a key like any other.  Rows
+    that share a key are numbered in the order of their values on either side
+    and compared number by number, so that equal results show no difference.
+    Numbers differ beyond the tolerance, everything else when not equal; null
+    equals null only, NaN equals NaN only.
     """
     common = [c for c in left.columns if c in right.columns and c != key]
     numeric = {
@@ -107,26 +110,33 @@ def cell_diff(left: DataFrame, right: DataFrame, key: str, tolerance: float = TO
         for f in left.schema
         if isinstance(f.dataType, T.NumericType) and isinstance(right.schema[f.name].dataType if f.name in right.columns else None, T.NumericType)
     }
-    a = left.select(F.col(key).alias("_lkey"), F.struct(*[F.col(c) for c in [key, *common]]).alias("_l"))
-    b = right.select(F.col(key).alias("_rkey"), F.struct(*[F.col(c) for c in [key, *common]]).alias("_r"))
-    joined = a.join(b, F.col("_lkey") == F.col("_rkey"), "full_outer")
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        order = Window.partitionBy(key).orderBy(*[F.col(c) for c in common if not isinstance(df.schema[c].dataType, T.MapType)] or [F.lit(0)])
+        copies = df.withColumn("_copy", F.row_number().over(order))
+        return copies.select(
+            F.col(key).alias(f"_{tag}key"), F.col("_copy").alias(f"_{tag}copy"), F.struct(F.lit(True).alias("_here"), *common).alias(f"_{tag}")
+        )
+
+    same = F.col("_lkey").eqNullSafe(F.col("_rkey")) & (F.col("_lcopy") == F.col("_rcopy"))
+    joined = side(left, "l").join(side(right, "r"), same, "full_outer")
 
     def cell(field: str) -> Column:
         l, r = F.col("_l").getField(field), F.col("_r").getField(field)
         if field in numeric:
-            far = F.abs(l.cast("double") - r.cast("double")) > F.lit(tolerance)
-            differs = F.coalesce(far, l.isNull() != r.isNull())
+            a, b = l.cast("double"), r.cast("double")
+            plain = ~F.isnan(a) & ~F.isnan(b) & (F.abs(a) < float("inf")) & (F.abs(b) < float("inf"))
+            differs = F.when(l.isNull() | r.isNull(), l.isNull() != r.isNull()).when(plain, F.abs(a - b) > F.lit(tolerance)).otherwise(a != b)
         else:
             differs = ~l.eqNullSafe(r)
         return F.when(differs, _entry(field, l.cast("string"), r.cast("string"), "value"))
 
-    missing = F.when(
-        F.col("_rkey").isNull(), _entry(None, F.lit(None).cast("string"), F.lit(None).cast("string"), "missing_right")
-    ).otherwise(_entry(None, F.lit(None).cast("string"), F.lit(None).cast("string"), "missing_left"))
-    both = F.col("_lkey").isNotNull() & F.col("_rkey").isNotNull()
+    here, there = F.coalesce(F.col("_l._here"), F.lit(False)), F.coalesce(F.col("_r._here"), F.lit(False))
+    nothing = F.lit(None).cast("string")
+    missing = F.when(here, _entry(None, nothing, nothing, "missing_right")).otherwise(_entry(None, nothing, nothing, "missing_left"))
     cells = F.filter(F.array(*[cell(c) for c in common]), lambda x: x.isNotNull())
     return joined.select(
-        F.coalesce("_lkey", "_rkey").alias(key), F.explode(F.when(both, cells).otherwise(F.array(missing))).alias("_d")
+        F.when(here, F.col("_lkey")).otherwise(F.col("_rkey")).alias(key), F.explode(F.when(here & there, cells).otherwise(F.array(missing))).alias("_d")
     ).select(key, "_d.*")
 
 
@@ -151,19 +161,27 @@ def cell_diff_by_position(
 def compare_results(
     results: Mapping[str, DataFrame], key: str, tolerance: float = TOLERANCE
 ) -> DataFrame:
-    """Compare every result with the first: counts, fields and cells, one row per pair."""
+    """Compare every result with the first: counts, fields and cells, one row per pair.
+
+    ``match`` needs equal row counts, equal fields and no differing cell.  With
+    a single result there is nothing to compare and no row.
+    """
     (ref_name, ref), *others = [(n, canonical_rows(df)) for n, df in results.items()]
-    rows = []
+    kind = "reference_result string, compared_result string, row_count_match boolean, fields_match boolean, differing_cells bigint, match boolean"
+    rows = [ref.sparkSession.createDataFrame([], kind)]
     for name, other in others:
         cells = cell_diff(ref, other, key.lower(), tolerance).agg(F.count(F.lit(1)).alias("differing_cells"))
+        counts = row_count_match({ref_name: ref, name: other}).select("row_count_match")
         diff = column_diff(ref, other)
+        fields = F.lit(not diff["left"] and not diff["right"])
         rows.append(
-            cells.select(
+            cells.join(F.broadcast(counts)).select(  # one row each
                 F.lit(ref_name).alias("reference_result"),
                 F.lit(name).alias("compared_result"),
-                F.lit(not diff["left"] and not diff["right"]).alias("fields_match"),
+                "row_count_match",
+                fields.alias("fields_match"),
                 "differing_cells",
-                (F.col("differing_cells") == 0).alias("data_match"),
+                ((F.col("differing_cells") == 0) & F.col("row_count_match") & fields).alias("match"),
             )
         )
     return _union(rows)

@@ -20,7 +20,7 @@ def top(df: DataFrame, order: Sequence[Column], limit: int | None) -> DataFrame:
     return ordered.limit(limit) if limit is not None else ordered
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
+def small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a frame that cannot exceed ``rows``, if that is few enough."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -45,6 +45,11 @@ def games_with_developers(
     games: DataFrame, game_developers: DataFrame, developers: DataFrame, min_price: float, limit: int | None = 100
 ) -> DataFrame:
     chosen = games.where(F.col("price") > min_price).select("appid", F.col("name").alias("game_name"))
+    if limit is not None:
+        # Rows come in game order and every linked game gives one at least, so
+        # the first games that have a link hold the whole report.
+        linked = chosen.join(game_developers.select("game_appid"), F.col("appid") == F.col("game_appid"), "left_semi")
+        chosen = small(top(linked, [F.asc("appid")], limit), limit)
     rows = (
         chosen.join(game_developers, F.col("appid") == F.col("game_appid"))
         .join(developers.select("developer_id", F.col("name").alias("developer")), "developer_id")
@@ -81,16 +86,16 @@ def review_stats_by_game(
     games: DataFrame, reviews: DataFrame, limit: int | None = 100, min_price: float = 0, games_limit: int = 20
 ) -> DataFrame:
     n = games_limit if limit is None else min(games_limit, limit)
-    chosen = _small(first_games(games, min_price, n), n)
+    chosen = small(first_games(games, min_price, n), n)
     candidates = reviews.where(id_bounds(chosen, "app_id"))
     stats = review_aggregates(candidates.join(chosen, F.col("app_id") == F.col("appid")))
     return top(stats, [F.desc("total_reviews"), F.asc("app_id")], limit)
 
 
-def semi_join_reviews(games: DataFrame, reviews: DataFrame, min_price: float = 0, games_limit: int = 20) -> DataFrame:
-    """Reviews of the first games, the ids coming from a query instead of a literal list."""
-    chosen = _small(first_games(games, min_price, games_limit), games_limit)
-    return reviews.where(id_bounds(chosen, "app_id")).join(chosen, F.col("app_id") == F.col("appid"), "left_semi")
+def semi_join_reviews(games: DataFrame, reviews: DataFrame, min_price: float = 0) -> DataFrame:
+    """Reviews of all games above a price, the ids coming from a query instead of a literal list."""
+    chosen = games.where(F.col("price") > min_price).select("appid")
+    return reviews.join(chosen, F.col("app_id") == F.col("appid"), "left_semi")
 
 
 def developer_statistics(
@@ -164,7 +169,7 @@ def game_details(
     if limit is not None:
         rows = top(rows, detail_order(), limit)
     chosen = rows.select(F.col("appid").alias("game_appid"))
-    wanted = chosen if limit is None else _small(chosen, limit)
+    wanted = chosen if limit is None else small(chosen, limit)
     id_range = F.lit(True) if limit is None else id_bounds(chosen, "game_appid")
     for step, (table, dimension, id_col, out) in enumerate(bridges, start=1):
         links = table.select("game_appid", id_col)

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.scalars import exact_mean, round_half_up, sample_std, sample_variance
+from shelfmark.functions.scalars import exact_mean, known_count, round_half_up, sample_std, sample_variance
 from shelfmark.operators.ordering import exact_percentiles
 from shelfmark.session import materialise
 
@@ -72,7 +72,7 @@ def effect_size(log: DataFrame, first: str, second: str) -> DataFrame:
     def moments(engine: str, tag: str) -> list:
         ms = F.when(F.col("database") == engine, F.col("execution_time_ms"))
         return [
-            F.count(ms).cast("double").alias(f"n{tag}"),
+            known_count(ms).cast("double").alias(f"n{tag}"),
             exact_mean(ms).alias(f"m{tag}"),
             sample_variance(ms).alias(f"v{tag}"),
         ]
@@ -95,24 +95,25 @@ def effect_size(log: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def anova_f(log: DataFrame) -> DataFrame:
-    """One-way ANOVA F over the engines of each test."""
+    """One-way ANOVA F over the engines of each test.
+
+    Squares are taken about means, never as differences of large sums.
+    """
     ms = F.col("execution_time_ms")
-    square = (ms.cast("decimal(18,6)") * ms.cast("decimal(18,6)")).cast("decimal(28,6)")
     groups = log.where("success").groupBy(*RUN).agg(
-        F.count(ms).cast("double").alias("n"),
-        F.sum(ms.cast("decimal(18,6)")).alias("total"),
-        F.sum(square).alias("squares"),
+        known_count(ms).cast("double").alias("n"), exact_mean(ms).alias("m"), F.coalesce(sample_variance(ms), F.lit(0.0)).alias("v")
     )
-    share = F.col("total").cast("double") * F.col("total").cast("double") / F.col("n")
-    tests = groups.groupBy("test_name").agg(
+    test = Window.partitionBy("test_name")  # one row per engine
+    grand = F.try_divide(F.sum(F.col("n") * F.col("m")).over(test), F.sum("n").over(test))
+    gaps = groups.where("n > 0").withColumn("gap", F.col("m") - grand)
+    tests = gaps.groupBy("test_name").agg(
         F.count(F.lit(1)).cast("double").alias("k"),
         F.sum("n").alias("n"),
-        F.sum("total").cast("double").alias("total"),
-        F.sum("squares").cast("double").alias("squares"),
-        F.sum(share).alias("shares"),
+        F.sum(F.col("n") * F.col("gap") * F.col("gap")).alias("between"),
+        F.sum((F.col("n") - 1.0) * F.col("v")).alias("within"),
     )
-    between = (F.col("shares") - F.col("total") * F.col("total") / F.col("n")) / (F.col("k") - 1.0)
-    within = (F.col("squares") - F.col("shares")) / (F.col("n") - F.col("k"))
+    between = F.col("between") / (F.col("k") - 1.0)
+    within = F.col("within") / (F.col("n") - F.col("k"))
     ratio = F.when((F.col("k") > 1) & (F.col("n") > F.col("k")), F.try_divide(between, within))
     return tests.select(
         "test_name",
@@ -128,6 +129,8 @@ def describe_by_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFra
     Interpolated quartiles are rounded to six digits, as their last bits depend
     on how an engine orders the same arithmetic.
     """
+    x = F.when(~F.isnan(F.col(value).cast("double")), F.col(value))  # NaN counts as missing
+    df = df.withColumn(value, x)
     x = F.col(value)
     base = df.groupBy(*keys).agg(
         F.count(x).alias("count"),
@@ -148,13 +151,13 @@ def histogram_bins(df: DataFrame, keys: Sequence[str], value: str, bins: int = 3
     and the values are binned where they were read.
     """
     x = F.col(value)
+    df = df.where(x.isNotNull() & ~F.isnan(x.cast("double")))  # NaN counts as missing
     ranges = materialise(df.groupBy(*keys).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi")), "ranges")
     width = F.col("_hi") - F.col("_lo")
     position = F.coalesce(F.try_divide((x - F.col("_lo")) * F.lit(float(bins)), width), F.lit(0.0))
     bin_no = F.least(F.floor(position), F.lit(bins - 1)) + 1
     return (
-        df.where(x.isNotNull())
-        .join(ranges, list(keys))
+        df.join(ranges, list(keys))
         .groupBy(*keys, bin_no.cast("bigint").alias("bin"))
         .agg(F.count(F.lit(1)).alias("values"))
     )

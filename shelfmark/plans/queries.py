@@ -16,7 +16,7 @@ from shelfmark.plans.store import SNAPSHOT_BASE, Store, open_store
 from shelfmark.session import scratch_path, tune
 from shelfmark.sources import csv_files, sinks
 from shelfmark.sources.catalog import event_number
-from shelfmark.sources.datasets import column_types
+from shelfmark.sources.datasets import DATASETS, column_types
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +32,8 @@ WANTED_GENRES = ("red", "gear")
 
 def portable(df: DataFrame) -> DataFrame:
     """Dates and timestamps as text, so that results compare across engines."""
-    patterns = {T.DateType: "yyyy-MM-dd", T.TimestampType: "yyyy-MM-dd HH:mm:ss", T.TimestampNTZType: "yyyy-MM-dd HH:mm:ss"}
+    moment = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    patterns = {T.DateType: "yyyy-MM-dd", T.TimestampType: moment, T.TimestampNTZType: moment}
     return df.withColumns(
         {f.name: F.date_format(f.name, patterns[type(f.dataType)]) for f in df.schema if type(f.dataType) in patterns}
     )
@@ -64,11 +65,56 @@ def csv_scan(store: Store) -> DataFrame:
     return csv_files.read_large_csv(store.spark, path, DOCUMENT_TYPES)
 
 
+@query("dataset_definitions")
+def dataset_definitions(store: Store) -> DataFrame:
+    """Parts under the column names of the completion times, imported with that dataset's definition."""
+    path = scratch_path(store.spark, "hltb-csv")
+    source = store.catalog.table("part").select(
+        F.col("p_partkey").alias("game_game_id"), F.col("p_name").alias("game_game_name"), F.col("p_size").alias("game_comp_main")
+    )
+    sinks.write_csv(source, path)
+    return csv_files.read_large_csv(store.spark, path, DATASETS["hltb"].types)
+
+
+def table_state(store: Store, table: str, step: str) -> DataFrame:
+    """One row: whether the table exists, whether it is empty, and its row count."""
+    there = store.spark.catalog.tableExists(table)
+    rows = store.spark.table(table).count() if there else 0
+    empty = sinks.tables_empty(store.spark, [table])
+    return store.spark.createDataFrame([(step, there, empty, rows)], "step string, present boolean, is_empty boolean, row_count bigint")
+
+
+@query("table_lifecycle")
+def table_lifecycle(store: Store) -> DataFrame:
+    """A target table before it exists, loaded, truncated and dropped."""
+    table = f"lifecycle_{uuid.uuid4().hex}"
+    states = [table_state(store, table, "absent")]
+    sinks.append_table(store.catalog.games().select("appid", "name"), table)
+    states.append(table_state(store, table, "loaded"))
+    sinks.truncate_tables(store.spark, [table])
+    states.append(table_state(store, table, "truncated"))
+    sinks.drop_tables(store.spark, [table])
+    states.append(table_state(store, table, "dropped"))
+    return states[0].unionByName(states[1]).unionByName(states[2]).unionByName(states[3])
+
+
+@query("targets_empty")
+def targets_empty(store: Store) -> DataFrame:
+    """Which document targets and node labels hold nothing."""
+    path = scratch_path(store.spark, "targets")
+    games = store.catalog.games()
+    sinks.write_documents(games.select("appid", "name"), f"{path}/games")
+    sinks.write_documents(games.where("appid < 0").select("appid", "name"), f"{path}/lost")
+    documents_of = {name: f"{path}/{name}" for name in ("games", "lost", "absent")}
+    found = sinks.documents_empty(store.spark, documents_of)
+    return found.unionByName(sinks.labels_empty(graph_nodes(store), ["Game", "GameGenre", "GameTag"]))
+
+
 @query("checkpoint_roundtrip")
 def checkpoint_roundtrip(store: Store) -> DataFrame:
     root = scratch_path(store.spark, "prepared")
-    sinks.prepared(store.spark, root, "reviews", store.catalog.reviews, limit=1_000_000)
-    return sinks.prepared(store.spark, root, "reviews", store.catalog.reviews, limit=1_000_000)
+    sinks.prepared(store.spark, root, "reviews", store.catalog.reviews)
+    return sinks.prepared(store.spark, root, "reviews", store.catalog.reviews)
 
 
 @query("append_table")
@@ -77,7 +123,8 @@ def append_table(store: Store) -> DataFrame:
     table = f"appended_{uuid.uuid4().hex}"
     path = scratch_path(store.spark, "append")
     games = store.catalog.games_nested().select("appid", "name", "price", "genres")
-    for part in (games.where("price <= 910"), games.where("price > 910")):
+    cheap = F.coalesce(F.col("price") <= EXPENSIVE, F.lit(False))
+    for part in (games.where(cheap), games.where(~cheap)):
         sinks.append_table(part, table, json_columns=["genres"], column_types={"name": "string"}, path=path)
     sinks.drop_tables(store.spark, [table])  # the catalogue entry; the files stay
     return store.spark.read.parquet(path)
@@ -104,13 +151,24 @@ def report_sink(store: Store) -> DataFrame:
     stats = runstats.run_statistics(log).select("test_name", "database", "min_ms", "max_ms", "successes", "failures")
     path = scratch_path(store.spark, "report")
     sinks.write_reports(log, stats, path)
-    return store.spark.read.schema(stats.schema).csv(f"{path}/statistics", header=True)
+    # All three outputs are read back: statistics, the raw log, and one document per test.
+    back = store.spark.read.schema(stats.schema).csv(f"{path}/statistics", header=True)
+    raw = store.spark.read.option("header", True).option("escape", '"').csv(f"{path}/raw_results")
+    logged = raw.groupBy("test_name", "database").agg(F.count(F.lit(1)).alias("logged_runs"))
+    results = store.spark.read.json(f"{path}/test_results").select(F.col("name").alias("test_name"), F.size("results").cast("bigint").alias("results"))
+    return back.join(logged, ["test_name", "database"], "left").join(results, "test_name", "left")
+
+
+# The 14 derived tables.
+DERIVED = (
+    "developers", "publishers", "genres", "categories", "tags", "game_developers", "game_publishers", "game_genres",
+    "game_categories", "game_tags", "user_profiles", "game_review_summary", "developer_stats", "game_price_history",
+)
 
 
 @query("row_count_audit")
 def row_count_audit(store: Store) -> DataFrame:
-    names = ("developers", "publishers", "genres", "categories", "tags", "game_developers", "game_genres", "game_tags")
-    return sinks.row_count_audit({n: store.table(n) for n in names})
+    return sinks.row_count_audit({n: store.table(n) for n in DERIVED})
 
 
 # -- cleaning --------------------------------------------------------------------
@@ -161,6 +219,58 @@ def sort_then_limit(store: Store) -> DataFrame:
     return clean.limit_records(clean.sort_by_column(reviews, "review_id"), 1000)
 
 
+@query("first_records")
+def first_records(store: Store) -> DataFrame:
+    """The 1000 reviews of the smallest ids, found by place in the global order."""
+    reviews = store.catalog.user_reviews().select("review_id", "author_steamid", "votes_helpful")
+    return clean.first_records(reviews, "review_id", 1000)
+
+
+@query("unparsed_rows")
+def unparsed_rows(store: Store) -> DataFrame:
+    """Texts of the events that are no list; they are dicts all."""
+    events = store.catalog.table("events").select("event_id", "props", F.lit("['a', None]").alias("fine"))
+    return clean.unparsed_rows(events, {"props": "array<string>", "fine": "array<string>"}, "event_id")
+
+
+PART_TYPES = column_types("p_partkey INT, p_name STRING, p_size INT, p_retailprice DOUBLE")
+
+
+def parts_as_text(store: Store) -> DataFrame:
+    """Parts as cells of text, with whole numbers written as 12.0 and some that are no numbers."""
+    size = F.when(F.col("p_size") % 7 == 0, F.lit("n/a")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(".0")))
+    return store.catalog.table("part").select(F.col("p_partkey").cast("string").alias("p_partkey"), "p_name", size.alias("p_size"))
+
+
+@query("csv_quarantine")
+def csv_quarantine(store: Store) -> DataFrame:
+    """Cells of a CSV file that are no values of their columns' types."""
+    path = scratch_path(store.spark, "parts-csv")
+    sinks.write_csv(parts_as_text(store), path)
+    raw = csv_files.read_large_csv(store.spark, path, PART_TYPES, "place", "bad")
+    return raw.select("p_partkey", "p_name", "p_size", F.get("bad", F.lit(0))["column"].alias("bad_column"), F.get("bad", F.lit(0))["text"].alias("bad_text"))
+
+
+@query("dedup_file_order")
+def dedup_file_order(store: Store) -> DataFrame:
+    """Two files with different headers; of every part the row of the first file stays, as it stands earlier."""
+    path = scratch_path(store.spark, "ordered-csv")
+    part = store.catalog.table("part").select("p_partkey", "p_name", "p_size")
+    sinks.write_csv(part.coalesce(1), f"{path}/a")
+    sinks.write_csv(part.select((F.col("p_size") + 100).alias("p_size"), "p_partkey").coalesce(1), f"{path}/b")
+    raw = csv_files.read_large_csv(store.spark, f"{path}/*", PART_TYPES, "place")
+    return clean.dedup_keep_first(raw, ["p_partkey"], ["place"]).drop("place")
+
+
+@query("duplicates_report")
+def duplicates_report(store: Store) -> DataFrame:
+    """The removed copies, written as CSV beside the kept rows and read back."""
+    path = scratch_path(store.spark, "duplicates")
+    lines = store.catalog.lines_with_review_id().select("review_id", *[c for c in store.catalog.REVIEW_ORDER if c not in ("review_id", "l_shipdate")])
+    sinks.write_csv(clean.duplicate_rows(lines, ["review_id"], lines.columns), path)
+    return store.spark.read.schema(lines.schema).csv(path, header=True, escape='"')
+
+
 @query("dedup_keep_first")
 def dedup_keep_first(store: Store) -> DataFrame:
     lines = store.catalog.lines_with_review_id()
@@ -340,19 +450,15 @@ def games_with_summary(store: Store, limit: int | None = 100) -> DataFrame:
     return relational.games_with_summary(store.table("games"), store.table("game_review_summary"), MANY_REVIEWS, limit)
 
 
-def late_reviews(store: Store) -> DataFrame:
-    return store.table("reviews").where("timestamp_created >= '2001-01-01'")
-
-
 @query("most_reviewed")
 def most_reviewed(store: Store, limit: int | None = 20) -> DataFrame:
-    return relational.most_reviewed(store.table("games"), late_reviews(store), limit)
+    return relational.most_reviewed(store.table("games"), store.table("reviews"), limit)
 
 
 @query("semi_join_reviews")
 def semi_join_reviews(store: Store) -> DataFrame:
     reviews = store.table("reviews").select("review_id", "app_id", "language", "votes_helpful")
-    return relational.semi_join_reviews(store.table("games"), reviews)
+    return relational.semi_join_reviews(store.table("games"), reviews, EXPENSIVE)
 
 
 @query("not_null_filter")
@@ -378,6 +484,15 @@ def lookup_nest(store: Store) -> DataFrame:
     )
 
 
+@query("lookup_summary")
+def lookup_summary(store: Store) -> DataFrame:
+    """Number and smallest id of the genre links of every game, without building arrays."""
+    summed = documents.lookup_summary(
+        store.table("games").select("appid"), store.table("game_genres"), "appid", "game_appid", "link_count", "first", ["genre_id"]
+    )
+    return summed.select("appid", "link_count", F.col("first.genre_id").alias("first_genre_id"))
+
+
 @query("unwind")
 def unwind(store: Store) -> DataFrame:
     return documents.unwind(store.catalog.games_nested().select("appid", "genres"), "genres")
@@ -529,18 +644,30 @@ def edges_from_list(store: Store) -> DataFrame:
 
 @query("edges_from_bridge")
 def edges_from_bridge(store: Store) -> DataFrame:
+    """All links, and as many to developers and from games that don't exist."""
+    links = store.table("game_developers")
+    lost = links.select("game_appid", (-F.col("developer_id")).alias("developer_id"))
+    lost = lost.unionByName(links.select((-F.col("game_appid")).alias("game_appid"), "developer_id"))
     return graph.edges_from_bridge(
-        store.table("game_developers"), "game_appid", "developer_id", "DEVELOPED_BY_NORM",
-        store.table("games").where("price > 905"), "appid",
-        store.table("developers").where("developer_id % 7 <> 0"), "developer_id",
+        links.unionByName(lost), "game_appid", "developer_id", "DEVELOPED_BY_NORM",
+        store.table("games"), "appid", store.table("developers"), "developer_id",
     )
 
 
+@query("edge_targets")
+def edge_targets(store: Store) -> DataFrame:
+    """The nodes that the edges to category names create."""
+    return graph.edge_targets(edges_from_list(store))
+
+
 @query("edges_with_property")
 def edges_with_property(store: Store) -> DataFrame:
+    """Two writes per edge, the last of which is the smaller one."""
+    links = store.table("game_tags")
+    first = links.withColumn("vote_count", F.col("vote_count") + 1000).withColumn("written", F.lit(1))
     return graph.edges_from_bridge(
-        store.table("game_tags"), "game_appid", "tag_id", "HAS_TAG_NORM",
-        store.table("games"), "appid", store.table("tags"), "tag_id", properties=["vote_count"],
+        first.unionByName(links.withColumn("written", F.lit(2))), "game_appid", "tag_id", "HAS_TAG_NORM",
+        store.table("games"), "appid", store.table("tags"), "tag_id", properties=["vote_count"], order_by=["written"],
     )
 
 
@@ -554,7 +681,7 @@ def edges_from_fk(store: Store) -> DataFrame:
 @query("name_match_link")
 def name_match_link(store: Store) -> DataFrame:
     part = store.catalog.table("part")
-    lower = part.where("p_size > 10").select(F.lower("p_name").alias("title"))
+    lower = part.select(F.lower("p_name").alias("title"))
     return graph.name_match_links(part.select(F.initcap("p_name").alias("name")), "name", lower, "title")
 
 
@@ -562,8 +689,7 @@ def name_match_link(store: Store) -> DataFrame:
 def name_match_edges(store: Store) -> DataFrame:
     part = store.catalog.table("part")
     return graph.name_match_edges(
-        part.where("p_size <= 25"), "p_partkey", "p_name", part.where("p_size > 40"), "p_partkey", "p_name",
-        "HAS_PLAYTIME_DATA",
+        part, "p_partkey", "p_name", part.withColumn("p_type", F.upper("p_name")), "p_partkey", "p_type", "HAS_PLAYTIME_DATA"
     )
 
 
@@ -592,11 +718,10 @@ def label_counts(store: Store) -> DataFrame:
 
 @query("detach_delete")
 def detach_delete(store: Store) -> DataFrame:
-    """What is left, per label and per edge type, after the genres are deleted."""
+    """The nodes and edges that are left after the genres are deleted."""
     nodes, edges = graph.detach_delete(graph_nodes(store), graph_edges(store), ["GameGenre"])
-    left = nodes.groupBy(F.lit("node").alias("kind"), F.col("label").alias("name")).agg(F.count(F.lit(1)).alias("n"))
-    return left.unionByName(
-        edges.groupBy(F.lit("edge").alias("kind"), F.col("rel_type").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return nodes.select(F.col("label").alias("name"), F.col("key").alias("src"), F.lit(None).cast("bigint").alias("dst")).unionByName(
+        edges.select(F.col("rel_type").alias("name"), "src", "dst")
     )
 
 
@@ -680,6 +805,14 @@ def cell_diff_by_position(store: Store) -> DataFrame:
     return reconcile.cell_diff_by_position(left, right, ["appid"])
 
 
+@query("compare_results")
+def compare_results(store: Store) -> DataFrame:
+    """A result against itself in other clothes, and against a changed one."""
+    games = store.catalog.games().select("appid", "name", "price", "metacritic_score")
+    loud = games.select(F.col("appid").alias("AppID"), F.concat(F.lit(" "), "name").alias("Name"), "price", "metacritic_score")
+    return reconcile.compare_results({"first": games, "renamed": loud, "changed": perturbed_games(store)}, "appid")
+
+
 @query("overall_verdict")
 def overall_verdict(store: Store) -> DataFrame:
     checks = (

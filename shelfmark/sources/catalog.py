@@ -33,6 +33,7 @@ class Catalog:
         """Games with list columns: empty genres, null categories, empty publisher names."""
         return self._games()
 
+    # Column names of the model.
     GAME_COLUMNS = (
         "appid", "name", "price", "metacritic_score", "positive", "negative", "average_playtime_forever", "discount",
     )

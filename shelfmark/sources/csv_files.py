@@ -6,22 +6,30 @@ import csv
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.session import materialise
+from shelfmark.session import BROADCAST_ROWS, materialise
 
 _FORMAT = {"quote": '"', "escape": '"'}
 
 
-def header_names(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the first line; a nameless column becomes ``_c<position>``."""
-    line = spark.read.text(path).first()[0]
-    names = next(csv.reader([line.lstrip("﻿")]))
+# Different headers that the files of one folder may have.
+MOST_HEADERS = 100
+
+
+def _names(line: str) -> list[str]:
+    """Column names of a header line; a nameless column becomes ``_c<position>``."""
+    names = next(csv.reader([line.rstrip("\r").lstrip("\ufeff")]))
     return [n or f"_c{i}" for i, n in enumerate(names)]
 
 
+def header_names(spark: SparkSession, path: str) -> list[str]:
+    """Column names of one file, or of the first of several."""
+    return _names(spark.read.text(path).first()[0])
+
+
 def csv_schema(names: list[str], types: Mapping[str, str]) -> T.StructType:
     """Declared types by name, text for every other column."""
     fields = [T.StructField(n, T.DataType.fromDDL(types.get(n, "string")), True) for n in names]
@@ -29,12 +37,23 @@ def csv_schema(names: list[str], types: Mapping[str, str]) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, types: Mapping[str, str]) -> DataFrame:
-    """Typed scan for files of moderate size: one task reads one whole file."""
+    """Typed scan for files of moderate size: one task reads one whole file; a differing header stops it."""
     schema = csv_schema(header_names(spark, path), types)
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, **_FORMAT)
+    return spark.read.schema(schema).csv(path, header=True, multiLine=True, enforceSchema=False, **_FORMAT)
+
+
+def whole_or_cast(text: Column, kind: T.DataType) -> Column:
+    """Text as ``kind``; a whole number may be written as ``12.0``; null where it can't be read."""
+    value = text.try_cast(kind)
+    if isinstance(kind, T.IntegralType):
+        real = text.try_cast("double")
+        value = F.coalesce(value, F.when((F.floor(real) == real) & (F.abs(real) < F.lit(2.0**53)), real).try_cast(kind))
+    return value
 
 
-def read_large_csv(spark: SparkSession, path: str, types: Mapping[str, str]) -> DataFrame:
+def read_large_csv(
+    spark: SparkSession, path: str, types: Mapping[str, str], position: str | None = None, bad_cells: str | None = None
+) -> DataFrame:
     """Typed scan that splits large files although their text holds line breaks.
 
     A line break ends a record when the quotes before it in the file are even
@@ -43,11 +62,40 @@ def read_large_csv(spark: SparkSession, path: str, types: Mapping[str, str]) ->
     whether it starts inside a quoted text.  The second pass cuts each block
     into records where it is read.  Only the pieces at block borders, at most
     two per block, are shuffled.
+
+    Every file is read by its own header; columns that a file lacks are null.
+    ``position`` names a column for the place of a record: file, block and row,
+    which order as the files do.  ``bad_cells`` names a column that lists what
+    could not be read as its column's type, and records of the wrong length.
     """
-    schema = csv_schema(header_names(spark, path), types)
     lines = spark.read.text(path, lineSep="\n").select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
     )
+    tops = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    tops = materialise(tops, "csv-headers")
+    headers = [r["header"] for r in tops.select("header").distinct().limit(MOST_HEADERS + 1).collect()]
+    if len(headers) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers in {path}")
+    records = _records(lines)
+    frames = []
+    for header in sorted(headers):
+        own = records
+        if len(headers) > 1:
+            own = records.join(tops.where(F.col("header") == header).select("file"), "file", "left_semi")
+        frames.append(_typed_records(own, _names(header), types, position, bad_cells))
+    if not frames:
+        return spark.createDataFrame([], T.StructType())
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """``(file, block, row, value)``: one row per record, with its place."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -56,22 +104,55 @@ def read_large_csv(spark: SparkSession, path: str, types: Mapping[str, str]) ->
         .select("file", "block", F.pmod(F.coalesce(F.sum("quotes").over(earlier), F.lit(0)), F.lit(2)).alias("open"))
     )
     starts = materialise(starts, "csv-blocks")
-    records = lines.join(F.broadcast(starts), ["file", "block"]).mapInPandas(
-        _record_cutter(), "file string, block bigint, kind int, value string"
+    if starts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        marked = lines.join(F.broadcast(starts), ["file", "block"])  # keeps the order of lines
+    else:
+        marked = lines.join(starts, ["file", "block"]).repartition("file", "block").sortWithinPartitions("file", "block", "line")
+    pieces = marked.select("file", "block", "value", "open").mapInPandas(
+        _record_cutter(), "file string, block bigint, kind int, row bigint, value string"
     )
-    whole = records.where(F.col("kind") == WHOLE).select("value")
-    # Order inside a block: the end of an earlier record, then the start of a later one.
+    whole = pieces.where(F.col("kind") == WHOLE).select("file", "block", "row", "value")
+    # Order inside a block: the end of an earlier record, then the start of a later one.  The window sees no text.
+    borders = materialise(pieces.where(F.col("kind") != WHOLE), "csv-borders")
     so_far = Window.partitionBy("file").orderBy("block", "kind")
-    pieces = records.where(F.col("kind") != WHOLE).withColumn("record", F.count_if(F.col("kind") == TAIL).over(so_far))
+    numbered = borders.select("file", "block", "kind").withColumn("record", F.count_if(F.col("kind") == TAIL).over(so_far))
     joined = (
-        pieces.groupBy("file", "record")
-        .agg(F.sort_array(F.collect_list(F.struct("block", "kind", "value"))).alias("parts"))
-        .select(F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"))
+        borders.join(numbered, ["file", "block", "kind"])
+        .groupBy("file", "record")
+        .agg(F.sort_array(F.collect_list(F.struct("block", "kind", "row", "value"))).alias("parts"))
+        .select(
+            "file", F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["row"].alias("row"),
+            F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"),
+        )
     )
-    text = F.regexp_replace("value", "\r$", "")
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    parsed = F.from_csv(text, F.lit(names), _FORMAT)
-    return whole.unionByName(joined).where(F.length("value") > 0).select(parsed.alias("_row")).select("_row.*")
+    return whole.unionByName(joined).where(F.length("value") > 0)
+
+
+def _typed_records(
+    records: DataFrame, names: list[str], types: Mapping[str, str], position: str | None, bad_cells: str | None
+) -> DataFrame:
+    """Records cut into cells, read as text first and then as their columns' types."""
+    texts = ", ".join([*(f"`{n}` string" for n in names), "`_whole` string"])
+    options = {**_FORMAT, "columnNameOfCorruptRecord": "_whole"}
+    cells = records.withColumn("_cells", F.from_csv(F.regexp_replace("value", "\r$", ""), F.lit(texts), options))
+
+    def cell(name: str) -> Column:
+        return F.col("_cells").getField(name)
+
+    kinds = {f.name: f.dataType for f in csv_schema(names, types)}
+    values = {n: cell(n) if isinstance(k, T.StringType) else whole_or_cast(cell(n), k) for n, k in kinds.items()}
+    columns = [value.alias(n) for n, value in values.items()]
+    if position:
+        columns.append(F.struct("file", "block", "row").alias(position))
+    if bad_cells:
+        bad = [
+            F.when(cell(n).isNotNull() & values[n].isNull(), F.struct(F.lit(n).alias("column"), cell(n).alias("text")))
+            for n, k in kinds.items()
+            if not isinstance(k, T.StringType)
+        ]
+        bad.append(F.when(cell("_whole").isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), cell("_whole").alias("text"))))
+        columns.append(F.filter(F.array(*bad), lambda x: x.isNotNull()).alias(bad_cells))
+    return cells.select(*columns)
 
 
 # Kinds of record pieces: HEAD ends a record of an earlier block, TAIL starts
@@ -86,14 +167,15 @@ def _record_cutter() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
     executors whole and they need no copy of this package.
     """
 
-    def piece(key: tuple, kind: int, value: str) -> pd.DataFrame:
-        return pd.DataFrame({"file": [key[0]], "block": [key[1]], "kind": [kind], "value": [value]})
+    def piece(key: tuple, kind: int, row: int, value: str) -> pd.DataFrame:
+        return pd.DataFrame({"file": [key[0]], "block": [key[1]], "kind": [kind], "row": [row], "value": [value]})
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current = None
         inside = False  # the next line continues a record
         pending: list[str] = []
         pending_is_head = False
+        row = 0  # records of this block so far
         for batch in batches:
             runs = ((batch["file"] != batch["file"].shift()) | (batch["block"] != batch["block"].shift())).cumsum()
             for _, run in batch.groupby(runs, sort=False):
@@ -101,8 +183,8 @@ def _record_cutter() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
                 fresh = key != current
                 if fresh:
                     if pending:
-                        yield piece(current, MIDDLE if pending_is_head else TAIL, "\n".join(pending))
-                    current, pending = key, []
+                        yield piece(current, MIDDLE if pending_is_head else TAIL, row, "\n".join(pending))
+                    current, pending, row = key, [], 0
                     inside = pending_is_head = bool(run["open"].iloc[0])
                 values = run["value"]
                 open_after = (int(inside) + values.str.count('"').cumsum().to_numpy()) % 2 == 1
@@ -112,7 +194,8 @@ def _record_cutter() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
                     pending.append(texts.loc[0])
                     texts = texts.drop(0)
                     if len(texts) or not open_after[-1]:
-                        yield piece(key, HEAD if pending_is_head else WHOLE, "\n".join(pending))
+                        yield piece(key, HEAD if pending_is_head else WHOLE, row, "\n".join(pending))
+                        row += 1
                         pending, pending_is_head = [], False
                 inside = bool(open_after[-1])
                 if inside and len(texts):
@@ -121,8 +204,10 @@ def _record_cutter() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
                 if fresh and key[1] == 0 and len(texts):
                     texts = texts.iloc[1:]  # header line
                 if len(texts):
-                    yield pd.DataFrame({"file": key[0], "block": key[1], "kind": WHOLE, "value": texts.to_numpy()})
+                    numbers = range(row, row + len(texts))
+                    yield pd.DataFrame({"file": key[0], "block": key[1], "kind": WHOLE, "row": numbers, "value": texts.to_numpy()})
+                    row += len(texts)
         if pending:
-            yield piece(current, MIDDLE if pending_is_head else TAIL, "\n".join(pending))
+            yield piece(current, MIDDLE if pending_is_head else TAIL, row, "\n".join(pending))
 
     return cut

@@ -43,7 +43,7 @@ NESTED_GAME_COLUMNS = {
     "genres": "array<string>",
     "screenshots": "array<string>",
     "movies": "array<string>",
-    "tags": "map<string,int>",
+    "tags": "map<string,string>",  # votes may be no integers
 }
 
 # Time columns of the reviews table, in epoch seconds.

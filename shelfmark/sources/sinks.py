@@ -132,6 +132,25 @@ def tables_empty(spark: SparkSession, tables: Sequence[str]) -> bool:
     return all(not spark.catalog.tableExists(t) or spark.table(t).isEmpty() for t in tables)
 
 
+def documents_empty(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """(target, is_empty) of document targets; one that was never written is empty."""
+
+    def empty(path: str) -> bool:
+        try:
+            return spark.read.text(path).isEmpty()
+        except AnalysisException:
+            return True
+
+    return spark.createDataFrame([(name, empty(path)) for name, path in paths.items()], "target string, is_empty boolean")
+
+
+def labels_empty(nodes: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """(target, is_empty) of node labels in a table with a ``label`` column."""
+    wanted = nodes.sparkSession.createDataFrame([(label,) for label in labels], "target string")
+    found = nodes.where(F.col("label").isin(list(labels))).select("label").distinct()
+    return wanted.join(found, F.col("target") == F.col("label"), "left").select("target", F.col("label").isNull().alias("is_empty"))
+
+
 def row_count_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) over many tables, in one job."""
     parts = [

@@ -19,17 +19,14 @@ def test_lookup_nests_matches_and_keeps_the_unmatched(games, links):
     assert [(r["appid"], [d["dev"] for d in r["devs"]]) for r in out] == [(1, [10, 11]), (2, [12]), (3, [])]
 
 
-def test_lookup_splits_only_hot_keys_and_loses_nothing(spark, games):
-    hot = spark.range(5000).select(F.lit(1).alias("game"), F.col("id").cast("int").alias("dev"))
-    copies = spark.range(300).select(F.lit(3).alias("game"), F.lit(7).alias("dev"))
-    few = spark.createDataFrame([(2, 5)], "game int, dev int")
-    out = documents.lookup(games, hot.unionByName(copies).unionByName(few), "appid", "game", "devs", ["dev"], max_items=100)
-    got = out.withColumn("n", F.size("devs"))
-    assert got.agg(F.max("n")).first()[0] <= 100
-    assert got.where("appid = 2").count() == 1
-    back = documents.unwind(out, "devs")
-    assert back.where("appid = 1").agg(F.count("*"), F.countDistinct("devs.dev")).first() == (5000, 5000)
-    assert back.where("appid = 3").count() == 300
+def test_lookup_gives_one_row_per_left_row_at_every_size(spark, games, rows):
+    """A key with more matches than an earlier limit of 100,000 is one row with one array."""
+    hot = spark.range(120_000).select(F.lit(1).alias("game"), F.col("id").cast("int").alias("dev"))
+    out = documents.lookup(games, hot, "appid", "game", "devs", ["dev"])
+    assert out.columns == ["appid", "name", "devs"]
+    assert rows(out.withColumn("n", F.size("devs")), "appid", "n") == [(1, 120_000), (2, 0), (3, 0)]
+    summed = documents.lookup_summary(games, hot, "appid", "game", "n", "least", ["dev"])
+    assert rows(summed, "appid", "n", "least.dev") == [(1, 120_000, 0), (2, 0, None), (3, 0, None)]
 
 
 def test_unwind(spark, rows):

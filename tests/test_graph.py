@@ -104,3 +104,28 @@ def test_match_and_optional_match(spark, rows):
     assert rows(graph.match(start, "id", edges, ends, "k", "e", ["name"]), "id", "e.name") == [(1, "x"), (1, "y")]
     optional = graph.match(start, "id", edges, ends, "k", "e", ["name"], optional=True)
     assert rows(optional, "id", "e.name") == [(1, "x"), (1, "y"), (2, None)]
+
+
+def test_upsert_takes_one_row_per_key_and_no_null_key(spark, rows):
+    old = spark.createDataFrame([(1, "x"), (None, "lost")], "id int, name string")
+    new = spark.createDataFrame([(None, "nobody"), (2, None)], "id int, name string")
+    assert rows(graph.upsert_nodes(old, new, "id")) == [(1, "x"), (2, None)]
+    twice = spark.createDataFrame([(2, "a"), (2, "b")], "id int, name string")
+    with pytest.raises(Exception, match="several incoming rows for node 2"):
+        graph.upsert_nodes(old, twice, "id").collect()
+
+
+def test_edge_properties_need_an_order_and_keep_the_last_write(spark, rows):
+    links = spark.createDataFrame([(1, 2, 9, 1), (1, 2, 2, 2)], "g int, t int, votes int, seq int")
+    games, tags = spark.createDataFrame([(1,)], "g int"), spark.createDataFrame([(2,)], "t int")
+    with pytest.raises(ValueError):
+        graph.edges_from_bridge(links, "g", "t", "R", games, "g", tags, "t", properties=["votes"])
+    last = graph.edges_from_bridge(links, "g", "t", "R", games, "g", tags, "t", properties=["votes"], order_by=["seq"])
+    assert rows(last) == [(1, "R", 2, 2)]
+
+
+def test_detach_delete_keeps_null_labels(spark, rows):
+    nodes = spark.createDataFrame([("A", 1), (None, 2)], "label string, key int")
+    edges = spark.createDataFrame([(None, 2, "R", "B", 3), ("A", 1, "R", None, 2)], "src_label string, src int, rel_type string, dst_label string, dst int")
+    left, kept = graph.detach_delete(nodes, edges, ["A"])
+    assert rows(left, "key") == [(2,)] and rows(kept, "src", "dst") == [(2, 3)]

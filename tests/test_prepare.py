@@ -11,8 +11,8 @@ GAMES = """appid,name,price,developers,publishers,genres,categories,tags,metacri
 10,Alpha,59.99,"['Dev A', ""Bob's""]",['Pub'],"['Action', 'RPG']",['Single'],"{'FPS': 12, 'Co-op': 3}",80,10,1,60,0,"first line
 second ""line"", end"
 20,Beta,35.5,['Dev A'],['Pub'],['RPG'],[],[],70,5,2,30,10,plain
-30,Gamma,0.0,[],,[],,,,,,,,
-20,Beta,35.5,['Dev A'],['Pub'],['RPG'],[],[],70,5,2,30,10,zz later copy
+30,Gamma,0.0,[],,[],not a list,,n/a,,,,,
+20,Aardvark,35.5,['Dev A'],['Pub'],['RPG'],[],[],70,5,2,30,10,zz later copy
 """
 REVIEWS = """,app_id,app_name,review_id,language,review,timestamp_created,timestamp_updated,recommended,votes_helpful,steam_purchase,written_during_early_access,author.steamid,author.num_games_owned,author.num_reviews,author.playtime_forever,author.playtime_at_review,author.last_played
 0,10,Alpha,103,english,"good
@@ -35,7 +35,9 @@ def files(tmp_path_factory):
 @pytest.fixture(scope="module")
 def prepared(spark, files):
     root = str(files / "prepared")
-    games = prepare.prepare_games(spark, str(files / "games.csv"), root, duplicates_path=str(files / "games-duplicates"))
+    games = prepare.prepare_games(
+        spark, str(files / "games.csv"), root, duplicates_path=str(files / "games-duplicates"), quarantine_path=str(files / "games-bad")
+    )
     reviews = prepare.prepare_reviews(
         spark, str(files / "reviews.csv"), root, limit=3, duplicates_path=str(files / "reviews-duplicates")
     )
@@ -46,7 +48,8 @@ def test_games(spark, files, prepared):
     games = {r["appid"]: r for r in prepared[0].collect()}
     assert sorted(games) == [10, 20, 30]
     assert games[10]["developers"] == ["Dev A", "Bob's"]
-    assert games[10]["tags"] == {"FPS": 12, "Co-op": 3}
+    assert games[10]["tags"] == {"FPS": "12", "Co-op": "3"}
+    assert games[20]["name"] == "Beta"  # the first in the file, not the smallest
     assert games[10]["detailed_description"] == 'first line\nsecond "line", end'
     assert games[20]["detailed_description"] == "plain"
     assert games[20]["tags"] is None and games[30]["publishers"] is None
@@ -54,6 +57,16 @@ def test_games(spark, files, prepared):
     assert [r["detailed_description"] for r in removed.collect()] == ["zz later copy"]
 
 
+def test_unreadable_cells_go_to_the_quarantine(spark, files, prepared):
+    bad = spark.read.csv(str(files / "games-bad"), header=True, escape='"')
+    assert sorted((r["column"], r["text"]) for r in bad.collect()) == [("categories", "not a list"), ("metacritic_score", "n/a")]
+
+
+def test_all_reviews_are_kept_by_default(spark, files):
+    everything = prepare.prepare_reviews(spark, str(files / "reviews.csv"), str(files / "all"))
+    assert sorted(r["review_id"] for r in everything.collect()) == [101, 102, 103, 104]
+
+
 def test_reviews(spark, files, prepared):
     reviews = {r["review_id"]: r for r in prepared[1].withColumn("at", F.col("timestamp_created").cast("string")).collect()}
     assert sorted(reviews) == [101, 102, 103]

@@ -62,8 +62,8 @@ def test_compare_results(spark):
     same = spark.createDataFrame([(1, "a", 1.004)], SCHEMA)
     wrong = spark.createDataFrame([(1, "b", 9.0)], SCHEMA)
     out = {r["compared_result"]: r for r in reconcile.compare_results({"r": ref, "s": same, "w": wrong}, "id").collect()}
-    assert out["s"]["data_match"] and out["s"]["fields_match"]
-    assert out["w"]["differing_cells"] == 2
+    assert out["s"]["match"] and out["s"]["row_count_match"] and out["s"]["fields_match"]
+    assert out["w"]["differing_cells"] == 2 and not out["w"]["match"]
 
 
 def test_overall_verdict(spark, rows):
@@ -75,3 +75,18 @@ def test_overall_verdict(spark, rows):
     assert rows(reconcile.overall_verdict(checks), "test_name", "verdict") == [
         ("data", "mismatch"), ("ok", "match"), ("one", "not comparable"), ("rows", "mismatch"),
     ]
+
+
+def test_cell_diff_with_nan_null_and_repeated_keys(spark, rows):
+    nan = float("nan")
+    left = spark.createDataFrame([(1, nan, "a"), (None, 1.0, "n"), (2, 5.0, "x"), (2, 6.0, "y")], "id int, v double, s string")
+    same = spark.createDataFrame([(2, 6.0, "y"), (2, 5.0, "x"), (None, 1.0, "n"), (1, nan, "a")], "id int, v double, s string")
+    assert reconcile.cell_diff(left, same, "id").count() == 0
+    other = spark.createDataFrame([(1, 0.0, "a"), (2, 5.0, "x"), (3, 1.0, "z")], "id int, v double, s string")
+    got = rows(reconcile.cell_diff(left, other, "id"), "id", "field", "difference")
+    assert sorted(got, key=repr) == sorted(
+        [(1, "v", "value"), (None, None, "missing_right"), (2, None, "missing_right"), (3, None, "missing_left")], key=repr
+    )
+    empty = reconcile.cell_diff(left.where("id is null"), left.where("id is null").limit(0), "id")
+    assert rows(empty, "id", "difference") == [(None, "missing_right")]
+    assert reconcile.compare_results({"only": left}, "id").count() == 0
