@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import chat, graph_dedup, lines, minhash, mixing, nearest, packing, pages, quality, toxicity
 from shelfmark.llm.common import prepared, read
+from shelfmark.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -58,17 +60,15 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(prepared(spark), folder, "documents").select("doc_id", "text")
-    shorter = lines.without_repeated_lines(docs.withColumn("n_lines", F.size(F.split("text", "\n", -1))))
-    return shorter.select("doc_id", "n_lines", F.length("text").alias("n_chars_left"), F.md5("text").alias("text_md5"))
+    shorter = lines.without_repeated_lines(docs.withColumn("n_lines", F.size(F.split("text", "\n", -1)).cast("long")))
+    return shorter.select("doc_id", "n_lines", F.length("text").cast("long").alias("n_chars_left"), F.md5("text").alias("text_md5"))
 
 
 @query
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(prepared(spark), folder, "documents")
     packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return packed.select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
-    )
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @query
