@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import exact_mean, first_item, round_half_up, true_count
-from shelfmark.operators.relational import first_games, id_bounds, left_join, small, top
+from shelfmark.operators.relational import first_games, left_join, restriction, top
 
 
 def lookup(
@@ -115,10 +115,9 @@ def review_stats_by_game(
     games: DataFrame, reviews: DataFrame, limit: int | None = 100, min_price: float = 0, games_limit: int = 20
 ) -> DataFrame:
     n = games_limit if limit is None else min(games_limit, limit)
-    ids = small(first_games(games, min_price, n), n)
+    only = restriction(first_games(games, min_price, n), n)
     grouped = (
-        reviews.where(id_bounds(ids, "app_id"))
-        .join(ids, F.col("app_id") == F.col("appid"), "left_semi")
+        only(reviews, "app_id")
         .groupBy("app_id")
         .agg(
             F.count(F.lit(1)).alias("total_reviews"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.scalars import exact_mean, round_half_up, true_count
 from shelfmark.operators.normalize import list_entries
 from shelfmark.operators.ordering import first_per_key
-from shelfmark.operators.relational import detail_order, first_games, id_bounds, small, top
+from shelfmark.operators.relational import detail_order, first_games, restriction, top
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -239,10 +239,9 @@ def review_stats_by_game(
 ) -> DataFrame:
     """First step picks games, second matches review nodes by property, third groups."""
     n = games_limit if limit is None else min(games_limit, limit)
-    chosen = small(first_games(games, min_price, n).withColumnRenamed("appid", "app_id"), n)
+    only = restriction(first_games(games, min_price, n), n)
     rows = (
-        reviews.where(id_bounds(chosen, "app_id"))
-        .join(chosen, "app_id")
+        only(reviews, "app_id")
         .groupBy("app_id")
         .agg(
             F.count(F.lit(1)).alias("total_reviews"),

@@ -75,19 +75,22 @@ def exact_percentiles(
     probs: Mapping[str, float],
     group_rows: int = GROUP_ROWS,
     buckets: int = 1024,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated percentiles per key, one column per entry of ``probs``.
 
     ``percentile`` and ``median`` hold all distinct values of a group in the
     memory of one task.  Here groups up to ``group_rows`` are ordered by a
     window, which spills.  Larger ones are never gathered: see
-    :func:`_bucket_ranks`.
+    :func:`_bucket_ranks`.  ``sizes`` may name a stored table of the keys with
+    a row count ``_n`` each, at least that of the values, to spare a pass.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
-    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > group_rows).select(*keys)
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if sizes is None else sizes.dropna(subset=keys)
+    large = counted.where(F.col("_n") > group_rows).select(*keys)
     large_keys = large.limit(BROADCAST_ROWS + 1).count()
     if not large_keys:
         return _interpolated(_window_ranks(rows, keys, probs), keys, probs)

@@ -5,13 +5,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import exact_mean, round_half_up, true_count
-from shelfmark.session import BROADCAST_ROWS
+from shelfmark.session import BROADCAST_ROWS, materialise
 
 
 def top(df: DataFrame, order: Sequence[Column], limit: int | None) -> DataFrame:
@@ -49,7 +49,8 @@ def games_with_developers(
         # Rows come in game order and every linked game gives one at least, so
         # the first games that have a link hold the whole report.
         linked = chosen.join(game_developers.select("game_appid"), F.col("appid") == F.col("game_appid"), "left_semi")
-        chosen = small(top(linked, [F.asc("appid")], limit), limit)
+        only = restriction(top(linked, [F.asc("appid")], limit), limit)
+        chosen, game_developers = only(chosen, "appid"), only(game_developers, "game_appid")
     rows = (
         chosen.join(game_developers, F.col("appid") == F.col("game_appid"))
         .join(developers.select("developer_id", F.col("name").alias("developer")), "developer_id")
@@ -74,6 +75,29 @@ def id_bounds(ids: DataFrame, key: str) -> Column:
     return F.lit(False) if low is None else F.col(key).between(low, high)
 
 
+# Ids that a scan may be given as a literal list.
+LISTED = 1000
+
+
+def restriction(chosen: DataFrame, rows: int) -> Callable[[DataFrame, str], DataFrame]:
+    """How to restrict a table to the games of ``chosen``, which has at most ``rows`` of them.
+
+    A short list of ids is fetched once and reaches every scan as literals,
+    which skips files and row groups as an index would.  A longer one is
+    stored once, and joined.
+    """
+    ids = chosen.select(F.col("appid").alias("_id"))
+    if rows <= LISTED:
+        listed = [r["_id"] for r in ids.collect()]
+        return lambda table, key: table.where(F.col(key).isin(listed))
+    stored = materialise(ids, "chosen")
+
+    def joined(table: DataFrame, key: str) -> DataFrame:
+        return table.where(id_bounds(stored, key)).join(small(stored, rows), F.col(key) == F.col("_id"), "left_semi")
+
+    return joined
+
+
 def review_aggregates(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("app_id").agg(
         F.count(F.lit(1)).alias("total_reviews"),
@@ -86,9 +110,8 @@ def review_stats_by_game(
     games: DataFrame, reviews: DataFrame, limit: int | None = 100, min_price: float = 0, games_limit: int = 20
 ) -> DataFrame:
     n = games_limit if limit is None else min(games_limit, limit)
-    chosen = small(first_games(games, min_price, n), n)
-    candidates = reviews.where(id_bounds(chosen, "app_id"))
-    stats = review_aggregates(candidates.join(chosen, F.col("app_id") == F.col("appid")))
+    only = restriction(first_games(games, min_price, n), n)
+    stats = review_aggregates(only(reviews, "app_id"))
     return top(stats, [F.desc("total_reviews"), F.asc("app_id")], limit)
 
 
@@ -167,15 +190,12 @@ def game_details(
     names = [out for *_, out in bridges]
     rows = games.where(F.col("price").between(low, high)).select("appid", F.col("name").alias("game_name"))
     if limit is not None:
-        rows = top(rows, detail_order(), limit)
+        only = restriction(top(rows, detail_order(), limit), limit)
+        rows = only(rows, "appid")
     chosen = rows.select(F.col("appid").alias("game_appid"))
-    wanted = chosen if limit is None else small(chosen, limit)
-    id_range = F.lit(True) if limit is None else id_bounds(chosen, "game_appid")
     for step, (table, dimension, id_col, out) in enumerate(bridges, start=1):
         links = table.select("game_appid", id_col)
-        if limit is not None:
-            links = links.where(id_range)
-        links = links.join(wanted, "game_appid", "left_semi")
+        links = links.join(chosen, "game_appid", "left_semi") if limit is None else only(links, "game_appid")
         named = links.join(dimension.select(id_col, F.col("name").alias(out)), id_col, "left").drop(id_col)
         if limit is None:
             # A null name for games without links turns the left join into an
@@ -202,9 +222,17 @@ def games_by_genre_and_developer(
     limit: int | None = 100,
 ) -> DataFrame:
     chosen = genres.where(F.col("name").isin(list(wanted))).select("genre_id", F.col("name").alias("genre"))
+    tagged = game_genres.join(chosen, "genre_id")
+    if limit is not None:
+        # Rows come in game order: the first tagged games that have a developer hold the whole report.
+        linked = tagged.join(game_developers.select("game_appid"), "game_appid", "left_semi")
+        linked = linked.join(games.select(F.col("appid").alias("game_appid")), "game_appid", "left_semi")
+        first = linked.select(F.col("game_appid").alias("appid")).distinct()
+        only = restriction(top(first, [F.asc("appid")], limit), limit)
+        tagged, game_developers = only(tagged, "game_appid"), only(game_developers, "game_appid")
+        games = only(games, "appid")
     rows = (
-        game_genres.join(chosen, "genre_id")
-        .join(games.select(F.col("appid").alias("game_appid"), F.col("name").alias("game_name"), "price"), "game_appid")
+        tagged.join(games.select(F.col("appid").alias("game_appid"), F.col("name").alias("game_name"), "price"), "game_appid")
         .join(game_developers, "game_appid")
         .join(developers.select("developer_id", F.col("name").alias("developer")), "developer_id")
         .select("game_appid", "game_name", "genre", "developer", "price")

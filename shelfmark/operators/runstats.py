@@ -37,6 +37,7 @@ def run_statistics(log: DataFrame) -> DataFrame:
     ok = F.col("success")
     ms = F.when(ok, F.col("execution_time_ms"))
     base = log.groupBy(*RUN).agg(
+        F.count(F.lit(1)).alias("_n"),
         exact_mean(ms).alias("mean_ms"),
         sample_std(ms).alias("std_ms"),
         F.min(ms).alias("min_ms"),
@@ -46,7 +47,8 @@ def run_statistics(log: DataFrame) -> DataFrame:
         (F.count_if(ok) / F.count(F.lit(1))).alias("success_rate"),
         F.coalesce(exact_mean(F.when(ok, F.col("row_count"))), F.lit(0.0)).alias("avg_row_count"),
     )
-    median = exact_percentiles(log.where(ok), RUN, "execution_time_ms", {"median_ms": 0.5})
+    base = materialise(base, "run-statistics")  # it tells the group sizes as well
+    median = exact_percentiles(log.where(ok), RUN, "execution_time_ms", {"median_ms": 0.5}, sizes=base.select(*RUN, "_n"))
     return base.join(median, list(RUN), "left").select(
         *RUN, "mean_ms", "median_ms", "std_ms", "min_ms", "max_ms", "successes", "failures", "success_rate", "avg_row_count"
     )
@@ -139,7 +141,9 @@ def describe_by_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFra
         F.min(x).alias("min"),
         F.max(x).alias("max"),
     )
-    quartiles = exact_percentiles(df, keys, value, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    base = materialise(base, "described")  # it tells the group sizes as well
+    sizes = base.select(*keys, F.col("count").alias("_n"))
+    quartiles = exact_percentiles(df, keys, value, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, sizes=sizes)
     rounded = [round_half_up(F.col(c), 6).alias(c) for c in ("p25", "p50", "p75")]
     return base.join(quartiles, list(keys), "left").select(*keys, "count", "mean", "std", "min", *rounded, "max")
 

@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.operators import normalize, summaries
-from shelfmark.session import scratch_root
+from shelfmark.session import scratch_root, size_shuffles
 from shelfmark.sources.catalog import Catalog
 from shelfmark.sources.sinks import in_key_order, prepared
 
@@ -181,5 +181,6 @@ def open_store(spark: SparkSession, folder: str) -> Store:
     """The store of this application for a folder."""
     key = (spark.sparkContext.applicationId, folder.rstrip("/"))
     if key not in _stores:
+        size_shuffles(spark, folder)
         _stores[key] = Store(spark, folder)
     return _stores[key]

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the operators rely on.  UTC keeps timestamp text stable.
 # Adaptive execution may split hot join keys even when that costs one more
@@ -46,6 +47,26 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Bytes that one shuffle partition should hold, and how much larger rows are there than in compressed files.
+PARTITION_BYTES, EXPANSION = 200 << 20, 3
+_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, path: str) -> None:
+    """Let shuffles start with as many partitions as the files below ``path`` call for.
+
+    Adaptive execution merges those that turn out small.  A number that the
+    user has set stays.
+    """
+    if spark.conf.get(_PARTITIONS, None):
+        return
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    total = files.agg(F.sum("length")).first()[0] or 0  # file lengths only; no content is read
+    wanted = -(-total * EXPANSION // PARTITION_BYTES)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(_PARTITIONS, str(wanted))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``.
 
@@ -67,6 +88,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once the results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
