@@ -35,7 +35,8 @@ class Settings:
     """
 
     prior_share: float = 0.02
-    least_z: float = 3.5
+    least_z: float = 3.8
+    least_weight: float = 2.5  # significant but weak features would make every text look toxic by chance
     lexicon: int = 50_000
     passage_rate: float = 0.25
     significance: float = 0.01
@@ -154,7 +155,7 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
         one, two = F.col("toxic") + F.col("alpha"), F.col("clean") + F.col("alpha")
         odds = F.log(one / (F.lit(n_toxic) + one)) - F.log(two / (F.lit(n_clean) + two))
         scored = counts.withColumn("alpha", alpha).withColumn("weight", odds).withColumn("z", odds / F.sqrt(1 / one + 1 / two))
-        chosen = scored.where(F.col("z") >= settings.least_z).orderBy(F.desc("z"), "feature").limit(settings.lexicon)
+        chosen = scored.where((F.col("z") >= settings.least_z) & (F.col("weight") >= settings.least_weight)).orderBy(F.desc("z"), "feature").limit(settings.lexicon)
         weights = {r["feature"]: float(r["weight"]) for r in chosen.select("feature", "weight").collect()}
     penalty = math.log(1 - settings.passage_rate)
     plain = Model(weights, penalty, 1.0, 1.0, 0.0, math.log(share / (1 - share)), settings.significance)

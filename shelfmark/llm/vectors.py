@@ -36,7 +36,7 @@ def classes(rows: DataFrame, smallest: int) -> DataFrame:
 def sample(rows: DataFrame, limit: int, seed: int) -> np.ndarray:
     """At most ``limit`` vectors, those of the smallest hashes."""
     got = rows.orderBy(F.xxhash64(F.lit(seed), "rep"), "rep").limit(limit).select("rep", "vec").collect()
-    return np.array([r["vec"] for r in got], float).reshape(len(got), -1)
+    return np.array([r["vec"] for r in got], float).reshape(len(got), len(got[0]["vec"]) if got else 0)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
