@@ -13,6 +13,8 @@ from shelfmark.llm.common import materialise
 
 #: Shorter lines are neither compared nor removed: a word is too large a part of them.
 MIN_WORDS = 5
+#: Documents that have something to fetch are marked by a hash of so many values; that bounds what is broadcast.
+MARKS = 2**20
 _LAST = 2**63 - 1
 
 
@@ -20,28 +22,35 @@ def _words(line: Column) -> Column:
     return F.split(F.trim(line), " ")
 
 
+def _at(ident: str) -> Column:
+    """The document's place: its ident, null last."""
+    return F.coalesce(F.col(ident).cast("long"), F.lit(_LAST))
+
+
+def _mark(at: Column | str) -> Column:
+    return F.pmod(F.xxhash64(at), F.lit(MARKS)).cast("int")
+
+
 def _line_rows(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """``(ident, body, line_no, pos, h1, h2, n, line)`` of every line that is compared."""
-    rows = docs.select(F.col(ident).alias("ident"), F.xxhash64(text).alias("body"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    rows = rows.withColumn("words", _words(F.col("line"))).withColumn("n", F.size("words")).where(F.col("n") >= MIN_WORDS)
-    pos = F.struct(F.coalesce(F.col("ident").cast("long"), F.lit(_LAST)).alias("at"), F.col("line_no").alias("no"))
-    hashes = [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(7), "words").alias("h2")]
-    return rows.select("ident", "body", "line_no", pos.alias("pos"), *hashes, "n", "words")
+    """``(at, body, no, line)`` of every line: place of the document, hash of its text, number and text of the line."""
+    return docs.select(_at(ident).alias("at"), F.xxhash64(text).alias("body"), F.posexplode(F.split(text, "\n", -1)).alias("no", "line"))
 
 
-def _half_keys() -> Column:
-    """Keys of which lines one word apart share one: each half, cut as for this length and for one word less.
+def _end_keys() -> Column:
+    """Keys of which lines one word apart share one: their first and their last words.
 
-    The edit spares one half; the half's key carries the smaller of both lengths.
+    At most half of the words, an even number of them, make a key.  One edit spares either end, and lines of one word
+    more or less have the same number or, where it changes, both numbers.
     """
 
-    def keys(length: Column) -> list[Column]:
-        half = F.floor(length / 2).cast("int")
-        head = F.xxhash64(F.lit("head"), length, F.slice("words", 1, half))
-        tail = F.xxhash64(F.lit("tail"), length, F.slice("words", -(length - half), length - half))
-        return [head, tail]
+    def keys(length: Column) -> Column:
+        count = (F.floor(length / 4) * 2).cast("int")
+        head = F.xxhash64(F.lit("head"), F.slice("words", 1, count))
+        tail = F.xxhash64(F.lit("tail"), F.slice("words", -count, count))
+        return F.array(head, tail)
 
-    return F.array(*keys(F.col("n")), *keys(F.col("n") - 1))
+    n = F.size("words")
+    return F.array_distinct(F.concat(keys(n), keys(n - 1)))
 
 
 def _one_word_apart(a: Column, b: Column) -> Column:
@@ -60,34 +69,49 @@ def _one_word_apart(a: Column, b: Column) -> Column:
 
 
 def repeated_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(ident, body, dropped)``: the numbers of the lines that go, for each document that loses one.
+    """``(at, body, dropped)``: the numbers of the lines that go, for each document that loses one.
 
     A line of at least ``MIN_WORDS`` words (what single spaces separate) goes if an equal line, or one that is one word
-    apart, stands earlier, in the order of ``(ident, line number)``; null idents come last.  ``body`` is the hash of
-    the text, so that rows of one ident with different texts are told apart.
+    apart, stands earlier, in the order of ``(ident, line number)``; null idents come last.  ``at`` is the ident, or
+    the largest number if it is null, and ``body`` the hash of the text, which tells rows of one ident apart.
     """
-    lines = materialise(
-        _line_rows(docs, ident, text).withColumn("halves", _half_keys()).drop("words"), "lines"
-    )
-    distinct = lines.groupBy("h1", "h2").agg(F.min("pos").alias("first"), F.first("halves").alias("halves"))
-    distinct = materialise(distinct, "distinct-lines")
-    halves = distinct.select("h1", "h2", "first", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a < b").select("half")
-    shared = materialise(shared, "shared-halves")
-    suspects = materialise(halves.join(shared, "half").select("h1", "h2", "first").distinct(), "suspects")
-
-    # The words of the suspects, from the place where each stands first.
-    again = _line_rows(docs, ident, text).select("h1", "h2", "pos", "words")
-    texts = again.join(suspects, ["h1", "h2"]).where(F.col("pos") == F.col("first")).select("h1", "h2", "first", "words")
-    texts = materialise(texts.dropDuplicates(["h1", "h2"]), "suspect-words")
-
-    # Word i left out, for every i; number 0 is the whole line, hashed as the variants of longer lines are.
+    lines = _line_rows(docs, ident, text).withColumn("words", _words(F.col("line"))).where(F.size("words") >= MIN_WORDS)
+    hashes = [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(7), "words").alias("h2")]
+    lines = materialise(lines.select("at", "body", "no", *hashes, _end_keys().alias("keys")), "lines")
+    distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct("at", "no")).alias("first"), F.first("keys").alias("keys"))
+    distinct = materialise(distinct.select("h1", "h2", "first.at", "first.no", "keys"), "distinct-lines")
+    # Without loss: a line whose ends no other line has is one word apart from none.
+    shared = distinct.select("h1", F.explode("keys").alias("key")).groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
+    shared = materialise(shared.where("a < b").select("key"), "shared-ends")
+    suspects = distinct.select("h1", "h2", "at", "no", F.explode("keys").alias("key")).join(shared, "key")
+    suspects = materialise(suspects.select("h1", "h2", "at", "no").distinct(), "suspects")
+    # Their words, from the place where each stands first; only documents that may hold one are shuffled.
+    marks = F.broadcast(suspects.select(_mark("at").alias("_mark")).distinct())  # at most MARKS numbers
+    holders = docs.join(marks, _mark(_at(ident)) == F.col("_mark"), "left_semi")
+    texts = _line_rows(holders, ident, text).select("at", "no", "line").join(suspects, ["at", "no"]).withColumn("words", _words(F.col("line")))
+    texts = texts.where((F.xxhash64("words") == F.col("h1")) & (F.xxhash64(F.lit(7), "words") == F.col("h2")))
+    texts = texts.select("h1", "h2", F.struct("at", "no").alias("first"), "words").dropDuplicates(["h1", "h2"])
+    texts = materialise(texts, "suspect-words")
+
+    # A line's hash is the XOR of hashes of its words and their places, so running hashes with the places as they are
+    # and one lower give the hash without word i for every i.  Number 0 is the whole line.
+    def running(lower: int) -> Column:
+        def step(sofar: Column, j: Column) -> Column:
+            return F.concat(sofar, F.array(F.element_at(sofar, -1).bitwiseXOR(F.xxhash64(j - lower, F.element_at("words", j)))))
+
+        return F.aggregate(F.sequence(F.lit(1), F.size("words")), F.array(F.lit(0).cast("long")), step)
+
+    hashed = texts.withColumn("before", running(0)).withColumn("after", running(1))
     left_out = F.transform(
-        F.sequence(F.lit(1), F.size("words")),
-        lambda i: F.struct(i.alias("i"), F.xxhash64(F.filter("words", lambda w, k: k != i - 1)).alias("key")),
+        F.sequence(F.lit(0), F.size("words")),
+        lambda i: F.struct(
+            i.alias("i"),
+            F.when(i == 0, F.element_at("before", -1))
+            .otherwise(F.get("before", i - 1).bitwiseXOR(F.get("after", i)).bitwiseXOR(F.element_at("after", -1)))
+            .alias("key"),
+        ),
     )
-    whole = F.array(F.struct(F.lit(0).alias("i"), F.xxhash64("words").alias("key")))
-    variants = texts.select("h1", "h2", "first", F.explode(F.concat(whole, left_out)).alias("v")).select("h1", "h2", "first", "v.i", "v.key")
+    variants = hashed.select("h1", "h2", "first", F.explode(left_out).alias("v")).select("h1", "h2", "first", "v.i", "v.key")
     variants = materialise(variants, "variants")
     # Equal variants meet by key; of each kind only the earliest can matter, so no pairs are built.
     same = variants.groupBy("key", "i").agg(F.min("first").alias("early"), F.max("first").alias("late"))
@@ -103,10 +127,10 @@ def repeated_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text") -
     partner = texts.select(F.col("first").alias("early"), F.col("words").alias("early_words"))
     near = found.join(texts.select("h1", "h2", "words"), ["h1", "h2"]).join(partner, "early")
     near = near.where(_one_word_apart(F.col("words"), F.col("early_words"))).select("h1", "h2").distinct()
-    verdict = distinct.select("h1", "h2", "first").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
+    verdict = distinct.select("h1", "h2", F.struct("at", "no").alias("first")).join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
     verdict = materialise(verdict.select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")), "line-verdicts")
-    gone = lines.join(verdict, ["h1", "h2"]).where("near or pos > first")
-    return gone.groupBy("ident", "body").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
+    gone = lines.select("at", "body", "no", "h1", "h2").join(verdict, ["h1", "h2"]).where(F.col("near") | (F.struct("at", "no") > F.col("first")))
+    return gone.groupBy("at", "body").agg(F.sort_array(F.collect_set("no")).alias("dropped"))
 
 
 def without_repeated_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -115,9 +139,13 @@ def without_repeated_lines(docs: DataFrame, ident: str = "doc_id", text: str = "
     Documents stay even if no line does; their text is then empty.  Null texts stay null, empty ones and blank lines as
     they are.  Rows that repeat a document share its positions, so both keep the same lines.
     """
-    dropped = repeated_lines(docs, ident, text).select(F.col("ident").alias("_ident"), F.col("body").alias("_body"), F.col("dropped").alias("_dropped"))
-    fits = docs[ident].cast("long").eqNullSafe(F.col("_ident").cast("long")) & (F.xxhash64(docs[text]) == F.col("_body"))
-    joined = docs.join(dropped, fits, "left")
+    dropped = repeated_lines(docs, ident, text)
+    dropped = materialise(dropped.select(F.col("at").alias("_at"), F.col("body").alias("_body"), F.col("dropped").alias("_dropped")), "dropped-lines")
+    marks = F.broadcast(dropped.select(_mark("_at").alias("_mark")).distinct())  # at most MARKS numbers
+    marked = _mark(_at(ident)) == F.col("_mark")
+    untouched = docs.join(marks, marked, "left_anti")
+    fits = (_at(ident) == F.col("_at")) & (F.xxhash64(text) == F.col("_body"))
+    joined = docs.join(marks, marked, "left_semi").join(dropped, fits, "left")
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, k: ~F.array_contains("_dropped", k)), "\n")
     shorter = F.when(F.col("_dropped").isNull(), F.col(text)).otherwise(kept)
-    return joined.withColumn(text, shorter).select(*docs.columns)
+    return joined.withColumn(text, shorter).select(*docs.columns).unionByName(untouched.select(*docs.columns))
