@@ -161,7 +161,8 @@ def spans(sized: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame]:
     high = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * b)
     parts = ends.select("uid", "source", "block", "begin", low.alias("low"), high.alias("high"))
     slots = _slots(targets, mix).withColumnRenamed("source", "slot_source").withColumnRenamed("block", "slot_block")
-    met = parts.join(slots, F.col("source").eqNullSafe(F.col("slot_source")) & (F.col("block") == F.col("slot_block")))
+    # Both sides come out of explosions, whose size Spark underrates: neither may be broadcast.
+    met = parts.hint("merge").join(slots, F.col("source").eqNullSafe(F.col("slot_source")) & (F.col("block") == F.col("slot_block")))
     end = F.least(F.col("high"), F.col("block") * b + F.col("take"))
     met = met.withColumn("from_word", F.col("low") - F.col("begin")).withColumn("to_word", end - F.col("begin"))
     return met.where("to_word > from_word").select("uid", "shard", "slot", "turn", "source", "from_word", "to_word"), targets
