@@ -89,13 +89,16 @@ def solve(roles: list[int], first: int, last: int | None, costs: Costs) -> tuple
 
 
 def repair(conversations: DataFrame, costs: Costs = Costs()) -> DataFrame:
-    """One row per turn and per inserted message: ``conv_id, turn, message, part, role, given_role, inserted, segment``.
+    """One row per turn and per inserted message.
 
-    ``message`` and ``part`` number the repaired messages within ``chunk`` order: sorted by ``(conv_id, chunk, seq)``
-    the segments of a conversation, put together, are its rendered text.  Turns are ordered by ``turn`` (null last),
-    role and text.  Unknown and null roles may take any role at the price of a relabel; null texts are empty.
-    Repeated rows are turns of their own, and null conversation ids form one conversation.  No conversation is ever
-    gathered in one task: chunks are the pieces that a sorted partition holds.
+    The columns are ``conv_id, turn, chunk, seq, role, given_role, inserted, merged, segment``.  Sorted by ``(chunk,
+    seq)`` the segments of a conversation, put together, are its rendered text: a merged turn goes on with its
+    message, every other one closes the message before it and opens its own.
+
+    Turns are ordered by ``turn`` (null last), role and text.  Unknown and null roles may take any role at the price
+    of a relabel; null texts are empty.  Repeated rows are turns of their own, and null conversation ids form one
+    conversation.  An empty table gives no rows.  No conversation is ever gathered in one task: chunks are the pieces
+    that a sorted partition holds.
     """
     turns = conversations.select(
         F.col("conv_id").cast("string").alias("conv"), F.col("turn").cast("long").alias("turn"), F.lower(F.trim("role")).alias("given_role"), F.coalesce("text", F.lit("")).alias("body")

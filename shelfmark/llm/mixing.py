@@ -8,7 +8,6 @@ falls into an output shard by a random draw, so a shard's counts per source are
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np

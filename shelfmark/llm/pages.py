@@ -82,8 +82,9 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             continue
         if closing:
             at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if name not in _INLINE or at is not None:
-                flush() if name not in _INLINE or stack[at][1] != (stack[at - 1][1] if at else PLAIN) else None
+            outer = stack[at - 1][1] if at else PLAIN
+            if name not in _INLINE or at is not None and stack[at][1] != outer:
+                flush()
             if at is not None:
                 del stack[at:]
         else:
