@@ -89,7 +89,8 @@ def restriction(chosen: DataFrame, rows: int) -> Callable[[DataFrame, str], Data
     ids = chosen.select(F.col("appid").alias("_id"))
     if rows <= LISTED:
         listed = [r["_id"] for r in ids.collect()]
-        return lambda table, key: table.where(F.col(key).isin(listed))
+        low, high = min(listed, default=0), max(listed, default=0)
+        return lambda table, key: table.where(F.col(key).between(low, high) & F.col(key).isin(listed))
     stored = materialise(ids, "chosen")
 
     def joined(table: DataFrame, key: str) -> DataFrame:

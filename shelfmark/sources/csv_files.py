@@ -37,9 +37,12 @@ def csv_schema(names: list[str], types: Mapping[str, str]) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, types: Mapping[str, str]) -> DataFrame:
-    """Typed scan for files of moderate size: one task reads one whole file; a differing header stops it."""
+    """Typed scan for files of moderate size: one task reads one whole file; differing headers are an error."""
+    headers = _headers(_lines(spark, path))[1]
+    if len(headers) > 1:
+        raise ValueError(f"files with different headers in {path}: read_large_csv reads each by its own")
     schema = csv_schema(header_names(spark, path), types)
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, enforceSchema=False, **_FORMAT)
+    return spark.read.schema(schema).csv(path, header=True, multiLine=True, **_FORMAT)
 
 
 def whole_or_cast(text: Column, kind: T.DataType) -> Column:
@@ -68,15 +71,8 @@ def read_large_csv(
     which order as the files do.  ``bad_cells`` names a column that lists what
     could not be read as its column's type, and records of the wrong length.
     """
-    lines = spark.read.text(path, lineSep="\n").select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-    )
-    tops = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    tops = materialise(tops, "csv-headers")
-    headers = [r["header"] for r in tops.select("header").distinct().limit(MOST_HEADERS + 1).collect()]
+    lines = _lines(spark, path)
+    tops, headers = _headers(lines)
     if len(headers) > MOST_HEADERS:
         raise ValueError(f"more than {MOST_HEADERS} different headers in {path}")
     records = _records(lines)
@@ -94,6 +90,22 @@ def read_large_csv(
     return out
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+
+
+def _headers(lines: DataFrame) -> tuple[DataFrame, list[str]]:
+    """First line per file, and the different ones, up to one more than are read."""
+    tops = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    tops = materialise(tops, "csv-headers")
+    return tops, [r["header"] for r in tops.select("header").distinct().limit(MOST_HEADERS + 1).collect()]
+
+
 def _records(lines: DataFrame) -> DataFrame:
     """``(file, block, row, value)``: one row per record, with its place."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
