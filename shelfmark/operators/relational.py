@@ -49,8 +49,7 @@ def games_with_developers(
         # Rows come in game order and every linked game gives one at least, so
         # the first games that have a link hold the whole report.
         linked = chosen.join(game_developers.select("game_appid"), F.col("appid") == F.col("game_appid"), "left_semi")
-        only = restriction(top(linked, [F.asc("appid")], limit), limit)
-        chosen, game_developers = only(chosen, "appid"), only(game_developers, "game_appid")
+        chosen = small(top(linked, [F.asc("appid")], limit), limit)
     rows = (
         chosen.join(game_developers, F.col("appid") == F.col("game_appid"))
         .join(developers.select("developer_id", F.col("name").alias("developer")), "developer_id")
@@ -228,10 +227,8 @@ def games_by_genre_and_developer(
         # Rows come in game order: the first tagged games that have a developer hold the whole report.
         linked = tagged.join(game_developers.select("game_appid"), "game_appid", "left_semi")
         linked = linked.join(games.select(F.col("appid").alias("game_appid")), "game_appid", "left_semi")
-        first = linked.select(F.col("game_appid").alias("appid")).distinct()
-        only = restriction(top(first, [F.asc("appid")], limit), limit)
-        tagged, game_developers = only(tagged, "game_appid"), only(game_developers, "game_appid")
-        games = only(games, "appid")
+        first = small(top(linked.select("game_appid").distinct(), [F.asc("game_appid")], limit), limit)
+        tagged = tagged.join(first, "game_appid", "left_semi")
     rows = (
         tagged.join(games.select(F.col("appid").alias("game_appid"), F.col("name").alias("game_name"), "price"), "game_appid")
         .join(game_developers, "game_appid")
