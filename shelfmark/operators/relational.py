@@ -45,11 +45,6 @@ def games_with_developers(
     games: DataFrame, game_developers: DataFrame, developers: DataFrame, min_price: float, limit: int | None = 100
 ) -> DataFrame:
     chosen = games.where(F.col("price") > min_price).select("appid", F.col("name").alias("game_name"))
-    if limit is not None:
-        # Rows come in game order and every linked game gives one at least, so
-        # the first games that have a link hold the whole report.
-        linked = chosen.join(game_developers.select("game_appid"), F.col("appid") == F.col("game_appid"), "left_semi")
-        chosen = small(top(linked, [F.asc("appid")], limit), limit)
     rows = (
         chosen.join(game_developers, F.col("appid") == F.col("game_appid"))
         .join(developers.select("developer_id", F.col("name").alias("developer")), "developer_id")
