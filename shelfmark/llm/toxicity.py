@@ -31,9 +31,11 @@ _BINS = 400
 class Settings:
     """The prior of a feature is half a document and ``prior_share`` of all that hold it.
 
-    ``lexicon`` bounds the model: that many of the most significant features are kept and broadcast.
+    ``training_rows`` bounds the labelled documents that the model is fitted on, ``lexicon`` the model: that many of
+    the most significant features are kept and broadcast.  Every document is scored.
     """
 
+    training_rows: int = 20_000
     prior_share: float = 0.02
     least_z: float = 3.8
     least_weight: float = 2.5  # significant but weak features would make every text look toxic by chance
@@ -278,6 +280,11 @@ def held_out(ident: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(ident).cast("string")) % 5 == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``(text, label)`` of at most ``training_rows`` labelled documents outside the held-out fold, chosen by hash.
+
+    Their ids are bounded and broadcast, so that no text is shuffled.
+    """
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    return docs.select("doc_id", "text").join(known, "doc_id").select("text", "label")
+    chosen = known.orderBy(F.xxhash64(F.lit(1), "doc_id"), "doc_id").limit(settings.training_rows)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
