@@ -1,7 +1,7 @@
 """Main text of web pages by differencing each page with the one nearest by URL on its host.
 
 Pages are sorted by host and path over the whole cluster, so a page's nearest neighbours stand beside it, whatever the
-size of its host.  Lines that a page shares with its partner, aligned by longest common subsequence, go.  Two things
+size of its host; partitions get the neighbours beyond their borders.  Copies pass over each other.  Lines that a page shares with its partner, aligned by longest common subsequence, go.  Two things
 are known from the markup and hold whatever a partner says: what stands in navigation, adverts, forms and the like is
 not text, and what stands in a marked article is, even where a neighbour repeats it.
 """
@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import texts_of
+from shelfmark.llm.common import materialise, texts_of
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))|[^<]+|<", re.S)
 _MARKS = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -41,6 +43,8 @@ _APART_NAMES = frozenset(
 _ARTICLE_NAMES = frozenset("articlebody".split())
 
 NOISE, PLAIN, ARTICLE = 0, 1, 2
+#: Keys drawn per partition, and in all, to find the borders of partitions of about equal size.
+SAMPLED_KEYS, MOST_KEYS = 20, 100_000
 
 
 def blocks(page: str | None) -> list[tuple[int, str]]:
@@ -149,9 +153,9 @@ def shared(one: list[str], two: list[str]) -> set[int]:
     return found
 
 
-def main_text(own: list[tuple[int, str]], partner: list[tuple[int, str]] | None) -> str:
-    """The lines that stay, joined by line ends."""
-    gone = shared([text for _, text in own], [text for _, text in partner]) if partner else set()
+def main_text(own: list[tuple[int, str]], partner: list[str] | None) -> str:
+    """The lines that stay beside the lines of ``partner``, joined by line ends."""
+    gone = shared([text for _, text in own], partner) if partner else set()
     return "\n".join(text for k, (zone, text) in enumerate(own) if zone == ARTICLE or zone == PLAIN and k not in gone)
 
 
@@ -168,44 +172,151 @@ def _near(path: str, other: str) -> int:
     return next((k for k, (a, b) in enumerate(zip(path, other)) if a != b), min(len(path), len(other)))
 
 
+def _pack(own: list[tuple[int, str]]) -> str:
+    """Blocks as one text; no block holds a line end."""
+    return "\n".join(f"{zone}{text}" for zone, text in own)
+
+
+def _unpack(packed: str) -> list[tuple[int, str]]:
+    return [(int(line[0]), line[1:]) for line in packed.split("\n")] if packed else []
+
+
+def _sign(own: list[tuple[int, str]]) -> int | None:
+    """Hash of what a page says outside of noise; none if that is nothing."""
+    said = [text for zone, text in own if zone != NOISE]
+    return xxhash.xxh3_64_intdigest("\n".join(said).encode("utf-8", "surrogatepass")) - 2**63 if said else None
+
+
+def _strangers(ends: dict[int, dict], at: int, step: int) -> tuple | None:
+    """The page nearest to partition ``at`` on the side of ``step`` that says something else than its outermost page.
+
+    ``ends`` has the pages of each partition as ``(host, path, ident, sign)``: the first and the last one, and beside
+    each the nearest one on its host that says something else.
+    """
+    edge, far = ("first", "last") if step < 0 else ("last", "first")
+    host, sign = ends[at][edge][0], ends[at][edge][3]
+    for k in sorted((k for k in ends if (k - at) * step > 0), reverse=step < 0):
+        near = ends[k][far]
+        if near[0] != host:
+            return None
+        if near[3] != sign:
+            return near
+        if ends[k][f"{far}_other"]:
+            return ends[k][f"{far}_other"]
+        if ends[k][edge][0] != host:
+            return None
+    return None
+
+
+def _guests(places: DataFrame) -> dict[tuple, list[int]]:
+    """Pages that partitions need from beyond their borders, two for each at most, and who needs them."""
+    page = F.struct("host", "path", "key", "sign")
+    ends = places.groupBy("part").agg(F.min(page).alias("first"), F.max(page).alias("last"))  # a row per partition
+
+    def other(edge: str) -> Column:
+        return F.when((F.col("host") == F.col(f"{edge}.host")) & (F.col("sign") != F.col(f"{edge}.sign")), page)
+
+    found = places.join(F.broadcast(ends), "part").groupBy("part").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.min(other("first")).alias("first_other"), F.max(other("last")).alias("last_other")
+    )
+    ends = {r["part"]: {name: r[name] and tuple(r[name]) for name in ("first", "last", "first_other", "last_other")} for r in found.collect()}
+    out: dict[tuple, list[int]] = {}
+    for at in ends:
+        for step in (-1, 1):
+            if guest := _strangers(ends, at, step):
+                out.setdefault(guest, []).append(at)
+    return out
+
+
 def extract_text(pages: DataFrame, ident: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """``(ident, url, text)`` of every page.
 
-    The partner is the neighbour on the same host whose path has the longer beginning in common, the earlier one in a
-    tie; a page at the edge of a partition has one neighbour there, and one alone on its host loses no line.  Null
+    Pages are ordered by host, path and ident.  The partner is the nearest page before or after on the same host that
+    says something else, the one whose path has the longer beginning in common, the earlier one in a tie; so copies
+    never are each other's partners, and pages without text are nobody's.  A page without a partner loses no line.
+    Where partitions begin and end makes no difference: each gets the pages it needs from beyond its borders.  Null
     and empty pages have an empty text; null URLs form a host of their own.  Repeated rows and null idents give a row
     each; other columns are not read.
     """
+    rows = pages.select(
+        F.col(ident).cast("string").alias("ident"), F.col(url).alias("url"), _host(F.col(url)).alias("host"), _path(F.col(url)).alias("path"), F.col(page).alias("page")
+    )
+    rows = rows.withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit("")), "key": F.coalesce("ident", F.lit(""))})
+    conf = pages.sparkSession.conf
+    parts = max(int(conf.get("spark.sql.shuffle.partitions")), int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 1))
+    keys = ("host", "path", "key")
+    drawn = rows.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(min(SAMPLED_KEYS * parts, MOST_KEYS))
+    drawn = sorted(tuple(r) for r in drawn.collect())
+    borders = sorted({drawn[len(drawn) * k // parts] for k in range(1, parts)}) if drawn else []
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(*key, _sign(blocks(page)), bisect_right(borders, key)) for *key, page in batch.itertuples(index=False) for key in [tuple(key)]]
+            out = [x for x in out if x[3] is not None]
+            if out:
+                yield pd.DataFrame(out, columns=["host", "path", "key", "sign", "part"])
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        before, here = None, None
-
-        def done(one, last, following):
-            near = [x for x in (last, following) if x is not None and x[2] == one[2]]
-            partner = max(near, key=lambda x: _near(one[3], x[3]), default=None)
-            return one[0], one[1], main_text(one[4], partner[4] if partner else None)
+    placed = rows.select(*keys, "page").mapInPandas(place, "host string, path string, key string, sign long, part int")
+    guests = _guests(materialise(placed, "page-places"))
 
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for number, address, host, path, page in batch.itertuples(index=False):
-                row = (number, address, host, path or "", blocks(page))
-                if here is not None:
-                    out.append(done(here, before, row))
-                before, here = here, row
-            if out:
-                yield _frame(out)
-        if here is not None:
-            yield _frame([done(here, before, None)])
-
-    rows = pages.select(
-        F.col(ident).cast("string").alias("ident"), F.col(url).alias("url"), _host(F.col(url)).alias("host"), _path(F.col(url)).alias("path"), F.col(page).alias("page")
+            for number, address, host, path, key, page in batch.itertuples(index=False):
+                own = blocks(page)
+                sign = _sign(own)
+                row = (number, address, host, path, sign, _pack(own) if sign is not None else "")
+                out.append((*row, bisect_right(borders, (host, path, key)), False))
+                out += [(*row, part, True) for part in guests.get((host, path, key, sign), ())]
+            frame = {name: texts_of(x[k] for x in out) for k, name in enumerate(("ident", "url", "host", "path"))}
+            frame["sign"] = pd.array([x[4] for x in out], dtype="Int64")
+            yield pd.DataFrame(frame | {"blocks": texts_of(x[5] for x in out), "part": [x[6] for x in out], "guest": [x[7] for x in out]})
+
+    parsed = rows.select("ident", "url", "host", "path", "key", "page").mapInPandas(
+        parse, "ident string, url string, host string, path string, sign long, blocks string, part int, guest boolean"
     )
-    rows = rows.withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit(""))})
-    keys = ("host", "path", "ident")
-    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    texts = ordered.mapInPandas(pairs, "ident string, url string, text string")
+    order = ["part", "host", "path", F.coalesce("ident", F.lit("")), "sign"]
+    ordered = parsed.repartitionById(parts, F.col("part")).sortWithinPartitions(*order)
+    texts = ordered.select("part", "host", "path", "sign", "guest", "ident", "url", "blocks").mapInPandas(_paired, "ident string, url string, text string")
     return texts.select(F.col("ident").cast(pages.schema[ident].dataType).alias(ident), F.col("url").alias(url), "text")
 
 
+def _paired(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts of the ordered pages of partitions; pages beside each other that say the same wait for the next one."""
+    before, run, here = None, [], None  # what says something else before the run; the run, and its (part, host, sign)
+
+    def done(following: tuple | None) -> Iterator[tuple]:
+        others = [(path, [text for _, text in _unpack(packed)]) for path, packed in (x for x in (before, following) if x)]
+        texts: dict[tuple, str] = {}
+        for path, guest, number, address, packed in run:
+            if not guest:
+                which = max(range(len(others)), key=lambda k: _near(path, others[k][0]), default=None)
+                if (packed, which) not in texts:
+                    texts[packed, which] = main_text(_unpack(packed), others[which][1] if which is not None else None)
+                yield number, address, texts[packed, which]
+
+    for batch in batches:
+        out = []
+        for part, host, path, sign, guest, number, address, packed in batch.itertuples(index=False):
+            if not packed:
+                out.append((number, address, ""))
+                continue
+            if here != (part, host, sign):
+                same = here is not None and here[:2] == (part, host)
+                for text in done((path, packed) if same else None):
+                    out.append(text)
+                    if len(out) >= 256:
+                        yield _frame(out)
+                        out = []
+                before, run, here = (run[-1][0], run[-1][4]) if same else None, [], (part, host, sign)
+            packed = run[-1][4] if run and run[-1][4] == packed else packed  # copies are held once
+            run.append((path, guest, number, address, packed))
+        if out:
+            yield _frame(out)
+    out = list(done(None))
+    for at in range(0, len(out), 256):
+        yield _frame(out[at : at + 256])
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame({name: texts_of(x[k] for x in rows) for k, name in enumerate(("ident", "url", "text"))})

@@ -73,6 +73,38 @@ def test_unmarked_pages_lose_what_neighbours_share(spark):
     assert got == {**{i: f"Story {i}" for i in range(8)}, 99: "Menu\nOnly"}
 
 
+def test_copies_are_no_partners(spark):
+    def html_of(story):
+        return f"<div>Menu</div><p>{story}</p><div>All rights</div>"
+
+    rows = [(i, f"http://h.example/a/x?copy={i}", html_of("Same")) for i in range(5)]  # copies under one path
+    rows += [(9, "http://h.example/b", html_of("Other")), (9, "http://h.example/b", html_of("Other")), (10, "http://h.example/b/empty", "")]
+    rows += [(i, f"http://copies.example/{i}", html_of("Only")) for i in (20, 21)]
+    got = sorted((r.page_id, r.text) for r in pages.extract_text(page_frame(spark, rows)).collect())
+    whole = "Menu\nOnly\nAll rights"
+    assert got == [*((i, "Same") for i in range(5)), (9, "Other"), (9, "Other"), (10, ""), (20, whole), (21, whole)]
+
+
+def test_partition_borders_make_no_difference(spark):
+    draw = random.Random(6)
+    rows = []
+    for i in range(120):
+        host, story = draw.choice("abcdef"), draw.randrange(12)
+        rows.append((i, f"http://{host}.example/{draw.choice('xyz')}/{draw.randrange(9)}", f"<div>Menu {host}</div><p>Story {story}</p><p>{draw.choice('pq')}</p>"))
+    rows += [(1000 + i, f"http://two{i}.example/{j}", f"<div>Menu</div><p>Story {j}</p>") for i in range(20) for j in range(2)]
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), {}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for parts in (1, 3, 40, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            seen[parts] = sorted((r.page_id, r.url, r.text) for r in pages.extract_text(page_frame(spark, rows)).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert all(got == seen[1] for got in seen.values())
+    assert all(text == f"Story {address[-1]}" for number, address, text in seen[200] if number >= 1000)
+
+
 def test_pages_on_awkward_rows(spark):
     marked = PAGE.format(body="<article><p>Same text</p></article>")
     rows = [(0, None, marked), (1, "http://a.example/x", None), (2, "http://a.example/x", ""), (3, "no url", marked), (None, "http://a.example/y", marked), (0, None, marked)]
