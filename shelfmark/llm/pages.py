@@ -22,8 +22,9 @@ from shelfmark.llm.common import materialise, texts_of
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))|[^<]+|<", re.S)
 _MARKS = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_NAME = re.compile(r"[a-z]+")
+_HIDDEN = re.compile(r"""aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_HIDDEN_NAME = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)""", re.I)
+_QUOTED = re.compile(r"""\"[^\"]*\"|'[^']*'""")
 
 # Elements of HTML: no text of the page, no end tag, and the inline ones, which don't end a block.
 _RAW = frozenset("script style noscript template textarea title svg math iframe object audio video canvas head".split())
@@ -33,32 +34,77 @@ _INLINE = frozenset(
 )
 _APART = frozenset("nav footer aside form button select menu dialog fieldset".split())
 _ARTICLE = frozenset("article main".split())
-# Words in class, id and role that name what isn't the article.
+# What a form of nothing but fields may hold beside inline elements.
+_FIELDS = frozenset("input button select option optgroup datalist fieldset legend".split())
+# Whole names in class, id and role of what isn't the article; those in _LOOSE_NAMES may be part of one.
 _APART_NAMES = frozenset(
     """ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice
     notices alert popup modal overlay sidebar aside nav navbar navigation menu breadcrumb breadcrumbs footer masthead toolbar share
     sharing social related recommended comment comments reply replies respond disqus newsletter subscribe subscription signup login
     widget pagination pager skip search form complementary contentinfo""".split()
 )
+_LOOSE_NAMES = frozenset("notice notices alert reply replies respond form search skip widget".split())
 _ARTICLE_NAMES = frozenset("articlebody".split())
 
 NOISE, PLAIN, ARTICLE = 0, 1, 2
+# What attributes may say besides.
+_LOOSE, _UNSEEN = 3, 4
+
+
+class _Element:
+    """An open element that isn't inline: what its attributes say, and what stands in it."""
+
+    __slots__ = ("name", "marked", "outer", "has_article", "has_blocks", "zone", "unseen")
+
+    def __init__(self, name: str, marked: int | None, outer: _Element | None):
+        self.name, self.marked, self.outer = name, marked, outer
+        self.has_article = self.has_blocks = False
+
+    def is_article(self) -> bool:
+        return self.name == "main" or self.name in _ARTICLE and self.marked != NOISE or self.marked == ARTICLE
+
+    def settle(self) -> None:
+        """Its zone, once the whole page is read and its outer element is settled."""
+        inside = self.outer.zone if self.outer else PLAIN
+        whole = self.name in ("html", "body")
+        self.unseen = bool(self.outer and self.outer.unseen) or self.marked == _UNSEEN and not whole
+        if self.unseen:
+            self.zone = NOISE
+        elif self.is_article():
+            self.zone = ARTICLE
+        elif inside == NOISE or whole:
+            self.zone = inside
+        elif self.name in ("form", "fieldset"):
+            strict = self.marked == NOISE and not self.has_article
+            self.zone = NOISE if strict or not (self.has_article or self.has_blocks) else PLAIN
+        elif self.name in _APART or self.name == "header" and inside != ARTICLE:
+            self.zone = NOISE
+        elif not self.has_article and (self.marked == NOISE or self.marked == _LOOSE and inside != ARTICLE):
+            self.zone = NOISE
+        else:
+            self.zone = inside
 #: Keys drawn per partition, and in all, to find the borders of partitions of about equal size.
 SAMPLED_KEYS, MOST_KEYS = 20, 100_000
 
 
 def blocks(page: str | None) -> list[tuple[int, str]]:
-    """``(zone, text)`` of every block of text, in page order; white space is one space."""
-    out: list[tuple[int, str]] = []
+    """``(zone, text)`` of every block of text, in page order; white space is one space.
+
+    Names in class, id and role make an element noise only as whole names, and neither the page as a whole nor what
+    holds an article; an article in noise is one, unless hidden.  A form that holds more than fields is left to the
+    differencing.
+    """
+    out: list[tuple[_Element | None, str]] = []
     held: list[str] = []
-    stack: list[tuple[str, int]] = []  # open elements that aren't inline, and the zone inside each
-    zone, skip = PLAIN, None
+    stack: list[_Element] = []
+    elements: list[_Element] = []
+    here, skip = None, None
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(held)).split())
         held.clear()
         if text:
-            out.append((zone, text))
+            out.append((here, text))
 
     for match in _TOKEN.finditer(page or ""):
         name = match[2]
@@ -82,38 +128,42 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             held.append(" ")
             continue
         marked = _marked(match[3]) if match[3] else None
-        if name in _INLINE and not closing and marked is None:
+        if name in _INLINE and not closing and marked in (None, _LOOSE):
             continue
         if closing:
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            outer = stack[at - 1][1] if at else PLAIN
-            if name not in _INLINE or at is not None and stack[at][1] != outer:
+            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name), None)
+            if name not in _INLINE or at is not None:
                 flush()
             if at is not None:
                 del stack[at:]
         else:
             flush()
-            if name == "p" and stack and stack[-1][0] == "p":
+            if name == "p" and stack and stack[-1].name == "p":
                 stack.pop()
-            inside = stack[-1][1] if stack else PLAIN
             if name not in _VOID and not match[3].rstrip().endswith("/"):
-                if inside != NOISE:
-                    if name in _APART or marked == NOISE or name == "header" and inside != ARTICLE:
-                        inside = NOISE
-                    elif name in _ARTICLE or marked == ARTICLE:
-                        inside = ARTICLE
-                stack.append((name, inside))
-        zone = stack[-1][1] if stack else PLAIN
+                element = _Element(name, marked, stack[-1] if stack else None)
+                for flag, holds in (("has_article", element.is_article()), ("has_blocks", name not in _FIELDS and name not in _INLINE)):
+                    for x in reversed(stack) if holds else ():
+                        if getattr(x, flag):  # so have all around it
+                            break
+                        setattr(x, flag, True)
+                stack.append(element)
+                elements.append(element)
+        here = stack[-1] if stack else None
     flush()
-    return out
+    for element in elements:
+        element.settle()
+    return [(element.zone if element else PLAIN, text) for element, text in out]
 
 
 def _marked(attributes: str) -> int | None:
     """What class, id, role or itemprop say about an element."""
-    if _HIDDEN.search(attributes):
-        return NOISE
-    names = {w for found in _MARKS.findall(attributes) for w in _NAME.findall("".join(found).lower())}
-    return NOISE if names & _APART_NAMES else ARTICLE if names & _ARTICLE_NAMES else None
+    if _HIDDEN.search(attributes) or _HIDDEN_NAME.search(_QUOTED.sub("''", attributes)):
+        return _UNSEEN
+    names = {w for found in _MARKS.findall(attributes) for w in "".join(found).lower().split()}
+    if names & _APART_NAMES:
+        return NOISE if names & _APART_NAMES - _LOOSE_NAMES else _LOOSE
+    return ARTICLE if names & _ARTICLE_NAMES else None
 
 
 def shared(one: list[str], two: list[str]) -> set[int]:

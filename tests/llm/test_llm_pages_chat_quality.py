@@ -43,6 +43,29 @@ def test_broken_markup():
     assert pages.blocks("<p title='a>b'>t</p>") == [(pages.PLAIN, "t")]
 
 
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<body class='has-sidebar'>{}</body>", "<body class='sidebar'>{}</body>", "<html class='widget'><body hidden>{}</body></html>", "<div class='content no-comments'>{}</div>",
+        "<form id='aspnet'>{}</form>", "<form><fieldset>{}</fieldset></form>", "<div class='search-results'>{}</div>", "<div style='overflow: hidden ;'>{}</div>",
+    ],
+)
+def test_no_name_takes_a_whole_page(around):
+    got = pages.blocks(around.format("<h1>Head</h1><p>Story</p>"))
+    assert got == [(pages.PLAIN, "Head"), (pages.PLAIN, "Story")]
+    got = pages.blocks(around.format("<article><h1>Head</h1><p>Story</p></article>"))
+    assert got == [(pages.ARTICLE, "Head"), (pages.ARTICLE, "Story")]
+
+
+def test_articles_keep_their_text():
+    got = pages.blocks("<main id='with-sidebar'><p class='notice'>One</p><div class='reply'>Two</div><p>a <b class='alert'>b</b> c</p><div class='share'>Tweet</div></main>")
+    assert got == [(pages.ARTICLE, "One"), (pages.ARTICLE, "Two"), (pages.ARTICLE, "a b c"), (pages.NOISE, "Tweet")]
+    assert pages.blocks("<div class='widget sidebar'><article>In</article></div>") == [(pages.ARTICLE, "In")]
+    assert pages.blocks("<aside>Out<article>In</article></aside>") == [(pages.NOISE, "Out"), (pages.ARTICLE, "In")]
+    assert pages.blocks("<div id='comments'><article class='comment'>First!</article></div>") == [(pages.NOISE, "First!")]
+    assert pages.blocks("<div hidden><article>Unseen</article></div>") == [(pages.NOISE, "Unseen")]
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     def length(a, b):
         row = [0] * (len(b) + 1)
