@@ -3,7 +3,8 @@
 Vectors are dealt to overlapping cluster shards.  In every piece of a shard a graph is built whose edges survive robust
 pruning; the adjacency lists of a vector are united over its shards.  Every vector then searches the graph of each of
 its shards greedily from the medoids, and expands everything within range.  Links are confirmed in double precision;
-recall is audited against brute force on a bounded sample, and the overlap grows until it is met.
+recall is audited against brute force on a bounded sample.  Until it is met the overlap grows, then shards are compared
+exactly, and in the end all vectors are one shard.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from shelfmark.llm.vectors import centroids, classes, sample, unit, usable
 class Graph:
     """``piece`` bounds the vectors of one graph and ``block`` the queries of one task; larger shards are cut.
 
-    ``sample_rows``, ``most_shards`` and ``audit_rows`` bound what comes to the driver.
+    ``sample_rows``, ``most_shards``, ``audit_rows`` and ``audit_small`` bound what comes to the driver.
     """
 
     threshold: float = 0.95
@@ -40,6 +41,7 @@ class Graph:
     sample_rows: int = 20_000
     most_shards: int = 2048
     audit_rows: int = 200
+    audit_small: int = 800  # more of them, away from the hot groups
     least_recall: float = 0.98
     seed: int = 7
 
@@ -146,8 +148,11 @@ def _dealt(rows: DataFrame, middle: np.ndarray, overlap: int, settings: Graph) -
     return rows.withColumn("dealt", deal("vec")).select("rep", "vec", "copies", "dealt.*")
 
 
-def _links(dealt: DataFrame, settings: Graph) -> tuple[DataFrame, DataFrame]:
-    """``(rep, found)`` with the rows linked to every class, and edges ``(src, dst)`` that connect the same classes."""
+def _links(dealt: DataFrame, settings: Graph, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(rep, found)`` with the rows linked to every class, and edges ``(src, dst)`` that connect the same classes.
+
+    ``exact`` compares all vectors of a shard, block by block, instead of searching its graph.
+    """
     members = dealt.withColumn("shard", F.explode("shards"))
     sizes = members.groupBy("shard").agg(F.count("*").alias("n"))
     sizes = sizes.withColumn("pieces", F.ceil(F.col("n") / settings.piece).cast("int")).withColumn("blocks", F.ceil(F.col("n") / settings.block).cast("int"))
@@ -161,11 +166,15 @@ def _links(dealt: DataFrame, settings: Graph) -> tuple[DataFrame, DataFrame]:
         reps = rows["rep"].to_numpy()
         return pd.DataFrame({"rep": reps, "near": [reps[v] for v in pruned_graph(x, settings)]})
 
-    lists = members.select("shard", "piece", "rep", "unit").groupBy("shard", "piece").applyInPandas(build, "rep long, near array<long>")
-    # A vector is in few shards, and every list is bounded: so is their union.
-    united = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    united = materialise(united.withColumnRenamed("rep", "of"), "adjacency")
-    nodes = members.join(united, F.col("rep") == F.col("of")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
+    if exact:
+        nodes = members.withColumn("near", F.array().cast("array<long>"))
+    else:
+        lists = members.select("shard", "piece", "rep", "unit").groupBy("shard", "piece").applyInPandas(build, "rep long, near array<long>")
+        # A vector is in few shards, and every list is bounded: so is their union.
+        united = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+        united = materialise(united.withColumnRenamed("rep", "of"), "adjacency")
+        nodes = members.join(united, F.col("rep") == F.col("of"))
+    nodes = nodes.withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
     nodes = nodes.select("shard", "piece", "block", "rep", "vec", "unit", "copies", "shards", "near", F.lit(True).alias("node"))
     queries = members.withColumn("piece", F.explode(F.expr("sequence(0, pieces - 1)"))).withColumn("block", F.pmod(F.xxhash64(F.lit(2), "rep"), "blocks").cast("int"))
     queries = queries.select("shard", "piece", "block", "rep", "vec", "unit", "copies", "shards", F.lit(None).cast("array<long>").alias("near"), F.lit(False).alias("node"))
@@ -179,19 +188,22 @@ def _links(dealt: DataFrame, settings: Graph) -> tuple[DataFrame, DataFrame]:
         x, q = np.array(own["unit"].tolist(), np.float32), np.array(asking["unit"].tolist(), np.float32)
         exact_x, exact_q = np.array(own["vec"].tolist(), float), np.array(asking["vec"].tolist(), float)
         norm_x, norm_q = np.sqrt((exact_x**2).sum(axis=1)), np.sqrt((exact_q**2).sum(axis=1))
-        order = np.argsort(reps)
-        near = [order[np.minimum(np.searchsorted(reps, v, sorter=order), len(reps) - 1)][np.isin(v, reps)] for v in own["near"]]
-        table = np.full((len(own), max(1, max(map(len, near)))), -1)
-        for k, v in enumerate(near):
-            table[k, : len(v)] = v
-        middle = unit(x.mean(axis=0, keepdims=True) + 1e-12)[0]
-        spread = np.linspace(0, len(x) - 1, min(settings.medoids, len(x))).astype(int)
-        entries = np.unique(np.concatenate([[int((x @ middle).argmax())], np.argsort(x @ middle, kind="stable")[spread]]))
+        if not exact:
+            order = np.argsort(reps)
+            near = [order[np.minimum(np.searchsorted(reps, v, sorter=order), len(reps) - 1)][np.isin(v, reps)] for v in own["near"]]
+            table = np.full((len(own), max(1, max(map(len, near)))), -1)
+            for k, v in enumerate(near):
+                table[k, : len(v)] = v
+            middle = unit(x.mean(axis=0, keepdims=True) + 1e-12)[0]
+            spread = np.linspace(0, len(x) - 1, min(settings.medoids, len(x))).astype(int)
+            entries = np.unique(np.concatenate([[int((x @ middle).argmax())], np.argsort(x @ middle, kind="stable")[spread]]))
         shards_x, shards_q = np.array(own["shards"].tolist()), np.array(asking["shards"].tolist())
         copies = own["copies"].to_numpy()
         total, one, two = np.zeros(len(asking), np.int64), [], []
         for at in range(0, len(q), 256):
-            for k, hits in enumerate(range_search(x, table, q[at : at + 256], entries, settings), at):
+            asks = q[at : at + 256]
+            near_by = (np.flatnonzero(row >= settings.threshold - 1e-4) for row in asks @ x.T) if exact else range_search(x, table, asks, entries, settings)
+            for k, hits in enumerate(near_by, at):
                 hits = hits[reps[hits] != asked[k]]
                 if not len(hits):
                     continue
@@ -225,16 +237,50 @@ def _true_links(rows: DataFrame, asked: list, threshold: float) -> dict[int, int
     norms = np.sqrt((q * q).sum(axis=1))
 
     def count(batches):
+        n = np.zeros(len(reps), np.int64)
         for batch in batches:
             x = np.array(batch["vec"].tolist(), float)
             cosine = (x @ q.T) / np.sqrt((x * x).sum(axis=1))[:, None] / norms
             hit = (cosine >= threshold) & (batch["rep"].to_numpy()[:, None] != reps)
-            yield pd.DataFrame({"rep": reps, "n": (hit * batch["copies"].to_numpy()[:, None]).sum(axis=0)})
+            n += (hit * batch["copies"].to_numpy()[:, None]).sum(axis=0)
+        yield pd.DataFrame({"rep": reps, "n": n})
 
     got = rows.select("rep", "vec", "copies").mapInPandas(count, "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n")).collect()
     return {r["rep"]: r["n"] for r in got}
 
 
+def _linked_sample(asked: list, threshold: float) -> np.ndarray:
+    """A number per class, the same for those that links inside the sample connect."""
+    x = unit(np.array([r["vec"] for r in asked], float))
+    return _local_components(len(x), *np.nonzero(x @ x.T >= threshold))
+
+
+def _audited(rows: DataFrame, settings: Graph) -> list:
+    """Classes to audit: a plain sample, and one of those that don't link with a hot group, which the first shows."""
+    drawn = F.xxhash64(F.lit(settings.seed + 1), "rep")
+    asked = rows.orderBy(drawn, "rep").limit(settings.audit_rows).select("rep", "vec").collect()
+    group = _linked_sample(asked, settings.threshold)
+    hot = np.bincount(group, minlength=len(asked))[group] > 1
+    known = np.array([r["rep"] for r in asked])
+    middle = unit(np.array([r["vec"] for r in asked], float))[hot]
+
+    @F.pandas_udf("boolean")
+    def apart(reps: pd.Series, vectors: pd.Series) -> pd.Series:
+        x = unit(np.array(vectors.tolist(), float).reshape(len(vectors), -1))
+        return pd.Series((x @ middle.T < settings.threshold).all(axis=1) & ~reps.isin(known).to_numpy())
+
+    return asked + rows.where(apart("rep", "vec")).orderBy(drawn, "rep").limit(settings.audit_small).select("rep", "vec").collect()
+
+
+def _recall(found: dict[int, int], truth: dict[int, int], groups: dict[int, int]) -> float:
+    """Mean share of their links that classes find; those of one group count as one, so a hot group hides nothing."""
+    shares: dict[int, list[float]] = {}
+    for rep, n in truth.items():
+        if n:
+            shares.setdefault(groups[rep], []).append(min(found.get(rep, 0), n) / n)
+    return float(np.mean([np.mean(x) for x in shares.values()])) if shares else 1.0
+
+
 def near_duplicate_vectors(vectors: DataFrame, settings: Graph = Graph(), ident: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``(ident, n_links, component_id, kept)`` of every row.
 
@@ -249,20 +295,24 @@ def near_duplicate_vectors(vectors: DataFrame, settings: Graph = Graph(), ident:
     points = sample(grouped, settings.sample_rows, settings.seed)
     counts, edges = None, None
     if total:
-        asked = grouped.orderBy(F.xxhash64(F.lit(settings.seed + 1), "rep"), "rep").limit(settings.audit_rows).select("rep", "vec").collect()
+        asked = _audited(grouped, settings)
+        groups = dict(zip((r["rep"] for r in asked), _linked_sample(asked, settings.threshold).tolist()))
         truth = _true_links(grouped, asked, settings.threshold)
-        overlap = settings.overlap
+        overlap, exact = settings.overlap, False
         while True:
             shards = max(1, min(settings.most_shards, -(-total * overlap // settings.piece)))
-            middle = centroids(unit(points), shards, settings.seed)
+            middle = centroids(unit(points), 1 if exact and overlap >= shards else shards, settings.seed)
             overlap = min(overlap, len(middle))
             dealt = materialise(_dealt(grouped, middle, overlap, settings), "dealt")
-            counts, edges = _links(dealt, settings)
+            counts, edges = _links(dealt, settings, exact)
             found = {r["rep"]: r["found"] for r in counts.where(F.col("rep").isin(list(truth))).collect()}
-            recall = sum(min(found.get(k, 0), n) for k, n in truth.items()) / max(1, sum(truth.values()))
-            if recall >= settings.least_recall or overlap >= min(4 * settings.overlap, len(middle)):
+            # All vectors in one shard, compared exactly, leave nothing out.
+            if _recall(found, truth, groups) >= settings.least_recall or exact and len(middle) == 1:
                 break
-            overlap = min(2 * overlap, len(middle))
+            if not exact and overlap >= min(4 * settings.overlap, len(middle)):
+                exact = True
+            else:
+                overlap *= 2
     rows = vectors.select(F.col(ident).alias(ident), F.col(ident).cast("long").alias("_id"), F.xxhash64(F.col(vector).cast("array<double>")).alias("_hash"))
     if counts is None:
         return rows.select(ident, F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("component_id"), F.lit(True).alias("kept"))

@@ -54,6 +54,18 @@ def test_graph_finds_all_links(spark, settings):
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {i: (counts[i], parts[i], parts[i] == i) for i in counts}
 
 
+def test_a_hot_group_hides_no_lost_pairs(spark):
+    draw = np.random.default_rng(5)
+    rows = families(2, 1, 400, far=0) + [(1000 + i, v) for i, v in families(3, 120, 2, far=200)]
+    rows = [(i, rows[k][1]) for i, k in enumerate(draw.permutation(len(rows)))]
+    counts, _ = brute_links(rows, 0.95)
+    weak = graph_dedup.Graph(degree=1, candidates=1, beam=1, medoids=1)  # finds its way in a hot group only
+    got = {r.vec_id: r.n_links for r in graph_dedup.near_duplicate_vectors(frame(spark, rows), weak).collect()}
+    small = [i for i, n in counts.items() if 0 < n < 10]
+    assert len(small) == 240 and np.mean([got[i] / counts[i] for i in small]) >= 0.98
+    assert graph_dedup._recall({1: 500, 2: 0}, {1: 500, 2: 1, 3: 0}, {1: 0, 2: 1, 3: 2}) == 0.5
+
+
 def test_graph_on_the_given_vectors(spark):
     for folder in FOLDERS:
         rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
