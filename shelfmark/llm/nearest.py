@@ -24,7 +24,8 @@ class Hashing:
     """``cell_rows`` is what a cell should hold on average; ``part`` and ``block`` bound the rows and queries of a task.
 
     ``sample_rows`` and ``fit_queries`` bound what comes to the driver.  The number of probes is the smallest power of
-    two with which the sampled queries find ``recall`` of their true neighbours.
+    two with which the sampled queries find ``recall`` of their true neighbours; if ``most_probes`` don't, every query is
+    compared with all rows.
     """
 
     k: int = 20
@@ -35,7 +36,6 @@ class Hashing:
     most_probes: int = 4096
     part: int = 4096
     block: int = 2048
-    spare: int = 12
     sample_rows: int = 10_000
     fit_queries: int = 100
     seed: int = 3
@@ -162,15 +162,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, settings: Hashing = Hashing(
     top = float(np.sqrt(grouped.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))).first()[0]))
     grid = Grid(points, top, total, settings)
     asked = asking.orderBy(F.xxhash64(F.lit(settings.seed), "ident"), "ident").limit(settings.fit_queries).select(F.col("ident").alias("rep"), "vec").toPandas()
-    probes, _ = probes_needed(grid, asked, _exact(grouped, asked, settings.k), settings)
+    probes, recall = probes_needed(grid, asked, _exact(grouped, asked, settings.k), settings)
+
+    whole = recall < settings.recall  # probing finds too little: all rows are one cell, compared block by block
 
     @F.pandas_udf("array<long>")
     def home(rows: pd.Series) -> pd.Series:
+        if whole:
+            return pd.Series([[0]] * len(rows))
         places = np.floor(grid.places(np.array(rows.tolist(), float), False))
         return pd.Series(list(np.stack([grid.names(places[t], t) for t in range(len(places))], 1)))
 
     @F.pandas_udf("array<long>")
     def visited(rows: pd.Series) -> pd.Series:
+        if whole:
+            return pd.Series([[0]] * len(rows))
         return pd.Series([np.concatenate(cells) for cells in grid.visits(np.array(rows.tolist(), float), probes)])
 
     stored = materialise(grouped.select("rep", "vec", "ids", F.explode(home("vec")).alias("cell")), "stored")
@@ -188,15 +194,22 @@ def nearest(vectors: DataFrame, queries: DataFrame, settings: Hashing = Hashing(
         own, calls_ = rows[rows["query"].isna()], rows[rows["query"].notna()]
         x, q = np.array(own["vec"].tolist(), float), np.array(calls_["vec"].tolist(), float)
         ids = own["ids"].tolist()
-        take = min(len(x), settings.k + settings.spare)
+        if not len(x) or not len(q):
+            return pd.DataFrame({"query": [], "reps": [], "scores": [], "ids": []})
+        take = min(len(x), settings.k + 1)  # the query itself may be one of them
+        first = np.array([i[0] for i in ids], np.int64)
+        longest = np.sqrt((x * x).sum(axis=1).max())
         out = []
         for at in range(0, len(q), 256):
             scores = q[at : at + 256] @ x.T
-            best = np.argpartition(-scores, take - 1, axis=1)[:, :take]
-            # Summed row by row, so that equal vectors score alike wherever they stand.
-            exact = (q[at : at + 256, None, :] * x[best]).sum(axis=2)
-            for name, row, values in zip(calls_["query"].iloc[at : at + 256], best, exact):
-                order = np.lexsort(([ids[k][0] for k in row], -values))[: settings.k + 1]
+            least = np.partition(scores, len(x) - take, axis=1)[:, len(x) - take]
+            # More than rounding can move a product; whatever may tie with the last place is ranked exactly.
+            margin = 4 * x.shape[1] * np.finfo(float).eps * longest * np.sqrt((q[at : at + 256] ** 2).sum(axis=1))
+            for name, own_q, near, low in zip(calls_["query"].iloc[at : at + 256], q[at : at + 256], scores, least - margin):
+                row = np.flatnonzero(near >= low)
+                # Summed row by row, so that equal vectors score alike wherever they stand.
+                values = (own_q * x[row]).sum(axis=1)
+                order = np.lexsort((first[row], -values))[: settings.k + 1]
                 out.append((int(name), [int(ids[row[k]][0]) for k in order], [float(values[k]) for k in order], [[int(i) for i in ids[row[k]]] for k in order]))
         return pd.DataFrame(out, columns=["query", "reps", "scores", "ids"])
 

@@ -129,6 +129,26 @@ def test_search_by_inner_product_with_ties_and_hot_cells(spark):
     assert got[1050][:19] == want[1050][:19]  # copies of the query, by id
 
 
+def test_ties_of_different_vectors_go_to_the_smaller_ident(spark):
+    draw = random.Random(7)
+    rows = [(i, [0.0, *(float(draw.randrange(-9, 10)) for _ in range(6)), float(i + 1)]) for i in range(600)]  # all orthogonal to the query
+    draw.shuffle(rows)
+    everything = frame(spark, [*rows, (5000, [1.0] + [0.0] * 7)])
+    got = nearest.nearest(everything, everything.where("vec_id = 5000"), nearest.Hashing(recall=1.0)).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(i, 0.0) for i in range(20)]
+
+
+def test_search_goes_on_where_probes_find_too_little(spark):
+    draw = np.random.default_rng(9)
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(draw.normal(size=(1500, 16)))]
+    everything = frame(spark, rows)
+    settings = nearest.Hashing(tables=1, cell_rows=4, most_probes=2, part=400, block=16)
+    got = {}
+    for r in nearest.nearest(everything, everything.where("vec_id % 50 = 0"), settings).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [i for i, _ in found] for q, found in brute_nearest(rows, [x for x in rows if x[0] % 50 == 0], 20).items()}
+
+
 def test_search_on_awkward_vectors(spark):
     docs = awkward(spark)
     got = {(r.query_id, r["rank"]): r.vec_id for r in nearest.nearest(docs, docs).collect()}
