@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, graph_dedup, lines, minhash, mixing, nearest, packing, pages, quality, toxicity
+from shelfmark.llm import chat, graph_dedup, licences, lines, minhash, mixing, nearest, negatives, packing, pages, phrases, quality, toxicity
 from shelfmark.llm.common import prepared, read
 from shelfmark.llm.oracle import ORACLE
 
@@ -86,3 +86,20 @@ def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_multiprobe_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(prepared(spark), folder, "embeddings")
     return nearest.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read(prepared(spark), folder, "documents"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(prepared(spark), folder, "embeddings")
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", relabelled))
+
+
+@query
+def op13_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan_licences(read(prepared(spark), folder, "documents"))
