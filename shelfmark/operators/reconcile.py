@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.scalars import round_half_up
-from shelfmark.operators.ordering import with_positions
+from shelfmark.operators.digests import comparable, differing_rows, row_hashes
+from shelfmark.operators.ordering import GROUP_ROWS, with_positions
+from shelfmark.session import BROADCAST_ROWS, materialise
 
 # Largest difference at which two numbers still count as equal.
 TOLERANCE = 0.01
@@ -95,26 +97,61 @@ def column_diff(left: DataFrame, right: DataFrame) -> dict[str, list[str]]:
     }
 
 
+def _without_equal_rows(left: DataFrame, right: DataFrame, key: str, common: list[str]) -> tuple[DataFrame, DataFrame, int]:
+    """The rows of both sides that have no equal row on the other one, and the most of them that share a key.
+
+    Equal rows are counted by two 64-bit hashes, added up before the shuffle, so many copies of one row, or many
+    different rows of one key, meet in no single task.  Of a row with ``n`` copies more than on the other side, ``n`` stay.
+    """
+    columns = [key, *common]
+    sides = [df.withColumns(dict(zip(("_h1", "_h2"), row_hashes(df, other, columns)))) for df, other in ((left, right), (right, left))]
+    counted = [df.groupBy("_h1", "_h2").agg(F.count(F.lit(sign)).alias("n"), F.first(F.col(key).cast("string")).alias("_k")) for df, sign in zip(sides, (1, -1))]
+    signed = counted[0].unionByName(counted[1].withColumn("n", -F.col("n")))
+    apart = signed.groupBy("_h1", "_h2").agg(F.sum("n").alias("_n"), F.first("_k").alias("_k")).where("_n <> 0")
+    apart = materialise(apart, "unequal-rows")
+    per_key = apart.groupBy("_k").agg(F.sum(F.greatest("_n", F.lit(0))).alias("l"), F.sum(F.greatest(-F.col("_n"), F.lit(0))).alias("r"))
+    most, rows = per_key.agg(F.max(F.greatest("l", "r")), F.sum(F.lit(1))).first()
+    few = (rows or 0) and apart.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    left_over = []
+    for df, sign in zip(sides, (1, -1)):
+        own = apart.where(F.col("_n") * sign > 0).select("_h1", "_h2", F.abs("_n").alias("_n"))
+        found = df.join(F.broadcast(own) if few else own, ["_h1", "_h2"])
+        one = found.groupBy("_h1", "_h2").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("_row"), F.first("_n").alias("_n"))
+        left_over.append(one.select("_row.*", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_same")).select(*columns))
+    return left_over[0], left_over[1], most or 0
+
+
+def _numbered(df: DataFrame, key: str, common: list[str], most: int) -> DataFrame:
+    """Column ``_copy``: the place of a row among those of its key, in the order of its values."""
+    values = [comparable(F.col(f"`{c}`"), df.schema[c].dataType).alias(f"_v{k}") for k, c in enumerate(common)]
+    names = [f"_v{k}" for k in range(len(common))]
+    if most <= 1:
+        return df.withColumn("_copy", F.lit(1).cast("bigint"))
+    ordered = df.select("*", *values)
+    if most <= GROUP_ROWS:
+        order = Window.partitionBy(key).orderBy(*[F.col(n) for n in names] or [F.lit(0)])
+        return ordered.withColumn("_copy", F.row_number().over(order).cast("bigint")).drop(*names)
+    # A key with more rows than a task should order: places in the order of the whole table, less the key's first one.
+    placed = with_positions(ordered, [key, *names], "_place")
+    first = placed.groupBy(F.col(key).alias("_first_key")).agg(F.min("_place").alias("_first"))
+    joined = placed.join(first, F.col(key).eqNullSafe(F.col("_first_key")))
+    return joined.withColumn("_copy", F.col("_place") - F.col("_first") + 1).drop("_place", "_first", "_first_key", *names)
+
+
 def cell_diff(left: DataFrame, right: DataFrame, key: str, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per differing cell of the common fields, and per row only one side has.
 
-    ``key`` identifies a row on both sides; null is a key like any other.  Rows
-    that share a key are numbered in the order of their values on either side
-    and compared number by number, so that equal results show no difference.
-    Numbers differ beyond the tolerance, everything else when not equal; null
-    equals null only, NaN equals NaN only.
+    ``key`` identifies a row on both sides; null is a key like any other.  Of rows that share a key, equal ones on both
+    sides pair off, and the rest is numbered in the order of its values on either side and compared number by number.
+    Numbers differ beyond the tolerance, everything else when not equal; null equals null only, NaN equals NaN only,
+    and maps are equal if their entries are.
     """
     common = [c for c in left.columns if c in right.columns and c != key]
-    numeric = {
-        f.name
-        for f in left.schema
-        if isinstance(f.dataType, T.NumericType) and isinstance(right.schema[f.name].dataType if f.name in right.columns else None, T.NumericType)
-    }
+    kinds = {c: (left.schema[c].dataType, right.schema[c].dataType) for c in common}
+    left, right, most = _without_equal_rows(left, right, key, common)
 
     def side(df: DataFrame, tag: str) -> DataFrame:
-        order = Window.partitionBy(key).orderBy(*[F.col(c) for c in common if not isinstance(df.schema[c].dataType, T.MapType)] or [F.lit(0)])
-        copies = df.withColumn("_copy", F.row_number().over(order))
-        return copies.select(
+        return _numbered(df, key, common, most).select(
             F.col(key).alias(f"_{tag}key"), F.col("_copy").alias(f"_{tag}copy"), F.struct(F.lit(True).alias("_here"), *common).alias(f"_{tag}")
         )
 
@@ -123,23 +160,37 @@ def cell_diff(left: DataFrame, right: DataFrame, key: str, tolerance: float = TO
 
     def cell(field: str) -> Column:
         l, r = F.col("_l").getField(field), F.col("_r").getField(field)
-        if field in numeric:
+        if all(isinstance(kind, T.NumericType) for kind in kinds[field]):
             a, b = l.cast("double"), r.cast("double")
             plain = ~F.isnan(a) & ~F.isnan(b) & (F.abs(a) < float("inf")) & (F.abs(b) < float("inf"))
             differs = F.when(l.isNull() | r.isNull(), l.isNull() != r.isNull()).when(plain, F.abs(a - b) > F.lit(tolerance)).otherwise(a != b)
         else:
-            differs = ~l.eqNullSafe(r)
+            differs = ~comparable(l, kinds[field][0]).eqNullSafe(comparable(r, kinds[field][1]))
         return F.when(differs, _entry(field, l.cast("string"), r.cast("string"), "value"))
 
     here, there = F.coalesce(F.col("_l._here"), F.lit(False)), F.coalesce(F.col("_r._here"), F.lit(False))
     nothing = F.lit(None).cast("string")
     missing = F.when(here, _entry(None, nothing, nothing, "missing_right")).otherwise(_entry(None, nothing, nothing, "missing_left"))
-    cells = F.filter(F.array(*[cell(c) for c in common]), lambda x: x.isNotNull())
+    cells = F.filter(F.array(*[cell(c) for c in common]), lambda x: x.isNotNull()) if common else F.array(missing)
+    cells = cells if common else F.filter(cells, lambda x: F.lit(False))
     return joined.select(
         F.when(here, F.col("_lkey")).otherwise(F.col("_rkey")).alias(key), F.explode(F.when(here & there, cells).otherwise(F.array(missing))).alias("_d")
     ).select(key, "_d.*")
 
 
+def range_diff(left: DataFrame, right: DataFrame, key: str, tolerance: float = TOLERANCE, ranges: int = 1024, fan: int = 64) -> DataFrame:
+    """``cell_diff`` of two tables that are expected to be mostly equal, by digests of key ranges.
+
+    The result is the same: rows of a key stand in one range on both sides, and ranges with equal digests have no
+    difference.  Equal tables are read once more than needed to find the ranges, and nothing but digests is shuffled.
+    """
+    rows = differing_rows(left, right, key, ranges, fan)
+    if rows is None:
+        kinds = T.StructType([T.StructField(key, left.schema[key].dataType), *[T.StructField(c, T.StringType()) for c in ("field", "left_value", "right_value", "difference")]])
+        return left.sparkSession.createDataFrame([], kinds)
+    return cell_diff(*rows, key, tolerance)
+
+
 def _entry(field: str | None, left: Column, right: Column, kind: str) -> Column:
     return F.struct(
         F.lit(field).cast("string").alias("field"),

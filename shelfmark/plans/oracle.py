@@ -393,6 +393,8 @@ _STATEMENTS: dict[str, str] = {
         "SELECT row_number() OVER (ORDER BY appid) - 1 AS row_no, appid, name, price FROM perturbed",
         "row_no", [("appid", True), ("name", False), ("price", True)],
     ),
+    "range_report": """SELECT COUNT(*) AS left_rows, COUNT(*) FILTER (WHERE app_id % 101 <> 0) AS right_rows,
+        bool_or(app_id % 101 = 0) AS differs FROM reviews""",
     "compare_results": """SELECT 'first' AS reference_result, 'renamed' AS compared_result, TRUE AS row_count_match,
         TRUE AS fields_match, CAST(0 AS BIGINT) AS differing_cells, TRUE AS match UNION ALL
         SELECT 'first', 'changed', COUNT(*) FILTER (WHERE appid % 79 = 0) = 0, TRUE, CAST(SUM(CASE WHEN appid % 79 = 0 THEN 1
@@ -446,6 +448,7 @@ for _name, _same in {
 }.items():
     _STATEMENTS[f"{_name}_documents"] = _same
     _STATEMENTS[f"{_name}_graph"] = _same
+_STATEMENTS["range_diff"] = _STATEMENTS["cell_diff"]
 _STATEMENTS["count_by_genre_documents"] = COUNT_BY_GENRE
 _STATEMENTS["price_history_analysis_documents"] = PRICE_HISTORY
 _STATEMENTS["multi_join_details_documents"] = DETAILS

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.scalars import round_half_up
-from shelfmark.operators import clean, documents, graph, normalize, reconcile, relational, runstats, summaries
+from shelfmark.operators import clean, digests, documents, graph, normalize, reconcile, relational, runstats, summaries
 from shelfmark.operators.ordering import mode_per_key
 from shelfmark.plans.store import SNAPSHOT_BASE, Store, open_store
 from shelfmark.session import scratch_path, tune
@@ -798,6 +798,23 @@ def cell_diff(store: Store) -> DataFrame:
     return reconcile.cell_diff(left, perturbed_games(store), "appid")
 
 
+@query("range_diff")
+def range_diff(store: Store) -> DataFrame:
+    """The cells of ``cell_diff``, found by digests of key ranges."""
+    left = store.catalog.games().select("appid", "name", "price", "metacritic_score", "discount")
+    return reconcile.range_diff(left, perturbed_games(store), "appid")
+
+
+@query("range_report")
+def range_report(store: Store) -> DataFrame:
+    """Rows per key range of the line items' reviews on both sides, one of which lacks a few; rows of all ranges are counted."""
+    reviews = store.catalog.reviews()
+    report = digests.range_report(reviews, reviews.where("app_id % 101 <> 0"), "app_id", 64)
+    return report.agg(
+        F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows"), F.bool_or("differs").alias("differs")
+    )
+
+
 @query("cell_diff_by_position")
 def cell_diff_by_position(store: Store) -> DataFrame:
     left = store.catalog.games().select("appid", "name", "price")
