@@ -247,6 +247,8 @@ _STATEMENTS: dict[str, str] = {
         CASE WHEN p_size % 5 <> 0 THEN p_brand || '|' || p_type END AS categories,
         CASE WHEN p_size % 7 <> 0 THEN string_split(p_name, ' ')[1] || '|rated' END AS tag_names,
         CASE WHEN p_size % 7 <> 0 THEN CAST(p_partkey AS VARCHAR) || '|none' END AS tag_votes FROM part""",
+    "parse_literal_forms": """SELECT p_partkey, CASE WHEN p_partkey % 5 <> 4 THEN replace(p_name, ' ', '|') END AS words,
+        CAST(p_size AS BIGINT) * 10 AS tens, CAST(p_size AS BIGINT) AS hex, CAST(p_size AS BIGINT) AS first, p_partkey % 5 = 4 AS unread FROM part""",
     "epoch_to_timestamp": "SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S.%f') AS created FROM events",
     "sort_then_limit": "SELECT review_id, author_steamid, votes_helpful FROM user_reviews ORDER BY review_id LIMIT 1000",
     "first_records": "SELECT review_id, author_steamid, votes_helpful FROM user_reviews QUALIFY row_number() OVER (ORDER BY review_id) <= 1000",

@@ -205,6 +205,31 @@ def parse_nested_columns(store: Store) -> DataFrame:
     )
 
 
+@query("parse_literal_forms")
+def parse_literal_forms(store: Store) -> DataFrame:
+    """The names of the parts in the many spellings of a literal, and their sizes as a dict of numbers."""
+    words, size = F.split("p_name", " "), F.col("p_size").cast("string")
+    escaped = F.transform(words, lambda w: F.concat(F.lit("'\\x"), F.lower(F.hex(F.substring(w, 1, 1))), F.substring(w, F.lit(2), F.length(w)), F.lit("'")))
+    sided = F.transform(words, lambda w: F.concat(F.lit("'"), F.substring(w, 1, 1), F.lit("' u\""), F.substring(w, F.lit(2), F.length(w)), F.lit('"')))
+    raw = F.transform(words, lambda w: F.concat(F.lit("r'''"), w, F.lit("'''")))
+    form = F.col("p_partkey") % 5
+    names = (
+        F.when(form == 0, F.concat(F.lit("("), F.array_join(escaped, ", "), F.lit(",)")))
+        .when(form == 1, F.concat(F.lit("["), F.array_join(sided, ","), F.lit(" , ]")))
+        .when(form == 2, F.array_join(raw, ", "))
+        .when(form == 3, F.concat(F.lit("{"), F.array_join(escaped, ","), F.lit("}")))
+        .otherwise(F.concat(F.lit("["), F.array_join(words, ", "), F.lit("]")))  # no literal
+    )
+    numbers = F.concat(F.lit("{'tens': "), size, F.lit("_0, 'hex': 0x"), F.hex("p_size"), F.lit(", 'pair': (+"), size, F.lit(",),}"))
+    texts = store.catalog.table("part").select("p_partkey", names.alias("words"), numbers.alias("numbers"))
+    types = {"words": "array<string>", "numbers": "struct<tens:bigint,hex:bigint,pair:array<bigint>>"}
+    lost = clean.unparsed_rows(texts, types, "p_partkey").select("p_partkey", F.lit(True).alias("unread"))
+    read = clean.parse_nested_columns(texts, types).join(lost, "p_partkey", "left")
+    return read.select(
+        "p_partkey", F.array_join("words", "|").alias("words"), "numbers.tens", "numbers.hex", F.get("numbers.pair", F.lit(0)).alias("first"), F.coalesce("unread", F.lit(False)).alias("unread")
+    )
+
+
 @query("epoch_to_timestamp")
 def epoch_to_timestamp(store: Store) -> DataFrame:
     raw = store.catalog.table("events").select(
