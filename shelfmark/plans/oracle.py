@@ -219,6 +219,10 @@ _STATEMENTS: dict[str, str] = {
     "checkpoint_roundtrip": "SELECT * REPLACE (strftime(timestamp_created, '%Y-%m-%d %H:%M:%S.%f') AS timestamp_created) FROM reviews",
     "append_table": """SELECT appid, name, price, CASE WHEN metacritic_score % 7 = 0 THEN '[]'
         ELSE '["' || replace(name, ' ', '","') || '"]' END AS genres FROM games""",
+    "append_loads": "SELECT appid, name, price, CASE WHEN price <= 910 THEN 'cheap' ELSE 'other' END AS load_id FROM games",
+    "checkpoint_fingerprint": """SELECT step, step NOT IN ('again', 'files again') AS built,
+        COUNT(*) FILTER (WHERE p_partkey % 2 = 0 OR step IN ('files', 'files again')) AS row_count
+        FROM part, (SELECT unnest(['first', 'again', 'parameter', 'files', 'files again']) AS step) GROUP BY step""",
     "document_sink": """SELECT p_partkey AS appid, p_name AS name, p_retailprice AS price,
         CASE WHEN p_size % 7 = 0 THEN '' ELSE replace(p_name, ' ', '|') END AS genres,
         CASE WHEN p_size % 5 <> 0 THEN p_brand || '|' || p_type END AS categories FROM part""",
@@ -450,6 +454,7 @@ for _name, _same in {
 }.items():
     _STATEMENTS[f"{_name}_documents"] = _same
     _STATEMENTS[f"{_name}_graph"] = _same
+_STATEMENTS["merge_partitions"] = _STATEMENTS["node_upsert"]
 _STATEMENTS["range_diff"] = _STATEMENTS["cell_diff"]
 _STATEMENTS["count_by_genre_documents"] = COUNT_BY_GENRE
 _STATEMENTS["price_history_analysis_documents"] = PRICE_HISTORY

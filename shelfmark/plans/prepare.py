@@ -67,6 +67,9 @@ def prepare_games(
 ) -> DataFrame:
     """Games with parsed list and dict columns, one row per ``appid``.
 
+    With ``use_cache`` a stored version is read back if the files, parameters and types are those it was made of, or if
+    there are no files any more.
+
     Cells and literals that can't be read are null, and go to a CSV report if a path is given.
     """
 
@@ -77,7 +80,8 @@ def prepare_games(
         kept = without_duplicates(raw, DATASETS["games"].key, duplicates_path)
         return clean.parse_nested_columns(_finished(kept), NESTED_GAME_COLUMNS)
 
-    return sinks.prepared(spark, root, "games", build, use_cache=use_cache)
+    known = sinks.source_fingerprint(spark, path, {"nested": sorted(NESTED_GAME_COLUMNS.items())}, DATASETS["games"].types)
+    return sinks.prepared(spark, root, "games", build, use_cache=use_cache, fingerprint=known)
 
 
 def prepare_reviews(
@@ -100,7 +104,8 @@ def prepare_reviews(
         timed = clean.epoch_to_timestamp(_finished(kept), REVIEW_TIMES)
         return timed if limit is None else clean.first_records(timed, DATASETS["reviews"].key, limit)
 
-    return sinks.prepared(spark, root, "reviews", build, limit=limit, use_cache=use_cache)
+    known = sinks.source_fingerprint(spark, path, {"limit": limit, "times": list(REVIEW_TIMES)}, DATASETS["reviews"].types)
+    return sinks.prepared(spark, root, "reviews", build, limit=limit, use_cache=use_cache, fingerprint=known)
 
 
 def prepare_completion_times(
@@ -117,4 +122,5 @@ def prepare_completion_times(
             sinks.write_csv(quarantine(raw), quarantine_path)
         return _finished(without_duplicates(raw, DATASETS["hltb"].key, duplicates_path))
 
-    return sinks.prepared(spark, root, "hltb", build, use_cache=use_cache)
+    known = sinks.source_fingerprint(spark, path, {}, DATASETS["hltb"].types)
+    return sinks.prepared(spark, root, "hltb", build, use_cache=use_cache, fingerprint=known)

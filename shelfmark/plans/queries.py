@@ -14,7 +14,7 @@ from shelfmark.operators import clean, digests, documents, graph, normalize, rec
 from shelfmark.operators.ordering import mode_per_key
 from shelfmark.plans.store import SNAPSHOT_BASE, Store, open_store
 from shelfmark.session import scratch_path, tune
-from shelfmark.sources import csv_files, sinks
+from shelfmark.sources import csv_files, partitioned, sinks
 from shelfmark.sources.catalog import event_number
 from shelfmark.sources.datasets import DATASETS, column_types
 
@@ -130,6 +130,43 @@ def append_table(store: Store) -> DataFrame:
     return store.spark.read.parquet(path)
 
 
+@query("append_loads")
+def append_loads(store: Store) -> DataFrame:
+    """Two loads into one table, the first of them written twice."""
+    path = scratch_path(store.spark, "loads")
+    games = store.catalog.games().select("appid", "name", "price")
+    cheap = F.coalesce(F.col("price") <= EXPENSIVE, F.lit(False))
+    for load, part in (("cheap", games.where(cheap)), ("other", games.where(~cheap)), ("cheap", games.where(cheap))):
+        partitioned.append_load(part, path, load)
+    return store.spark.read.parquet(path)
+
+
+@query("checkpoint_fingerprint")
+def checkpoint_fingerprint(store: Store) -> DataFrame:
+    """Builds of one prepared frame: from the same files, with another parameter, and after files have come."""
+    root, source = scratch_path(store.spark, "versions"), scratch_path(store.spark, "versioned-source")
+    part = store.catalog.table("part").select("p_partkey", "p_name")
+    built: list[str] = []
+
+    def step(name: str, parameters: dict[str, object]) -> DataFrame:
+        def build() -> DataFrame:
+            built.append(name)
+            return store.spark.read.parquet(source)
+
+        known = sinks.source_fingerprint(store.spark, source, parameters)
+        rows = sinks.prepared(store.spark, root, "parts", build, fingerprint=known).agg(F.count(F.lit(1)).alias("row_count"))
+        return rows.select(F.lit(name).alias("step"), F.lit(name in built).alias("built"), "row_count")
+
+    part.where("p_partkey % 2 = 0").write.parquet(source)
+    steps = [step("first", {}), step("again", {}), step("parameter", {"limit": 5})]
+    part.where("p_partkey % 2 = 1").write.mode("append").parquet(source)
+    steps += [step("files", {}), step("files again", {})]
+    out = steps[0]
+    for more in steps[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 @query("document_sink")
 def document_sink(store: Store) -> DataFrame:
     path = scratch_path(store.spark, "games-json")
@@ -662,6 +699,20 @@ def node_upsert(store: Store) -> DataFrame:
     return graph.upsert_nodes(existing, first.unionByName(second), "appid", order_by=["batch"])
 
 
+@query("merge_partitions")
+def merge_partitions(store: Store) -> DataFrame:
+    """The batches of ``node_upsert`` merged one after the other into a table of key ranges."""
+    part = store.catalog.games().select("appid", "name", "price", "metacritic_score")
+    name = F.when(F.col("appid") % 10 != 0, F.upper("name"))
+    first = part.where("appid % 2 = 0").select("appid", name.alias("name"), "price", F.lit(1).alias("batch"))
+    second = part.where("appid % 4 = 0").select("appid", name.alias("name"), F.lit(None).cast("double").alias("price"), F.lit(2).alias("batch"))
+    path = scratch_path(store.spark, "merged")
+    partitioned.create_merge_table(part.where("appid % 3 <> 0"), path, "appid", 16)
+    for batch in (first, second):
+        partitioned.merge_partitions(store.spark, path, batch)
+    return partitioned.read_merge_table(store.spark, path)
+
+
 @query("edges_from_list")
 def edges_from_list(store: Store) -> DataFrame:
     return graph.edges_from_list(store.catalog.games_nested(), "appid", "categories", "HAS_CATEGORY")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -16,30 +20,76 @@ def prepared_path(root: str, dataset: str, limit: int | None = None) -> str:
     return f"{root.rstrip('/')}/{dataset}{'' if limit is None else f'_{limit}'}_prepared"
 
 
-def load_prepared(spark: SparkSession, root: str, dataset: str, limit: int | None = None) -> DataFrame | None:
-    """The stored frame, or None when it was never completed."""
-    path = prepared_path(root, dataset, limit)
+#: Stands for a frame that names no source to compare with.
+NO_SOURCE = "any"
+
+
+def source_fingerprint(spark: SparkSession, path: str, parameters: Mapping[str, object] | None = None, types: Mapping[str, object] | None = None) -> str | None:
+    """A name for what a frame is made of: the files at ``path`` (their names, lengths and times), parameters and column types.
+
+    None if there are no files to be listed.  Only the list of files is read, and of it only a few sums come to the driver.
+    """
     try:
-        # The marker is written after the last file of a job.
-        spark.read.format("binaryFile").load(f"{path}/_SUCCESS")
-        return spark.read.parquet(path)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime")
+        told = [F.xxhash64(F.lit(seed), "path", "length", F.unix_micros("modificationTime")) for seed in (1, 2)]
+        found = files.agg(F.count(F.lit(1)), F.sum("length"), *[F.bit_xor(h) for h in told]).first()
     except AnalysisException:
         return None
+    if not found[0]:
+        return None
+    made_of = [list(found), sorted((k, repr(v)) for k, v in (parameters or {}).items()), sorted((k, str(v)) for k, v in (types or {}).items())]
+    return hashlib.sha256(json.dumps(made_of).encode()).hexdigest()[:32]
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete versions of a stored frame, the newest last."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")  # written after the last file of a job
+    found = marker.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marker) or []
+    return sorted((status.getPath().getParent().getName() for status in found), key=lambda name: name.split("-")[1])
+
 
+def load_prepared(spark: SparkSession, root: str, dataset: str, limit: int | None = None, fingerprint: str | None = None) -> DataFrame | None:
+    """The newest complete version of the stored frame, or None.
 
-def save_prepared(df: DataFrame, root: str, dataset: str, limit: int | None = None) -> DataFrame:
+    With a fingerprint only versions that were stored under it count.
+    """
     path = prepared_path(root, dataset, limit)
-    df.write.mode("overwrite").parquet(path)
+    fitting = [v for v in _versions(spark, path) if fingerprint is None or v.split("-")[0] == fingerprint]
+    return spark.read.parquet(f"{path}/{fitting[-1]}") if fitting else None
+
+
+def save_prepared(df: DataFrame, root: str, dataset: str, limit: int | None = None, fingerprint: str | None = None) -> DataFrame:
+    """Store a frame as a version of its own; earlier versions stay, as others may be reading them."""
+    version = f"{fingerprint or NO_SOURCE}-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    path = f"{prepared_path(root, dataset, limit)}/{version}"
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_old_versions(spark: SparkSession, root: str, dataset: str, limit: int | None = None, keep: int = 1) -> list[str]:
+    """Delete all but the newest complete versions, and what older writers left half-written; the names deleted."""
+    path = prepared_path(root, dataset, limit)
+    kept = _versions(spark, path)[-keep:] if keep else []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    oldest = min((name.split("-")[1] for name in kept), default="9")
+    gone = sorted(name for name in names if name not in kept and name.split("-")[1] < oldest)
+    for name in gone:
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+    return gone
+
+
 def prepared(
     spark: SparkSession, root: str, dataset: str, build: Callable[[], DataFrame], limit: int | None = None,
-    use_cache: bool = True,
+    use_cache: bool = True, fingerprint: str | None = None,
 ) -> DataFrame:
-    """Read a stored frame back if present, else build and store it."""
-    found = load_prepared(spark, root, dataset, limit) if use_cache else None
-    return found if found is not None else save_prepared(build(), root, dataset, limit)
+    """Read a stored frame back if present, else build and store it.
+
+    With a fingerprint, a frame made of anything else is built anew.
+    """
+    found = load_prepared(spark, root, dataset, limit, fingerprint) if use_cache else None
+    return found if found is not None else save_prepared(build(), root, dataset, limit, fingerprint)
 
 
 def _flat(df: DataFrame, json_columns: Sequence[str]) -> DataFrame:
