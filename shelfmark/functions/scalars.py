@@ -32,13 +32,38 @@ def exact_sum(x: Column) -> Column:
     as integers, so that the sum does not depend on the order of the rows.  A
     group with any other number, or one too large, is summed as doubles.
     """
+    return _sum_of_parts(exact_parts(x))
+
+
+def exact_parts(x: Column) -> Column:
+    """What an exact sum consists of, as a struct that can be stored and merged: see ``exact_sum``."""
     real = _known(x)
     small = F.when(F.abs(real) < F.lit(_SMALL), real)
     whole = F.floor(small)
     millionths = F.floor((small - whole) * F.lit(float(_MICRO)) + F.lit(0.5))
     fits = F.coalesce((whole * F.lit(_MICRO) + millionths).cast("double") / F.lit(float(_MICRO)) == real, real.isNull())
-    total = F.try_sum(whole).cast("decimal(20,0)") * F.lit(_MICRO) + F.try_sum(millionths)
-    return F.coalesce(F.when(F.bool_and(fits), total.cast("double") / F.lit(float(_MICRO))), F.sum(real))
+    return F.struct(
+        F.count(real).alias("n"),
+        F.try_sum(whole).alias("whole"),
+        F.try_sum(millionths).alias("millionths"),
+        F.bool_and(fits).alias("fits"),
+        F.sum(real).alias("plain"),
+    )
+
+
+def merged_parts(column: str) -> Column:
+    """The parts of several groups together."""
+    sums = [F.try_sum(f"{column}.{part}").alias(part) for part in ("whole", "millionths")]
+    return F.struct(F.sum(f"{column}.n").alias("n"), *sums, F.bool_and(f"{column}.fits").alias("fits"), F.sum(f"{column}.plain").alias("plain"))
+
+
+def _sum_of_parts(parts: Column) -> Column:
+    total = parts["whole"].cast("decimal(20,0)") * F.lit(_MICRO) + parts["millionths"]
+    return F.coalesce(F.when(parts["fits"], total.cast("double") / F.lit(float(_MICRO))), parts["plain"])
+
+
+def mean_of_parts(column: str) -> Column:
+    return F.try_divide(_sum_of_parts(F.col(column)), F.col(f"{column}.n").cast("double"))
 
 
 def exact_mean(x: Column) -> Column:

@@ -77,7 +77,7 @@ def exact_percentiles(
     buckets: int = 1024,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Exact linear-interpolated percentiles per key, one column per entry of ``probs``.
+    """Exact linear-interpolated percentiles per key, one column per entry of ``probs``; NaN counts as missing.
 
     ``percentile`` and ``median`` hold all distinct values of a group in the
     memory of one task.  Here groups up to ``group_rows`` are ordered by a
@@ -86,7 +86,7 @@ def exact_percentiles(
     a row count ``_n`` each, at least that of the values, to spare a pass.
     """
     keys = list(keys)
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if sizes is None else sizes.dropna(subset=keys)

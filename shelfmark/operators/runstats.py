@@ -5,12 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.scalars import exact_mean, known_count, round_half_up, sample_std, sample_variance
+from shelfmark.functions.scalars import (
+    exact_mean, exact_parts, known_count, mean_of_parts, merged_parts, round_half_up, sample_std, sample_variance,
+)
 from shelfmark.operators.ordering import exact_percentiles
-from shelfmark.session import materialise
+from shelfmark.session import BROADCAST_ROWS, materialise
+from shelfmark.sources.partitioned import append_load
 
 RUN = ("test_name", "database")
 
@@ -166,3 +169,112 @@ def histogram_bins(df: DataFrame, keys: Sequence[str], value: str, bins: int = 3
         .agg(F.count(F.lit(1)).alias("values"))
     )
 
+
+
+# -- states that merge -------------------------------------------------------------
+
+#: Size of a quantile sketch; with it a rank is off by less than this share of the values, save for rare misses.
+SKETCH_SIZE, SKETCH_ERROR = 2048, 0.004
+
+
+def run_states(log: DataFrame) -> DataFrame:
+    """What ``run_statistics`` needs of a log, one row per test and engine; states of several logs merge.
+
+    Numbers with up to six decimals are kept as sums of whole parts and of millionths, as in ``exact_mean``; squares are
+    about the state's own mean.
+    """
+    ok = F.col("success")
+    ms, rows = F.when(ok, F.col("execution_time_ms")), F.when(ok, F.col("row_count"))
+    known = F.when(~F.isnan(ms), ms)
+    return log.groupBy(*RUN).agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.count_if(ok).alias("successes"),
+        F.count_if(~ok).alias("failures"),
+        exact_parts(ms).alias("ms"),
+        exact_parts(rows).alias("rows"),
+        (F.coalesce(F.var_pop(known), F.lit(0.0)) * F.count(known)).alias("squares"),
+        F.avg(known).alias("centre"),
+        F.min(ms).alias("min_ms"),
+        F.max(ms).alias("max_ms"),
+        F.kll_sketch_agg_double(known, F.lit(SKETCH_SIZE)).alias("sketch"),
+    )
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state per test and engine from any number of them; no run is read again."""
+    centres = states.groupBy(*RUN).agg(
+        F.try_divide(F.sum(F.col("centre") * F.col("ms.n")), F.sum("ms.n")).alias("_centre"),
+    )
+    joined = states.join(centres, list(RUN))
+    gap = F.coalesce(F.col("centre") - F.col("_centre"), F.lit(0.0))
+    return joined.groupBy(*RUN).agg(
+        F.sum("runs").alias("runs"),
+        F.sum("successes").alias("successes"),
+        F.sum("failures").alias("failures"),
+        merged_parts("ms").alias("ms"),
+        merged_parts("rows").alias("rows"),
+        # Squares about each mean, and what the means are off the common one.
+        F.sum(F.col("squares") + F.col("ms.n") * gap * gap).alias("squares"),
+        F.max("_centre").alias("centre"),
+        F.min("min_ms").alias("min_ms"),
+        F.max("max_ms").alias("max_ms"),
+        F.kll_merge_agg_double("sketch", F.lit(SKETCH_SIZE)).alias("sketch"),
+    )
+
+
+def _medians(merged: DataFrame, log: DataFrame) -> DataFrame:
+    """Exact medians: the sketch says between which values they lie, and one pass counts the values there.
+
+    The few groups whose sketch is off by more than that are ordered as a whole.
+    """
+    low, high = (F.kll_sketch_get_quantile_double("sketch", F.lit(0.5 + side * SKETCH_ERROR)) for side in (-1, 1))
+    brackets = materialise(merged.where("ms.n > 0").select(*RUN, low.alias("_low"), high.alias("_high"), F.col("ms.n").alias("_total")), "brackets")
+    few = brackets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    ms = F.col("execution_time_ms").cast("double")
+    rows = log.where("success").where(ms.isNotNull() & ~F.isnan(ms)).select(*RUN, ms.alias("_v"))
+    near = rows.join(F.broadcast(brackets) if few else brackets, list(RUN)).where(F.col("_v") <= F.col("_high"))
+    inside = F.when(F.col("_v") >= F.col("_low"), F.col("_v"))  # null for all that is below
+    counted = near.groupBy(*RUN, inside.alias("_v"), "_total").agg(F.count(F.lit(1)).alias("_c"))
+    earlier = Window.partitionBy(*RUN).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("_first", F.coalesce(F.sum("_c").over(earlier), F.lit(0))).where("_v is not null")
+    ranks = (F.floor((F.col("_total") - 1) / 2), F.ceil((F.col("_total") - 1) / 2))
+    picks = [F.max(F.when((r >= F.col("_first")) & (r < F.col("_first") + F.col("_c")), F.col("_v"))) for r in ranks]
+    found = placed.groupBy(*RUN).agg(picks[0].alias("_a"), picks[1].alias("_b"))
+    half = F.when(F.col("_total") % 2 == 0, F.lit(0.5)).otherwise(F.lit(0.0))
+    found = brackets.join(found, list(RUN), "left").withColumn("median_ms", F.col("_a") + (F.col("_b") - F.col("_a")) * half).select(*RUN, "median_ms")
+    found = materialise(found, "bracketed-medians")
+    missed = found.where("median_ms is null").select(*RUN)
+    if not missed.limit(1).count():
+        return found
+    whole = exact_percentiles(log.where("success").join(missed, list(RUN), "left_semi"), RUN, "execution_time_ms", {"median_ms": 0.5})
+    return found.where("median_ms is not null").unionByName(whole.select(*RUN, "median_ms"))
+
+
+def merged_run_statistics(states: DataFrame, log: DataFrame) -> DataFrame:
+    """``run_statistics`` over the logs whose states are given; ``log`` has their runs, for the medians alone."""
+    merged = materialise(merge_states(states), "merged-states")
+    variance = F.when(F.col("ms.n") > 1, F.col("squares") / (F.col("ms.n") - 1))
+    std = F.when(F.col("ms.n") == 1, F.lit(0.0)).otherwise(round_half_up(F.sqrt(variance), 6))
+    return merged.join(_medians(merged, log), list(RUN), "left").select(
+        *RUN,
+        mean_of_parts("ms").alias("mean_ms"),
+        "median_ms",
+        std.alias("std_ms"),
+        "min_ms",
+        "max_ms",
+        "successes",
+        "failures",
+        (F.col("successes") / F.col("runs")).alias("success_rate"),
+        F.coalesce(mean_of_parts("rows"), F.lit(0.0)).alias("avg_row_count"),
+    )
+
+
+def append_runs(log: DataFrame, path: str, load_id: str) -> None:
+    """Store a log's runs and its states as one load; the same load again takes the place of its first copy."""
+    append_load(log, f"{path}/runs", load_id)
+    append_load(run_states(log), f"{path}/states", load_id)
+
+
+def stored_run_statistics(spark: SparkSession, path: str) -> DataFrame:
+    """The statistics over all loads: of the states, and of the runs only times next to the medians."""
+    return merged_run_statistics(spark.read.parquet(f"{path}/states"), spark.read.parquet(f"{path}/runs"))

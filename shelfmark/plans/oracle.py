@@ -455,6 +455,7 @@ for _name, _same in {
     _STATEMENTS[f"{_name}_documents"] = _same
     _STATEMENTS[f"{_name}_graph"] = _same
 _STATEMENTS["merge_partitions"] = _STATEMENTS["node_upsert"]
+_STATEMENTS["merged_run_statistics"] = _STATEMENTS["run_statistics"]
 _STATEMENTS["range_diff"] = _STATEMENTS["cell_diff"]
 _STATEMENTS["count_by_genre_documents"] = COUNT_BY_GENRE
 _STATEMENTS["price_history_analysis_documents"] = PRICE_HISTORY

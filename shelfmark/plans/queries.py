@@ -942,6 +942,15 @@ def run_statistics(store: Store) -> DataFrame:
     return runstats.run_statistics(log_of(store))
 
 
+@query("merged_run_statistics")
+def merged_run_statistics(store: Store) -> DataFrame:
+    """The statistics of the whole log, from the states of three loads, one of which arrives twice."""
+    path, log = scratch_path(store.spark, "run-states"), log_of(store)
+    for load in (0, 1, 2, 1):
+        runstats.append_runs(log.where(F.col("run_number") % 3 == load), path, f"load_{load}")
+    return runstats.stored_run_statistics(store.spark, path)
+
+
 @query("run_cv")
 def run_cv(store: Store) -> DataFrame:
     return runstats.run_cv(log_of(store))

@@ -1,3 +1,4 @@
+import random
 import statistics
 
 import pytest
@@ -91,3 +92,44 @@ def test_step_times_are_end_minus_start(spark, rows):
            ('import', timestamp'2024-01-01 00:00:00', timestamp'2024-01-01 00:00:02') t(step, started, ended)"""
     )
     assert rows(runstats.step_times(df)) == [("import", 2, 3.5)]
+
+
+def _log(spark, rows):
+    raw = spark.createDataFrame(rows, "test_name string, database string, run_number int, execution_time_ms double, row_count int, error string")
+    return runstats.run_log(raw)
+
+
+def _by_key(df):
+    return {(r["test_name"], r["database"]): r.asDict() for r in df.collect()}
+
+
+def test_merged_states_equal_one_pass_over_all_logs(spark, tmp_path):
+    draw = random.Random(1)
+    rows = [
+        (draw.choice("tu"), draw.choice("abc"), i, draw.choice([float("nan"), draw.uniform(1, 9), 1e6 + draw.random(), 2.5]), draw.randrange(9), "x" if i % 7 == 0 else None)
+        for i in range(3000)
+    ]
+    rows += [("none", "a", 1, 0.0, 0, "lost"), ("one", "a", 1, 4.5, 2, None), ("nan", "a", 1, float("nan"), 2, None)]
+    for k in range(4):
+        runstats.append_runs(_log(spark, rows[k::4]), str(tmp_path), f"load{k}")
+    runstats.append_runs(_log(spark, rows[1::4]), str(tmp_path), "load1")  # once more
+    got, want = _by_key(runstats.stored_run_statistics(spark, str(tmp_path))), _by_key(runstats.run_statistics(_log(spark, rows)))
+    assert got.keys() == want.keys()
+    for key, row in want.items():
+        for name, value in row.items():
+            assert got[key][name] == (pytest.approx(value, rel=1e-12, abs=2e-6, nan_ok=True) if isinstance(value, float) else value), (key, name)
+
+
+def test_a_sketch_that_misses_is_made_good(spark, monkeypatch):
+    monkeypatch.setattr(runstats, "SKETCH_SIZE", 8)
+    monkeypatch.setattr(runstats, "SKETCH_ERROR", 1e-9)  # brackets far too narrow for so small a sketch
+    draw = random.Random(2)
+    log = _log(spark, [("t", draw.choice("abcd"), i, draw.random(), 1, None) for i in range(4000)])
+    got = _by_key(runstats.merged_run_statistics(runstats.run_states(log), log))
+    assert all(got[k]["median_ms"] == v["median_ms"] for k, v in _by_key(runstats.run_statistics(log)).items())
+
+
+def test_nan_is_missing_from_medians(spark):
+    log = _log(spark, [("t", "a", i, v, 1, None) for i, v in enumerate([float("nan"), 1.0, 2.0])])
+    assert runstats.run_statistics(log).first()["median_ms"] == 1.5
+    assert runstats.merged_run_statistics(runstats.run_states(log), log).first()["median_ms"] == 1.5
