@@ -1,8 +1,8 @@
 """Phrase collocations with stripes.
 
 Every prefix of zero, one or two words keys a counter of the words that follow it.  Counters are built per task,
-merged elementwise, and give everything else: an entry is the count of prefix plus word, the entry of the empty word is
-the prefix's own total, and the largest entry that extends a phrase decides whether it is subsumed.
+merged elementwise, and give everything else: an entry is the count of prefix plus word, which is also the total of the
+prefix that is one word longer, and the largest entry that extends a phrase decides whether it is subsumed.
 
 A phrase can only be frequent if what is left without its first and without its last word is.  So each level ships
 entries only of what may pass, told by a bitmap of the level before; the bitmap may let too much through, never too
@@ -36,17 +36,17 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 class Mining:
     """``flush`` words of a task share counters; ``chunk`` bytes of a text are cut into words at a time.
 
-    A prefix with at least one in ``hot`` of all words has its counter dealt out over many tasks, by the next word.
-    A bitmap has ``bits`` bits for each phrase that it marks, and ``most_bits`` at most.
+    A prefix that more than one in ``share`` of a task's words begin with has its counter dealt out by the next word, over
+    as many tasks as it takes.  A bitmap has ``bits`` bits for each phrase that it marks, and ``most_bits`` at most.
     """
 
     most_words: int = 3
     least: int = 10
     subsumed: int = 50  # percent of a phrase's places at which a longer one takes its place
     first: int = 2000
-    flush: int = 2_000_000
+    flush: int = 5_000_000
     chunk: int = 1 << 22
-    hot: int = 1024
+    share: int = 2
     bits: int = 16
     most_bits: int = 1 << 27
 
@@ -100,7 +100,7 @@ def _level(x: np.ndarray, level: int, root: np.ndarray, words: np.ndarray, passi
     """Counters of one run of words: ``(grams, hashes, prefix, next, count)``.
 
     ``grams`` are the prefixes as rows of word ids, ``hashes`` theirs; ``prefix`` counts rows of ``grams`` and entries are
-    sorted by it.  The entry of word 0 is the prefix's total.
+    sorted by it.  At level 0 the entry of word 0 is the number of all words.
     """
     size = np.int64(len(words))
     grams, hashes = np.zeros((1, 0), np.int64), root
@@ -121,23 +121,27 @@ def _level(x: np.ndarray, level: int, root: np.ndarray, words: np.ndarray, passi
         code[at] = dense[inverse]
         grams, hashes = grams[passes], hashes[passes]
     starts = np.flatnonzero(code >= 0)
-    totals = np.bincount(code[starts], minlength=len(grams))
     if level == 0:
-        at = starts
-    else:
-        at = starts[starts + level < len(x)]
-        at = at[(x[at + level] > 0) & (code[at + 1] >= 0)]
+        counts = np.bincount(x, minlength=len(words))
+        counts[0] = len(starts)
+        after = np.flatnonzero(counts)
+        return grams, hashes, np.zeros(len(after), np.int64), after, counts[after]
+    at = starts[starts + level < len(x)]
+    at = at[(x[at + level] > 0) & (code[at + 1] >= 0)]
     keys, counts = np.unique(code[at] * size + x[at + level], return_counts=True)
-    own = np.flatnonzero(totals)
-    prefix, after = np.concatenate([own, keys // size]), np.concatenate([np.zeros(len(own), np.int64), keys % size])
-    return grams, hashes, prefix, after, np.concatenate([totals[own], counts])
+    return grams, hashes, keys // size, keys % size, counts
 
 
 _STRIPES = "lang string, prefix string, slice int, nexts array<string>, counts array<long>"
 
 
-def _stripes(texts: DataFrame, level: int, passing: list[Marks], hot: np.ndarray, slices: int, settings: Mining) -> DataFrame:
-    """Counters of prefixes with ``level`` words, one row per task, flush, prefix and slice."""
+def _stripes(texts: DataFrame, level: int, passing: list[Marks], hot: dict[int, int], settings: Mining) -> DataFrame:
+    """Counters of prefixes with ``level`` words, one row per task, flush, prefix and slice.
+
+    ``hot`` has the number of slices by the hash of a prefix, where it is more than one.
+    """
+    common = np.array(sorted(hot), np.uint64)
+    dealt = np.array([hot[h] for h in sorted(hot)], np.int64)
 
     def rows(held: dict[str, list[np.ndarray]], ids: _Ids) -> Iterator[pa.RecordBatch]:
         spelled = [b"", *list(ids)[1:]]
@@ -148,9 +152,14 @@ def _stripes(texts: DataFrame, level: int, passing: list[Marks], hot: np.ndarray
             grams, hashes, prefix, after, counts = _level(np.concatenate(runs), level, root, words, passing)
             if not len(prefix):
                 continue
-            wide = np.ones(len(grams), bool) if level == 0 else np.isin(hashes, hot)
-            part = np.where(wide[prefix], (words[after] % np.uint64(slices)).astype(np.int64), 0)
-            order = np.argsort(prefix * slices + part, kind="stable")
+            slices = np.ones(len(grams), np.int64)
+            if level == 0:
+                slices[:] = hot[0]
+            elif len(common):
+                found = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+                slices = np.where(common[found] == hashes, dealt[found], 1)
+            part = (words[after] % slices[prefix].astype(np.uint64)).astype(np.int64)
+            order = np.argsort(prefix * slices.max() + part, kind="stable")
             prefix, part, after, counts = prefix[order], part[order], after[order], counts[order]
             begins = np.flatnonzero(np.append(True, (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])))
             for low in range(0, len(begins), 20_000):
@@ -239,7 +248,7 @@ def _phrases(level: DataFrame) -> DataFrame:
 def merged_stripes(docs: DataFrame, settings: Mining = Mining(), text: str = "text", lang: str = "lang") -> list[DataFrame]:
     """Per number of words in the prefix: ``(lang, prefix, next, f)`` of all counts of at least ``least``.
 
-    ``next`` is empty for the total of a prefix.  The first frame's total is the number of all words of the language.
+    In the first frame, an empty ``next`` has the number of all words of the language.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text"))
@@ -247,9 +256,9 @@ def merged_stripes(docs: DataFrame, settings: Mining = Mining(), text: str = "te
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), texts.rdd.getNumPartitions())
     levels: list[DataFrame] = []
     passing: list[Marks] = []
-    hot, total = np.zeros(0, np.uint64), 0
+    hot, total = {0: settings.share * parts}, 0
     for level in range(settings.most_words):
-        stripes = _stripes(texts, level, list(passing), hot, 4 * parts, settings)
+        stripes = _stripes(texts, level, list(passing), hot, settings)
         # A total of the whole language counts however small it is.
         levels.append(_merged(stripes, parts, 1 if level == 0 else settings.least, f"stripes-{level}"))
         if level == 0:
@@ -258,9 +267,10 @@ def merged_stripes(docs: DataFrame, settings: Mining = Mining(), text: str = "te
         found = _phrases(levels[level])
         if level + 1 < settings.most_words:
             passing.append(_marks(found.select("lang", "phrase"), settings))
-            # At most ``hot`` phrases of one length, as they would otherwise have more words than there are.
-            common = found.where(F.col("f") * settings.hot >= max(total, 1)).select("lang", "phrase").toPandas()
-            hot = _gram_hashes(common)
+            # Fewer than ``share * parts`` phrases of one length, as they would otherwise have more words than there are.
+            slices = F.ceil(F.col("f") * settings.share * parts / max(total, 1)).cast("long").alias("slices")
+            common = found.select("lang", "phrase", slices).where("slices > 1").toPandas()
+            hot = {int(h): int(n) for h, n in zip(_gram_hashes(common), common["slices"])}
     return levels
 
 
@@ -288,10 +298,10 @@ def collocations(docs: DataFrame, settings: Mining = Mining(), text: str = "text
     if inside is not None:
         rows = rows.join(inside.groupBy("lang", "phrase").agg(F.max("above").alias("above")), ["lang", "phrase"], "left")
         rows = rows.where(F.col("above").isNull() | (100 * F.col("above") < settings.subsumed * F.col("a"))).drop("above")
-    # Prefix totals are the counts of all parts.
+    # The counts of all parts are totals of prefixes, which the level before has.
     totals = None
-    for level in levels[1:]:
-        own = level.where("next = ''").select("lang", F.col("prefix").alias("part"), "f")
+    for level in levels[:-1]:
+        own = _phrases(level).select("lang", F.col("phrase").alias("part"), "f")
         totals = own if totals is None else totals.unionByName(own)
     words = F.split("phrase", " ")
     cuts = rows.withColumn("k", F.explode(F.sequence(F.lit(1), F.size(words) - 1)))
