@@ -89,6 +89,53 @@ def field_diff(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     )
 
 
+def json_paths(df: DataFrame, column: str) -> DataFrame:
+    """``(path, type)`` of every place in the JSON rows of a text column, however deep, and the type that all its values fit.
+
+    ``$`` is a row itself, ``.name`` a field and ``[*]`` any element of an array.  Rows are read as Spark's variants and
+    taken apart one level at a time; only the different paths of a level, combined per task, are shuffled.  Text that is
+    no JSON has no paths.
+    """
+    spark = df.sparkSession
+    level = df.select(F.lit("$").alias("path"), F.try_parse_json(column).alias("v")).where("v is not null")
+    found = None
+    while True:
+        kinds = level.groupBy("path").agg(F.schema_of_variant_agg("v").alias("type"), F.bool_or(_nested("v")).alias("_deeper"))
+        kinds = materialise(kinds, "json-paths")
+        found = kinds if found is None else found.unionByName(kinds)
+        if not kinds.where("_deeper").limit(1).count():
+            return found.select("path", "type")
+        inner = level.where(_nested("v")).lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        step = F.when(F.col("key").isNull(), F.lit("[*]")).otherwise(F.concat(F.lit("."), "key"))
+        level = inner.select(F.concat("path", step).alias("path"), F.col("value").alias("v"))
+
+
+def _nested(variant: str) -> Column:
+    kind = F.schema_of_variant(variant)
+    return (F.startswith(kind, F.lit("OBJECT<")) & (kind != "OBJECT<>")) | (F.startswith(kind, F.lit("ARRAY<")) & (kind != "ARRAY<VOID>"))
+
+
+def path_diff(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
+    """``(path, present_in, left_type, right_type)``: JSON paths of one result only, and those with other types.
+
+    Numbers of all types count as one type, and so do objects and arrays each, whose fields and elements have paths of
+    their own; a place that is null throughout has no type to differ.
+    """
+    a, b = (json_paths(df, column).withColumn("kind", _kind(F.col("type"))) for df in (left, right))
+    a, b = (df.select(F.struct("type", "kind").alias(tag), F.col("path")) for df, tag in ((a, "l"), (b, "r")))
+    joined = a.join(b, "path", "full_outer")
+    present = F.when(F.col("r").isNull(), F.lit("left")).when(F.col("l").isNull(), F.lit("right"))
+    apart = F.when((F.col("l.kind") != F.col("r.kind")) & (F.col("l.kind") != "void") & (F.col("r.kind") != "void"), F.lit("both"))
+    return joined.select("path", F.coalesce(present, apart).alias("present_in"), F.col("l.type").alias("left_type"), F.col("r.type").alias("right_type")).where(
+        "present_in is not null"
+    )
+
+
+def _kind(name: Column) -> Column:
+    number = name.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)")
+    return F.when(number, F.lit("number")).otherwise(F.lower(F.regexp_extract(name, "^[A-Z]+", 0)))
+
+
 def column_diff(left: DataFrame, right: DataFrame) -> dict[str, list[str]]:
     """Field names of typed results that only one of them has."""
     return {

@@ -297,6 +297,8 @@ _STATEMENTS: dict[str, str] = {
     "bridge_tags": "SELECT * FROM game_tags",
     "id_consistency": """SELECT developer_id, CASE WHEN developer_id % 31 <> 0
         AND (developer_id % 97 <> 0 OR name = upper(name)) THEN 'MATCH' ELSE 'MISMATCH' END AS verdict FROM developers""",
+    "id_registry": """SELECT row_number() OVER (ORDER BY NOT early, name) AS publisher_id, name, early, 'MATCH' AS verdict
+        FROM (SELECT name, bool_or(game_appid % 2 = 0) AS early FROM publisher_entries GROUP BY name)""",
     "dim_game_count": """SELECT g.genre_id, g.name, COUNT(DISTINCT gg.game_appid) AS game_count FROM genres g
         LEFT JOIN game_genres gg ON g.genre_id = gg.genre_id GROUP BY g.genre_id, g.name""",
     # summaries and series
@@ -399,6 +401,8 @@ _STATEMENTS: dict[str, str] = {
         "SELECT row_number() OVER (ORDER BY appid) - 1 AS row_no, appid, name, price FROM perturbed",
         "row_no", [("appid", True), ("name", False), ("price", True)],
     ),
+    "path_diff": """SELECT * FROM (VALUES ('$.detail.kind', 'left'), ('$.detail.type', 'right'), ('$.detail.value', 'both'),
+        ('$.items[*].late', 'right')) AS t(path, present_in)""",
     "range_report": """SELECT COUNT(*) AS left_rows, COUNT(*) FILTER (WHERE app_id % 101 <> 0) AS right_rows,
         bool_or(app_id % 101 = 0) AS differs FROM reviews""",
     "compare_results": """SELECT 'first' AS reference_result, 'renamed' AS compared_result, TRUE AS row_count_match,

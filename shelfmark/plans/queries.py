@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.scalars import round_half_up
-from shelfmark.operators import clean, digests, documents, graph, normalize, reconcile, relational, runstats, summaries
+from shelfmark.operators import clean, digests, documents, graph, normalize, reconcile, registry, relational, runstats, summaries
 from shelfmark.operators.ordering import mode_per_key
 from shelfmark.plans.store import SNAPSHOT_BASE, Store, open_store
 from shelfmark.session import scratch_path, tune
@@ -190,7 +190,7 @@ def report_sink(store: Store) -> DataFrame:
     sinks.write_reports(log, stats, path)
     # All three outputs are read back: statistics, the raw log, and one document per test.
     back = store.spark.read.schema(stats.schema).csv(f"{path}/statistics", header=True)
-    raw = store.spark.read.option("header", True).option("escape", '"').csv(f"{path}/raw_results")
+    raw = csv_files.read_large_csv(store.spark, f"{path}/raw_results", RUN_LOG_TYPES)  # errors may have line breaks
     logged = raw.groupBy("test_name", "database").agg(F.count(F.lit(1)).alias("logged_runs"))
     results = store.spark.read.json(f"{path}/test_results").select(F.col("name").alias("test_name"), F.size("results").cast("bigint").alias("results"))
     return back.join(logged, ["test_name", "database"], "left").join(results, "test_name", "left")
@@ -408,6 +408,19 @@ def id_consistency(store: Store) -> DataFrame:
     return normalize.id_consistency(copies, "developer_id").select("developer_id", "verdict")
 
 
+@query("id_registry")
+def id_registry(store: Store) -> DataFrame:
+    """Publishers in two loads: first those of the games with even ids, then all; the ids of the first load stay."""
+    entries = normalize.list_entries(store.catalog.games_nested(), "appid", "publishers")
+    path = scratch_path(store.spark, "registry")
+    first = registry.register_names(entries.where("game_appid % 2 = 0"), path, "publisher_id", "load-1")
+    both = registry.register_names(entries, path, "publisher_id", "load-2")
+    again = registry.register_names(entries, path, "publisher_id", "load-3")  # nothing new
+    kept = normalize.id_consistency({"both": both, "again": again}, "publisher_id").select("publisher_id", "verdict")
+    early = first.select("publisher_id", F.lit(True).alias("early"))
+    return again.join(early, "publisher_id", "left").join(kept, "publisher_id").select("publisher_id", "name", F.coalesce("early", F.lit(False)).alias("early"), "verdict")
+
+
 @query("dim_game_count")
 def dim_game_count(store: Store) -> DataFrame:
     return normalize.with_game_count(store.table("genres"), store.table("game_genres"), "genre_id").drop("description")
@@ -850,6 +863,18 @@ def field_diff(store: Store) -> DataFrame:
     return reconcile.field_diff(left, right, "row")
 
 
+@query("path_diff")
+def path_diff(store: Store) -> DataFrame:
+    """Nested rows of the events, with a renamed inner field, another type, and elements that have one field more."""
+    events, k = store.catalog.table("events"), event_number()
+    inner = F.struct(F.col("event_type").alias("kind"), F.col("value"))
+    left = events.select(F.to_json(F.struct("event_id", inner.alias("detail"), F.array(F.struct(k.alias("k"))).alias("items"))).alias("row"))
+    other = F.struct(F.col("event_type").alias("type"), F.col("value").cast("string").alias("value"))
+    more = F.array(*[F.struct(k.alias("k"), F.when(k % 10 == late, F.lit(True)).alias("late")) for late in (-1, 3)])
+    right = events.select(F.to_json(F.struct("event_id", other.alias("detail"), more.alias("items"))).alias("row"))
+    return reconcile.path_diff(left, right, "row").select("path", "present_in")
+
+
 def perturbed_games(store: Store) -> DataFrame:
     """Games with small and large price changes, lost names and lost rows."""
     key = F.col("appid")
@@ -933,8 +958,7 @@ def run_log(store: Store) -> DataFrame:
     """Executions written as CSV logs, read back with declared types."""
     path = scratch_path(store.spark, "run-log")
     sinks.write_csv(store.catalog.executions(), path)
-    schema = csv_files.csv_schema(list(RUN_LOG_TYPES), RUN_LOG_TYPES)
-    return runstats.run_log(store.spark.read.schema(schema).csv(path, header=True, escape='"'))
+    return runstats.run_log(csv_files.read_large_csv(store.spark, path, RUN_LOG_TYPES))
 
 
 @query("run_statistics")

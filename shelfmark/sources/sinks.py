@@ -41,11 +41,16 @@ def source_fingerprint(spark: SparkSession, path: str, parameters: Mapping[str,
     return hashlib.sha256(json.dumps(made_of).encode()).hexdigest()[:32]
 
 
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders at ``path`` whose writing came to its end."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*/_SUCCESS")  # written after the last file of a job
+    found = marker.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marker) or []
+    return sorted(status.getPath().getParent().getName() for status in found)
+
+
 def _versions(spark: SparkSession, path: str) -> list[str]:
     """Names of the complete versions of a stored frame, the newest last."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")  # written after the last file of a job
-    found = marker.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marker) or []
-    return sorted((status.getPath().getParent().getName() for status in found), key=lambda name: name.split("-")[1])
+    return sorted(complete_folders(spark, path), key=lambda name: name.split("-")[1])
 
 
 def load_prepared(spark: SparkSession, root: str, dataset: str, limit: int | None = None, fingerprint: str | None = None) -> DataFrame | None:
