@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from shelfmark.functions.literals import is_unparsed, parse_literal
 from shelfmark.operators.ordering import first_per_key, with_positions
+from shelfmark.operators.sketches import frequent_hashes, hashes_seen_twice, key_hash, rows_seen_twice
 from shelfmark.session import BROADCAST_ROWS, materialise
 
 # Bounds of a 32-bit signed integer.
@@ -94,8 +95,15 @@ def first_records(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int]:
-    """Keys with more than one row, stored, and their number up to ``BROADCAST_ROWS + 1``."""
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    """Keys with more than one row, stored, and their number up to ``BROADCAST_ROWS + 1``.
+
+    Keys are first looked at as packed hashes; while few of those repeat, only their rows are counted by key.
+    """
+    twice, n = hashes_seen_twice(df, key)
+    rows = df.select(*key)
+    if n <= BROADCAST_ROWS:
+        rows = rows_seen_twice(rows, key, twice) if n else rows.limit(0)
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     stored = materialise(counts.where(F.col("_n") > 1).select(*key), "repeated-keys")
     return stored, stored.limit(BROADCAST_ROWS + 1).count()
 
@@ -145,16 +153,20 @@ def duplicate_rows(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -
 
 
 def top_duplicate_keys(df: DataFrame, key: str, limit: int = 10) -> DataFrame:
-    """Keys with the most removed rows, i.e. copies beyond the first; a null key is no key."""
+    """Keys with the most removed rows, i.e. copies beyond the first; a null key is no key.
+
+    A few frequent keys are found by their frequencies; where none stand out, only rows of keys that repeat are counted.
+    """
+    rows = df.select(key).where(F.col(key).isNotNull())
+    hashes = frequent_hashes(rows, [key], limit)
+    if hashes is not None and hashes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        rows = rows.withColumn("_hash", key_hash([key])).join(F.broadcast(hashes.withColumnRenamed("hash", "_hash")), "_hash", "left_semi")
+    else:
+        twice, n = hashes_seen_twice(rows, [key])
+        if n <= BROADCAST_ROWS:
+            rows = rows_seen_twice(rows, [key], twice) if n else rows.limit(0)
     removed = (F.count(F.lit(1)) - 1).alias("removed_rows")
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(removed)
-        .where("removed_rows > 0")
-        .orderBy(F.desc("removed_rows"), F.asc(key))
-        .limit(limit)
-    )
+    return rows.groupBy(key).agg(removed).where("removed_rows > 0").orderBy(F.desc("removed_rows"), F.asc(key)).limit(limit)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -260,12 +260,12 @@ _STATEMENTS: dict[str, str] = {
     "csv_quarantine": """SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, CASE WHEN p_size % 7 <> 0 THEN p_size END AS p_size,
         CASE WHEN p_size % 7 = 0 THEN 'p_size' END AS bad_column, CASE WHEN p_size % 7 = 0 THEN 'n/a' END AS bad_text FROM part""",
     "dedup_file_order": "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_size FROM part",
-    "duplicates_report": """SELECT review_id, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
-        l_tax, l_returnflag, l_linestatus FROM ranked_lines WHERE place > 1""",
+    "duplicates_report": f"SELECT {LINE_COLUMNS} FROM ranked_lines WHERE place > 1",
     "dedup_keep_first": f"SELECT {LINE_COLUMNS} FROM ranked_lines WHERE place = 1",
     "duplicate_rows": f"SELECT {LINE_COLUMNS} FROM ranked_lines WHERE place > 1",
     "top_duplicate_keys": """SELECT review_id, COUNT(*) - 1 AS removed_rows FROM review_lines GROUP BY review_id
         HAVING COUNT(*) > 1 ORDER BY removed_rows DESC, review_id LIMIT 10""",
+    "frequent_keys": "SELECT app_id, COUNT(*) AS review_count FROM reviews GROUP BY app_id ORDER BY review_count DESC, app_id LIMIT 20",
     "nan_to_null": f"SELECT event_id, CASE WHEN {K} % 10 <> 0 THEN value END AS value FROM events",
     "column_profile": " UNION ALL ".join(
         [

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.scalars import round_half_up
-from shelfmark.operators import clean, digests, documents, graph, normalize, reconcile, registry, relational, runstats, summaries
+from shelfmark.operators import clean, digests, documents, graph, normalize, reconcile, registry, relational, runstats, sketches, summaries
 from shelfmark.operators.ordering import mode_per_key
 from shelfmark.plans.store import SNAPSHOT_BASE, Store, open_store
 from shelfmark.session import scratch_path, tune
@@ -315,11 +315,11 @@ def csv_quarantine(store: Store) -> DataFrame:
 
 @query("dedup_file_order")
 def dedup_file_order(store: Store) -> DataFrame:
-    """Two files with different headers; of every part the row of the first file stays, as it stands earlier."""
+    """Two folders of files with different headers; of every part the row of the first file stays, as it stands earlier."""
     path = scratch_path(store.spark, "ordered-csv")
     part = store.catalog.table("part").select("p_partkey", "p_name", "p_size")
-    sinks.write_csv(part.coalesce(1), f"{path}/a")
-    sinks.write_csv(part.select((F.col("p_size") + 100).alias("p_size"), "p_partkey").coalesce(1), f"{path}/b")
+    sinks.write_csv(part, f"{path}/a")
+    sinks.write_csv(part.select((F.col("p_size") + 100).alias("p_size"), "p_partkey"), f"{path}/b")
     raw = csv_files.read_large_csv(store.spark, f"{path}/*", PART_TYPES, "place")
     return clean.dedup_keep_first(raw, ["p_partkey"], ["place"]).drop("place")
 
@@ -328,7 +328,7 @@ def dedup_file_order(store: Store) -> DataFrame:
 def duplicates_report(store: Store) -> DataFrame:
     """The removed copies, written as CSV beside the kept rows and read back."""
     path = scratch_path(store.spark, "duplicates")
-    lines = store.catalog.lines_with_review_id().select("review_id", *[c for c in store.catalog.REVIEW_ORDER if c not in ("review_id", "l_shipdate")])
+    lines = store.catalog.lines_with_review_id().select(*store.catalog.REVIEW_ORDER)
     sinks.write_csv(clean.duplicate_rows(lines, ["review_id"], lines.columns), path)
     return store.spark.read.schema(lines.schema).csv(path, header=True, escape='"')
 
@@ -350,6 +350,12 @@ def top_duplicate_keys(store: Store) -> DataFrame:
     return clean.top_duplicate_keys(store.catalog.lines_with_review_id(), "review_id")
 
 
+@query("frequent_keys")
+def frequent_keys(store: Store) -> DataFrame:
+    """The games with the most reviews, and how many."""
+    return sketches.frequent_keys(store.catalog.reviews(), "app_id", 20, "review_count")
+
+
 @query("nan_to_null")
 def nan_to_null(store: Store) -> DataFrame:
     missing = F.when(event_number() % 10 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
