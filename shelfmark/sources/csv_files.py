@@ -19,6 +19,10 @@ _FORMAT = {"quote": '"', "escape": '"'}
 MOST_HEADERS = 100
 
 
+# Characters that a record may have, and that a quarantined one shows.
+RECORD_LIMIT, SHOWN = 64 << 20, 1000
+
+
 def _names(line: str) -> list[str]:
     """Column names of a header line; a nameless column becomes ``_c<position>``."""
     names = next(csv.reader([line.rstrip("\r").lstrip("\ufeff")]))
@@ -55,7 +59,8 @@ def whole_or_cast(text: Column, kind: T.DataType) -> Column:
 
 
 def read_large_csv(
-    spark: SparkSession, path: str, types: Mapping[str, str], position: str | None = None, bad_cells: str | None = None
+    spark: SparkSession, path: str, types: Mapping[str, str], position: str | None = None, bad_cells: str | None = None,
+    record_limit: int = RECORD_LIMIT,
 ) -> DataFrame:
     """Typed scan that splits large files although their text holds line breaks.
 
@@ -70,12 +75,15 @@ def read_large_csv(
     ``position`` names a column for the place of a record: file, block and row,
     which order as the files do.  ``bad_cells`` names a column that lists what
     could not be read as its column's type, and records of the wrong length.
+
+    A record of more than ``record_limit`` characters is not gathered, as one quote too many may make it the rest of the
+    file: its cells are null, and ``bad_cells`` shows how it begins.
     """
     lines = _lines(spark, path)
     tops, headers = _headers(lines)
     if len(headers) > MOST_HEADERS:
         raise ValueError(f"more than {MOST_HEADERS} different headers in {path}")
-    records = _records(lines)
+    records = _records(lines, record_limit)
     frames = []
     for header in sorted(headers):
         own = records
@@ -106,8 +114,8 @@ def _headers(lines: DataFrame) -> tuple[DataFrame, list[str]]:
     return tops, [r["header"] for r in tops.select("header").distinct().limit(MOST_HEADERS + 1).collect()]
 
 
-def _records(lines: DataFrame) -> DataFrame:
-    """``(file, block, row, value)``: one row per record, with its place."""
+def _records(lines: DataFrame, limit: int) -> DataFrame:
+    """``(file, block, row, value, oversize)``: one row per record, with its place; of an oversize one only the beginning."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -121,23 +129,30 @@ def _records(lines: DataFrame) -> DataFrame:
     else:
         marked = lines.join(starts, ["file", "block"]).repartition("file", "block").sortWithinPartitions("file", "block", "line")
     pieces = marked.select("file", "block", "value", "open").mapInPandas(
-        _record_cutter(), "file string, block bigint, kind int, row bigint, value string"
+        _record_cutter(limit + 1), "file string, block bigint, kind int, row bigint, value string, size bigint"
     )
-    whole = pieces.where(F.col("kind") == WHOLE).select("file", "block", "row", "value")
+    oversize = (F.col("size") > limit).alias("oversize")
+    whole = pieces.where(F.col("kind") == WHOLE).select("file", "block", "row", "value", oversize)
     # Order inside a block: the end of an earlier record, then the start of a later one.  The window sees no text.
     borders = materialise(pieces.where(F.col("kind") != WHOLE), "csv-borders")
     so_far = Window.partitionBy("file").orderBy("block", "kind")
-    numbered = borders.select("file", "block", "kind").withColumn("record", F.count_if(F.col("kind") == TAIL).over(so_far))
+    numbered = borders.select("file", "block", "kind", "size").withColumn("record", F.count_if(F.col("kind") == TAIL).over(so_far))
+    # Line breaks between the pieces count as well.  Of a record that is too large, its first piece is enough.
+    sizes = numbered.groupBy("file", "record").agg((F.sum("size") + F.count(F.lit(1)) - 1).alias("size"), F.min("block").alias("first"), F.max("kind").alias("last"))
+    sizes = materialise(sizes.select("file", "record", "first", oversize), "csv-record-sizes")
+    numbered = numbered.drop("size").join(sizes, ["file", "record"])
+    starts_it = (F.col("block") == F.col("first")) & ((F.col("kind") == TAIL) | (F.col("record") == 0))
     joined = (
-        borders.join(numbered, ["file", "block", "kind"])
-        .groupBy("file", "record")
+        borders.drop("size").join(numbered.where(~F.col("oversize") | starts_it), ["file", "block", "kind"])
+        .groupBy("file", "record", "oversize")
         .agg(F.sort_array(F.collect_list(F.struct("block", "kind", "row", "value"))).alias("parts"))
         .select(
             "file", F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["row"].alias("row"),
-            F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"),
+            F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"), "oversize",
         )
     )
-    return whole.unionByName(joined).where(F.length("value") > 0)
+    beginning = F.when(F.col("oversize"), F.substring("value", 1, SHOWN)).otherwise(F.col("value"))
+    return whole.unionByName(joined).where(F.length("value") > 0).withColumn("value", beginning)
 
 
 def _typed_records(
@@ -146,7 +161,8 @@ def _typed_records(
     """Records cut into cells, read as text first and then as their columns' types."""
     texts = ", ".join([*(f"`{n}` string" for n in names), "`_whole` string"])
     options = {**_FORMAT, "columnNameOfCorruptRecord": "_whole"}
-    cells = records.withColumn("_cells", F.from_csv(F.regexp_replace("value", "\r$", ""), F.lit(texts), options))
+    cut = F.from_csv(F.regexp_replace("value", "\r$", ""), F.lit(texts), options)
+    cells = records.withColumn("_cells", F.when(~F.col("oversize"), cut))
 
     def cell(name: str) -> Column:
         return F.col("_cells").getField(name)
@@ -162,7 +178,8 @@ def _typed_records(
             for n, k in kinds.items()
             if not isinstance(k, T.StringType)
         ]
-        bad.append(F.when(cell("_whole").isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), cell("_whole").alias("text"))))
+        unread = F.when(F.col("oversize"), F.col("value")).otherwise(cell("_whole"))
+        bad.append(F.when(unread.isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), unread.alias("text"))))
         columns.append(F.filter(F.array(*bad), lambda x: x.isNotNull()).alias(bad_cells))
     return cells.select(*columns)
 
@@ -172,15 +189,15 @@ def _typed_records(
 HEAD, MIDDLE, TAIL, WHOLE = 0, 1, 2, 3
 
 
-def _record_cutter() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The function that cuts the lines of each (file, block) run into records.
+def _record_cutter(most: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The function that cuts the lines of each (file, block) run into records, of which it passes on ``most`` characters.
 
     It is made here, not defined at module level, so that it travels to the
     executors whole and they need no copy of this package.
     """
 
     def piece(key: tuple, kind: int, row: int, value: str) -> pd.DataFrame:
-        return pd.DataFrame({"file": [key[0]], "block": [key[1]], "kind": [kind], "row": [row], "value": [value]})
+        return pd.DataFrame({"file": [key[0]], "block": [key[1]], "kind": [kind], "row": [row], "value": [value[:most]], "size": [len(value)]})
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current = None
@@ -217,7 +234,8 @@ def _record_cutter() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
                     texts = texts.iloc[1:]  # header line
                 if len(texts):
                     numbers = range(row, row + len(texts))
-                    yield pd.DataFrame({"file": key[0], "block": key[1], "kind": WHOLE, "row": numbers, "value": texts.to_numpy()})
+                    cut_off = texts.str.slice(0, most).to_numpy()
+                    yield pd.DataFrame({"file": key[0], "block": key[1], "kind": WHOLE, "row": numbers, "value": cut_off, "size": texts.str.len().to_numpy()})
                     row += len(texts)
         if pending:
             yield piece(current, MIDDLE if pending_is_head else TAIL, row, "\n".join(pending))

@@ -155,3 +155,38 @@ def test_files_with_headers_in_another_order(spark, tmp_path, rows):
 def test_build_session_returns_the_tuned_session(spark):
     assert build_session().conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.range(1).select(F.current_timezone()).first()[0] == "UTC"
+
+
+def test_a_stray_quote_goes_to_the_quarantine(spark, tmp_path):
+    path = tmp_path / "stray.csv"
+    lines = [f"{i},text {i}" for i in range(4000)]
+    lines[2000] = '2000,"opened and never closed'
+    path.write_text("id,text\n" + "\n".join(lines) + "\n")
+    for block in ("2k", "1m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            got = csv_files.read_large_csv(spark, str(path), {"id": "INT", "text": "STRING"}, "place", "bad", record_limit=500).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        read = sorted((r.id, r.text) for r in got if r.id is not None)
+        assert read == [(i, f"text {i}") for i in range(2000)]
+        (bad,) = [r.bad for r in got if r.id is None]
+        assert bad[0].column is None and bad[0].text.startswith('2000,"opened') and len(bad[0].text) <= csv_files.SHOWN
+
+
+def test_records_below_the_limit_stay_whole(spark, tmp_path):
+    path = tmp_path / "long.csv"
+    texts = ["a" * 30, "b\n" * 40 + "end", "c" * 99, "d\n" * 200]
+    path.write_text("id,text\n" + "".join(f'{i},"{t}"\n' for i, t in enumerate(texts)))
+    got = {r.id: r.text for r in csv_files.read_large_csv(spark, str(path), {"id": "INT", "text": "STRING"}, None, "bad", record_limit=120).collect()}
+    assert got == {0: texts[0], 1: texts[1], 2: texts[2], None: None}
+
+
+def test_run_logs_with_line_breaks_stay_one_run(spark, tmp_path):
+    rows = [("t", "a", 1, 1.5, 3, 'two lines\nand "quotes"', "now"), ("t", "a", 2, 2.5, 3, None, "now")]
+    log = spark.createDataFrame(rows, "test_name string, database string, run_number long, execution_time_ms double, row_count long, error string, timestamp string")
+    sinks.write_csv(log, str(tmp_path / "log"))
+    types = dict(log.dtypes)
+    assert sorted(tuple(r) for r in csv_files.read_large_csv(spark, str(tmp_path / "log"), types).collect()) == sorted(rows)
