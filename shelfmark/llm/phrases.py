@@ -313,7 +313,11 @@ def collocations(docs: DataFrame, settings: Mining = Mining(), text: str = "text
     cuts = cuts.withColumn("above", a * a * F.lit(1_000_000).cast("decimal(7,0)")).withColumn("below", l * r)
     best = cuts.groupBy("lang", "phrase", "a").agg(F.min(F.struct(F.expr("above div below").alias("score"), "k", "l", "r")).alias("cut"))
     scored = best.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.first)
+    # First within parts of a language, so that the last step sees a fixed number of rows, whatever number there are.
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    parted = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+    parted = parted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+    parted = parted.where(F.col("rank") <= settings.first).drop("rank", "part")
+    ranked = parted.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= settings.first)
     sizes = levels[0].where("next = ''").select("lang", F.col("f").alias("n"))
     return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
