@@ -32,6 +32,7 @@ class Mix:
     shard_slots: int = 1024
     seed: int = 20240
     buckets: int = 256
+    bucket_rows: int = 1_000_000
 
 
 def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray, back: bool = False) -> np.ndarray:
@@ -99,13 +100,17 @@ def source_targets(sized: DataFrame, mix: Mix) -> DataFrame:
 def _streams(sized: DataFrame, mix: Mix) -> DataFrame:
     """``sized`` with the place ``begin`` of every document's first word in its source's stream.
 
-    A source is summed in salted buckets, so that one with most of the documents is spread over many tasks.
+    A source is summed in salted buckets, so that one with most of the documents is spread over many tasks.  Files, splits
+    and cores have no part in the order, so that reruns agree.
     """
-    salted = sized.withColumn("bucket", salt_of("uid", mix.buckets, mix.seed))
+    buckets = max(mix.buckets, -(-sized.count() // mix.bucket_rows))
+    salted = sized.withColumn("bucket", salt_of("place", buckets, mix.seed))
     shares = salted.groupBy("source", "bucket").agg(F.sum("size").alias("share"))
     before = F.sum("share").over(Window.partitionBy("source").orderBy("bucket")) - F.col("share")
     shares = materialise(shares.select(F.col("source").alias("of_source"), F.col("bucket").alias("of_bucket"), before.alias("before")), "source-shares")
-    inside = F.sum("size").over(Window.partitionBy("source", "bucket").orderBy("uid")) - F.col("size")
+    # Documents are ordered by ident, source and text; rows that are equal in these may change places.
+    in_order = Window.partitionBy("source", "bucket").orderBy("place", "ident", "uid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = F.sum("size").over(in_order) - F.col("size")
     fits = F.col("source").eqNullSafe(F.col("of_source")) & (F.col("bucket") == F.col("of_bucket"))
     return salted.withColumn("inside", inside).join(shares, fits).select("uid", "source", "size", (F.col("before") + F.col("inside")).alias("begin"))
 
@@ -132,7 +137,8 @@ def _slots(targets: DataFrame, mix: Mix) -> DataFrame:
     shards = max(1, -(-all_slots // mix.shard_slots))
     chunk = 10_000
     rows = plan.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / chunk))))
-    rows = rows.repartition(F.xxhash64("source", "chunk"))
+    # By number, as adaptive execution would see only the few rows before the explosion.
+    rows = rows.repartition(int(max(1, -(-all_slots // (10 * chunk)))), "source", "chunk")
     last = F.least((F.col("chunk") + 1) * chunk, F.col("slots")) - 1
     rows = rows.withColumn("slot", F.explode(F.sequence(F.col("chunk") * chunk, last)))
     rows = rows.withColumn("turn", F.floor(F.col("slot") / F.col("blocks")))
@@ -143,6 +149,11 @@ def _slots(targets: DataFrame, mix: Mix) -> DataFrame:
     return rows.select("source", "slot", "turn", "block", take.alias("take"), shard.alias("shard"))
 
 
+def _place(ident: str, source: str, text: str) -> Column:
+    nulls = F.concat(*[F.col(c).isNull().cast("string") for c in (ident, source, text)])
+    return F.xxhash64(F.lit(5), nulls, ident, source, text).alias("place")
+
+
 def word_count(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(_WORDS)), F.lit(0)).cast("long")
 
@@ -150,7 +161,8 @@ def word_count(text: Column | str) -> Column:
 def spans(sized: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame]:
     """The mix and its targets: ``(uid, shard, slot, turn, source, from_word, to_word)`` and ``source_targets``.
 
-    ``sized`` has a row ``(uid, source, size)`` per document, ``uid`` unique and fixed, and must be a written table.
+    ``sized`` has a row ``(uid, place, ident, source, size)`` per document and must be a written table: ``uid`` is unique and
+    fixed, ``place`` a hash of all that tells documents apart, and ``ident`` decides between equal hashes.
     """
     targets = materialise(source_targets(sized, mix), "source-targets")
     b = F.lit(mix.block_words)
@@ -173,23 +185,28 @@ def mixed_sizes(docs: DataFrame, mix: Mix = Mix(), ident: str = "doc_id", text:
     ``size`` counts words, 0 for null and empty texts; null is a source of its own, the last one.  Repeated rows and
     null idents count as documents of their own.  An empty table gives no rows.
     """
-    sized = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(ident).alias("ident"), F.col(source).alias("source"), word_count(text).alias("size"))
+    sized = docs.select(
+        F.monotonically_increasing_id().alias("uid"), _place(ident, source, text), F.col(ident).alias("ident"), F.col(source).alias("source"), word_count(text).alias("size")
+    )
     sized = materialise(sized, "sized")
-    taken, targets = spans(sized.select("uid", "source", "size"), mix)
+    taken, targets = spans(sized.select("uid", "place", "ident", "source", "size"), mix)
     taken = taken.groupBy("uid").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
     of = targets.withColumnRenamed("source", "of_source")
     out = sized.join(taken, "uid", "left").join(of, F.col("source").eqNullSafe(F.col("of_source")), "left")
     return out.select(F.col("ident").alias(ident), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, mix: Mix = Mix(), text: str = "text", source: str = "source") -> DataFrame:
+def mixed_documents(docs: DataFrame, mix: Mix = Mix(), ident: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs`` that the mix takes words of, with these words as their text.
 
     A row holds its words of every pass, pass after pass, each on a new line.  Documents without words aren't taken.
     """
     fields = docs.columns
     kept = materialise(docs.withColumn("_uid", F.monotonically_increasing_id()), "mix-documents")
-    sized = materialise(kept.select(F.col("_uid").alias("uid"), F.col(source).alias("source"), word_count(text).alias("size")), "sized")
+    sized = kept.select(
+        F.col("_uid").alias("uid"), _place(ident, source, text), F.col(ident).alias("ident"), F.col(source).alias("source"), word_count(text).alias("size")
+    )
+    sized = materialise(sized, "sized")
     taken, _ = spans(sized, mix)
     parts = taken.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("turn", "from_word", "to_word"))).alias("_parts"))
 
