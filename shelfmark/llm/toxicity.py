@@ -184,7 +184,7 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     decay = _decay(tokens, max(weights.values()))
     seen = max(tokens[:, 1].sum(), 1.0)
     # Chance segments of height x are expected scale * n * exp(-decay * x) times; at the median clean height.
-    middle = float(np.median(np.repeat(heights[:, 0], np.minimum(heights[:, 1], 1000).astype(int)))) if len(heights) else 0.0
+    middle = _median(heights[:, 0], heights[:, 1])
     above = heights[heights[:, 0] >= middle, 1].sum() if len(heights) else 0.0
     scale = (above + 1.0) / seen * math.exp(min(decay * middle, 600.0))
     fitted = Model(weights, penalty, decay, scale, 0.0, 0.0, settings.significance)
@@ -203,6 +203,16 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     return Model(weights, penalty, decay, scale, slope, offset, settings.significance)
 
 
+def _median(values: np.ndarray, counts: np.ndarray) -> float:
+    """The median of values that occur so many times; 0 of none."""
+    if not len(values):
+        return 0.0
+    order = np.argsort(values)
+    sofar = np.cumsum(counts[order])
+    low, high = (values[order][np.searchsorted(sofar, rank, side="right")] for rank in ((sofar[-1] - 1) // 2, sofar[-1] // 2))
+    return float(low + high) / 2
+
+
 def _decay(tokens: np.ndarray, top: float) -> float:
     """The positive root of ``sum p(s) exp(x s) = 1``; one unseen token of the highest weight is added."""
     value = np.append(tokens[:, 0], top)

@@ -327,3 +327,19 @@ def test_permutation_has_an_inverse():
             there = mixing.permuted(index, n, key)
             assert sorted(there) == list(range(size))
             assert (mixing.permuted(there, n, key, True) == index).all()
+
+
+def test_mixing_agrees_whatever_the_splits(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(i % 50)) for i in range(300)] + [BASE] * 20
+    docs = documents(spark, texts, [("a", "b", None)[i % 3] for i in range(320)])
+    first = {r.doc_id: r.taken for r in mixing.mixed_sizes(docs.repartition(1)).collect()}
+    turned = docs.orderBy(F.desc("doc_id")).repartition(7)
+    assert {r.doc_id: r.taken for r in mixing.mixed_sizes(turned).collect()} == first
+    assert {r.doc_id: len(r.text.split()) for r in mixing.mixed_documents(turned).collect()} == {i: n for i, n in first.items() if n}
+
+
+def test_median_of_counted_heights():
+    for values in ([3.0], [1.0, 2.0], [5.0, 1.0, 1.0, 2.0], [2.5] * 9 + [1.0] * 4 + [9.0]):
+        kinds, counts = np.unique(values, return_counts=True)
+        assert toxicity._median(kinds, counts.astype(float)) == np.median(values)
+    assert toxicity._median(np.zeros(0), np.zeros(0)) == 0.0
