@@ -1,7 +1,8 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame functions only.
 
-Lines are sequences of words; two lines are duplicates if one word inserted, removed or replaced makes them equal.
-Then leaving out one word of either, or of the longer one, gives equal variants.
+Lines are sequences of words, or of characters where a longer line has no space.  Two lines are duplicates if they are
+equal, or if both have units enough and one unit inserted, removed or replaced makes them equal.  Then leaving out one unit
+of either, or of the longer one, gives equal variants.
 """
 
 from __future__ import annotations
@@ -11,15 +12,25 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import materialise
 
-#: Shorter lines are neither compared nor removed: a word is too large a part of them.
+#: Lines of fewer words go as copies only: one word is too large a part of them.
 MIN_WORDS = 5
+#: The same for lines without a space, whose units are characters.
+MIN_CHARS = 20
+#: What a blank line consists of; blank lines are never removed.
+_BLANKS = " \t\r\x0b\x0c"
 #: Documents that have something to fetch are marked by a hash of so many values; that bounds what is broadcast.
 MARKS = 2**20
 _LAST = 2**63 - 1
 
 
-def _words(line: Column) -> Column:
-    return F.split(F.trim(line), " ")
+def _units(body: Column) -> Column:
+    """Words between spaces; of a longer line without any, characters, marked so that none is equal to a word."""
+    characters = F.transform(F.regexp_extract_all(body, F.lit("."), F.lit(0)), lambda c: F.concat(F.lit("\n"), c))
+    return F.when(F.contains(body, F.lit(" ")) | (F.length(body) < MIN_CHARS), F.split(body, " ")).otherwise(characters)
+
+
+def _hashes(body: Column) -> tuple[Column, Column]:
+    return F.xxhash64(body), F.xxhash64(F.lit(7), body)
 
 
 def _at(ident: str) -> Column:
@@ -32,8 +43,9 @@ def _mark(at: Column | str) -> Column:
 
 
 def _line_rows(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """``(at, body, no, line)`` of every line: place of the document, hash of its text, number and text of the line."""
-    return docs.select(_at(ident).alias("at"), F.xxhash64(text).alias("body"), F.posexplode(F.split(text, "\n", -1)).alias("no", "line"))
+    """``(at, body, no, line)`` of every line that isn't blank: place of the document, hash of its text, number and text of the line."""
+    lines = docs.select(_at(ident).alias("at"), F.xxhash64(text).alias("body"), F.posexplode(F.split(text, "\n", -1)).alias("no", "line"))
+    return lines.where(F.trim("line", F.lit(_BLANKS)) != "").withColumn("line", F.trim("line"))
 
 
 def _end_keys() -> Column:
@@ -71,13 +83,15 @@ def _one_word_apart(a: Column, b: Column) -> Column:
 def repeated_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """``(at, body, dropped)``: the numbers of the lines that go, for each document that loses one.
 
-    A line of at least ``MIN_WORDS`` words (what single spaces separate) goes if an equal line, or one that is one word
-    apart, stands earlier, in the order of ``(ident, line number)``; null idents come last.  ``at`` is the ident, or
-    the largest number if it is null, and ``body`` the hash of the text, which tells rows of one ident apart.
+    A line that isn't blank goes if an equal one, but for spaces around it, stands earlier, in the order of ``(ident, line
+    number)``; null idents come last.  One of at least ``MIN_WORDS`` words (what single spaces separate), or of
+    ``MIN_CHARS`` characters and no space, goes also if such a line that is one unit apart stands earlier.  ``at`` is the
+    ident, or the largest number if it is null, and ``body`` the hash of the text, which tells rows of one ident apart.
     """
-    lines = _line_rows(docs, ident, text).withColumn("words", _words(F.col("line"))).where(F.size("words") >= MIN_WORDS)
-    hashes = [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(7), "words").alias("h2")]
-    lines = materialise(lines.select("at", "body", "no", *hashes, _end_keys().alias("keys")), "lines")
+    lines = _line_rows(docs, ident, text).withColumn("words", _units(F.col("line")))
+    h1, h2 = _hashes(F.col("line"))
+    keys = F.when(F.size("words") >= MIN_WORDS, _end_keys()).otherwise(F.array().cast("array<bigint>"))
+    lines = materialise(lines.select("at", "body", "no", h1.alias("h1"), h2.alias("h2"), keys.alias("keys")), "lines")
     distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct("at", "no")).alias("first"), F.first("keys").alias("keys"))
     distinct = materialise(distinct.select("h1", "h2", "first.at", "first.no", "keys"), "distinct-lines")
     # Without loss: a line whose ends no other line has is one word apart from none.
@@ -88,8 +102,8 @@ def repeated_lines(docs: DataFrame, ident: str = "doc_id", text: str = "text") -
     # Their words, from the place where each stands first; only documents that may hold one are shuffled.
     marks = F.broadcast(suspects.select(_mark("at").alias("_mark")).distinct())  # at most MARKS numbers
     holders = docs.join(marks, _mark(_at(ident)) == F.col("_mark"), "left_semi")
-    texts = _line_rows(holders, ident, text).select("at", "no", "line").join(suspects, ["at", "no"]).withColumn("words", _words(F.col("line")))
-    texts = texts.where((F.xxhash64("words") == F.col("h1")) & (F.xxhash64(F.lit(7), "words") == F.col("h2")))
+    texts = _line_rows(holders, ident, text).select("at", "no", "line").join(suspects, ["at", "no"])
+    texts = texts.where((h1 == F.col("h1")) & (h2 == F.col("h2"))).withColumn("words", _units(F.col("line")))
     texts = texts.select("h1", "h2", F.struct("at", "no").alias("first"), "words").dropDuplicates(["h1", "h2"])
     texts = materialise(texts, "suspect-words")
 

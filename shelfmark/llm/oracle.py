@@ -27,15 +27,18 @@ SELECT vec_id, COALESCE(n_links, 0) AS n_links, component_id, vec_id = component
 
 REPEATED_LINES = """
 WITH t AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
-l AS (SELECT doc_id, no, parts[no] AS line, string_split(trim(parts[no], ' '), ' ') AS ws
+l AS (SELECT doc_id, no, parts[no] AS line, trim(parts[no], ' ') AS body, trim(parts[no], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) = '' AS blank
     FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS no FROM t)),
-d AS (SELECT ws, MIN({'doc': doc_id, 'no': no}) AS place FROM l WHERE len(ws) >= 5 GROUP BY ws),
-v AS (SELECT ws, place, i, md5(array_to_string(CASE WHEN i = 0 THEN ws ELSE list_concat(ws[1:i - 1], ws[i + 1:]) END, ' ')) AS key
-    FROM (SELECT ws, place, unnest(range(0, len(ws) + 1)) AS i FROM d)),
-near AS (SELECT DISTINCT a.ws FROM v a JOIN v b ON a.key = b.key AND b.place < a.place
+d AS (SELECT body, MIN({'doc': doc_id, 'no': no}) AS place,
+    CASE WHEN contains(body, ' ') OR length(body) < 20 THEN string_split(body, ' ')
+    ELSE [chr(10) || substring(body, i, 1) FOR i IN range(1, length(body) + 1)] END AS ws
+    FROM l WHERE NOT blank GROUP BY body),
+v AS (SELECT ws, body, place, i, md5(array_to_string(CASE WHEN i = 0 THEN ws ELSE list_concat(ws[1:i - 1], ws[i + 1:]) END, ' ')) AS key
+    FROM (SELECT ws, body, place, unnest(range(0, len(ws) + 1)) AS i FROM d WHERE len(ws) >= 5)),
+near AS (SELECT DISTINCT a.body FROM v a JOIN v b ON a.key = b.key AND b.place < a.place
     AND (a.i = b.i AND a.i > 0 OR (a.i = 0) <> (b.i = 0))),
-kept AS (SELECT doc_id, no, line FROM l WHERE len(ws) < 5 OR
-    (ws NOT IN (SELECT ws FROM near) AND {'doc': doc_id, 'no': no} = (SELECT place FROM d WHERE d.ws = l.ws))),
+kept AS (SELECT doc_id, no, line FROM l WHERE blank OR
+    (body NOT IN (SELECT body FROM near) AND {'doc': doc_id, 'no': no} = (SELECT place FROM d WHERE d.body = l.body))),
 r AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY no) AS text FROM kept GROUP BY doc_id)
 SELECT doc_id, len(parts) AS n_lines, COALESCE(length(text), 0) AS n_chars_left, md5(COALESCE(text, '')) AS text_md5
 FROM t LEFT JOIN r USING (doc_id)"""

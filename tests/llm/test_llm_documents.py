@@ -148,10 +148,12 @@ def _kept_lines(rows):
             continue
         keep = []
         for line in text.split("\n"):
-            words = line.strip(" ").split(" ")
-            if len(words) >= lines.MIN_WORDS:
-                again = any(abs(len(words) - len(w)) <= 1 and _apart(words, w) <= 1 for w in seen)
-                seen.append(words)
+            body = line.strip(" ")
+            if line.strip(" \t\r\x0b\x0c"):
+                units = body.split(" ") if " " in body or len(body) < lines.MIN_CHARS else ["char " + c for c in body]
+                fit = len(units) >= lines.MIN_WORDS
+                again = any(units == w or fit and len(w) >= lines.MIN_WORDS and abs(len(units) - len(w)) <= 1 and _apart(units, w) <= 1 for w in seen)
+                seen.append(units)
                 if again:
                     continue
             keep.append(line)
@@ -176,6 +178,15 @@ def test_line_dedup_equals_brute_force(spark):
     assert got == _kept_lines(list(enumerate(texts)))
 
 
+def test_short_lines_and_lines_without_spaces(spark):
+    page = "漢字" * 12
+    texts = ["All rights reserved.\nLes.\n\n \t\nx", "Les.\nLes\nAll rights  reserved.\n All rights reserved. \n\n \t\ny"]
+    texts += [page + "\n" + page[:-1] + "\n" + page[:15], page + "x\n" + page[:10] + "yz" + page[10:] + "\n" + " ".join(page) + "\n" + page[:15]]
+    got = {r.doc_id: r.text for r in lines.without_repeated_lines(documents(spark, texts)).collect()}
+    assert got == _kept_lines(list(enumerate(texts)))
+    assert got[1] == "Les\nAll rights  reserved.\n\n \t\ny" and got[2] == page + "\n" + page[:15] and " ".join(page) in got[3]
+
+
 def test_line_dedup_on_awkward_rows(spark, rows):
     docs = awkward(spark)
     done = lines.without_repeated_lines(docs)
