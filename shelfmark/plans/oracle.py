@@ -458,6 +458,7 @@ for _name, _same in {
 }.items():
     _STATEMENTS[f"{_name}_documents"] = _same
     _STATEMENTS[f"{_name}_graph"] = _same
+_STATEMENTS["build_normalised"] = _STATEMENTS["row_count_audit"]
 _STATEMENTS["merge_partitions"] = _STATEMENTS["node_upsert"]
 _STATEMENTS["merged_run_statistics"] = _STATEMENTS["run_statistics"]
 _STATEMENTS["range_diff"] = _STATEMENTS["cell_diff"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,50 @@ from shelfmark.sources.sinks import in_key_order, prepared
 SNAPSHOT_BASE = "2024-06-30"
 
 
+#: Dimensions of names in list columns: id column and the function that makes them.
+LISTS: Mapping[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "developers": ("developer_id", normalize.dim_developers),
+    "publishers": ("publisher_id", normalize.dim_publishers),
+    "genres": ("genre_id", normalize.dim_genres),
+    "categories": ("category_id", normalize.dim_categories),
+}
+
+#: The derived tables, each after the ones that it reads.
+DERIVED = (
+    *(table for column in LISTS for table in (column, f"game_{column}")),
+    "tags", "game_tags", "user_profiles", "game_review_summary", "developer_stats", "game_price_history",
+)
+
+
+@dataclass(frozen=True)
+class Sources:
+    """What the derived tables are made of, read when a table needs it."""
+
+    entries: Callable[[str], DataFrame]  # (game_appid, name) of a list column
+    tag_entries: Callable[[], DataFrame]
+    games: Callable[[], DataFrame]
+    reviews: Callable[[], DataFrame]
+    user_reviews: Callable[[], DataFrame]
+
+
+def derived_table(name: str, sources: Sources, table: Callable[[str], DataFrame], base_date: str = SNAPSHOT_BASE, months_back: int = 12) -> DataFrame:
+    """One derived table; ``table`` gives the finished ones that it reads."""
+    if name in LISTS:
+        return LISTS[name][1](sources.entries(name))
+    column = name.removeprefix("game_")
+    if name != column and column in LISTS:
+        return normalize.bridge(sources.entries(column), table(column), LISTS[column][0])
+    build: dict[str, Callable[[], DataFrame]] = {
+        "tags": lambda: normalize.dim_tags(sources.tag_entries()),
+        "game_tags": lambda: normalize.bridge_tags(sources.tag_entries(), table("tags")),
+        "user_profiles": lambda: summaries.user_profiles(sources.user_reviews()),
+        "game_review_summary": lambda: summaries.game_review_summary(sources.reviews()),
+        "developer_stats": lambda: summaries.developer_stats(sources.games(), table("game_developers")),
+        "game_price_history": lambda: summaries.snapshot_spine(sources.games(), "appid", "price", base_date, months_back, discount="discount"),
+    }
+    return build[name]()
+
+
 def build_normalised(
     games: DataFrame,
     reviews: DataFrame,
@@ -32,33 +77,17 @@ def build_normalised(
     stores a finished table and returns the stored frame; dimensions and
     bridges are used by later tables, so storing them cuts their lineage.
     """
-    keep = keep or (lambda name, df: df)
-    tables: dict[str, DataFrame] = {}
-
-    def add(name: str, df: DataFrame) -> DataFrame:
-        tables[name] = keep(name, df)
-        return tables[name]
-
-    lists = {
-        "developers": ("developer_id", normalize.dim_developers),
-        "publishers": ("publisher_id", normalize.dim_publishers),
-        "genres": ("genre_id", normalize.dim_genres),
-        "categories": ("category_id", normalize.dim_categories),
-    }
-    for column, (id_col, dimension) in lists.items():
-        entries = normalize.list_entries(games, "appid", column)
-        dim = add(column, dimension(entries))
-        add(f"game_{column}", normalize.bridge(entries, dim, id_col))
-    tags = normalize.map_entries(games, "appid", "tags")
-    dim = add("tags", normalize.dim_tags(tags))
-    add("game_tags", normalize.bridge_tags(tags, dim))
-    add("user_profiles", summaries.user_profiles(user_reviews if user_reviews is not None else reviews))
-    add("game_review_summary", summaries.game_review_summary(reviews))
-    add("developer_stats", summaries.developer_stats(games, tables["game_developers"]))
-    add(
-        "game_price_history",
-        summaries.snapshot_spine(games, "appid", "price", base_date, months_back, discount="discount"),
+    sources = Sources(
+        entries=lambda column: normalize.list_entries(games, "appid", column),
+        tag_entries=lambda: normalize.map_entries(games, "appid", "tags"),
+        games=lambda: games,
+        reviews=lambda: reviews,
+        user_reviews=lambda: user_reviews if user_reviews is not None else reviews,
     )
+    tables: dict[str, DataFrame] = {}
+    for name in DERIVED:
+        built = derived_table(name, sources, tables.__getitem__, base_date, months_back)
+        tables[name] = keep(name, built) if keep else built
     return tables
 
 
@@ -90,9 +119,24 @@ class Store:
     }
 
     def _build(self, name: str) -> DataFrame:
-        table = getattr(self, f"_{name}")()
+        given = {"games": self.catalog.games, "reviews": self.catalog.reviews, "prices": self.catalog.price_history}
+        table = given[name]() if name in given else derived_table(name, self.sources(), self.table)
         return in_key_order(table, *self.KEY_ORDER[name]) if name in self.KEY_ORDER else table
 
+    def sources(self) -> Sources:
+        return Sources(
+            entries=self._entries,
+            tag_entries=lambda: normalize.map_entries(self.catalog.tag_map(), "appid", "tags"),
+            games=self.catalog.games_nested,
+            reviews=self.catalog.reviews,
+            user_reviews=self.catalog.user_reviews,
+        )
+
+    def _entries(self, column: str) -> DataFrame:
+        if column == "developers":
+            return self.catalog.developer_entries()
+        return normalize.list_entries(self.catalog.games_nested(), "appid", column)
+
     # Tables of one step do not read each other.
     STEPS: Sequence[Sequence[str]] = (
         ("games", "reviews", "prices", "developers", "publishers", "genres", "categories", "tags", "user_profiles", "game_review_summary",
@@ -112,67 +156,6 @@ class Store:
         for name in (name for step in self.STEPS for name in step):
             self.table(name).createOrReplaceTempView(f"{prefix}{name}")
 
-    def _games(self) -> DataFrame:
-        return self.catalog.games()
-
-    def _reviews(self) -> DataFrame:
-        return self.catalog.reviews()
-
-    def _prices(self) -> DataFrame:
-        return self.catalog.price_history()
-
-    def _entries(self, column: str) -> DataFrame:
-        if column == "developers":
-            return self.catalog.developer_entries()
-        return normalize.list_entries(self.catalog.games_nested(), "appid", column)
-
-    def _tag_entries(self) -> DataFrame:
-        return normalize.map_entries(self.catalog.tag_map(), "appid", "tags")
-
-    def _developers(self) -> DataFrame:
-        return normalize.dim_developers(self._entries("developers"))
-
-    def _publishers(self) -> DataFrame:
-        return normalize.dim_publishers(self._entries("publishers"))
-
-    def _genres(self) -> DataFrame:
-        return normalize.dim_genres(self._entries("genres"))
-
-    def _categories(self) -> DataFrame:
-        return normalize.dim_categories(self._entries("categories"))
-
-    def _tags(self) -> DataFrame:
-        return normalize.dim_tags(self._tag_entries())
-
-    def _game_developers(self) -> DataFrame:
-        return normalize.bridge(self._entries("developers"), self.table("developers"), "developer_id")
-
-    def _game_publishers(self) -> DataFrame:
-        return normalize.bridge(self._entries("publishers"), self.table("publishers"), "publisher_id")
-
-    def _game_genres(self) -> DataFrame:
-        return normalize.bridge(self._entries("genres"), self.table("genres"), "genre_id")
-
-    def _game_categories(self) -> DataFrame:
-        return normalize.bridge(self._entries("categories"), self.table("categories"), "category_id")
-
-    def _game_tags(self) -> DataFrame:
-        return normalize.bridge_tags(self._tag_entries(), self.table("tags"))
-
-    def _user_profiles(self) -> DataFrame:
-        return summaries.user_profiles(self.catalog.user_reviews())
-
-    def _game_review_summary(self) -> DataFrame:
-        return summaries.game_review_summary(self.catalog.reviews())
-
-    def _developer_stats(self) -> DataFrame:
-        return summaries.developer_stats(self.catalog.games_nested(), self.table("game_developers"))
-
-    def _game_price_history(self) -> DataFrame:
-        return summaries.snapshot_spine(
-            self.catalog.games(), "appid", "price", SNAPSHOT_BASE, 12, discount="discount"
-        )
-
 
 _stores: dict[tuple[str, str], Store] = {}
 
