@@ -1,4 +1,7 @@
-"""Document-pipeline operators (lookup, unwind, group) and queries written with them."""
+"""Document-pipeline operators (lookup, unwind, group) and queries written with them.
+
+Reports of one table need neither; they have one form, in ``relational``.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.scalars import exact_mean, first_item, round_half_up, true_count
-from shelfmark.operators.relational import first_games, left_join, restriction, top
+from shelfmark.functions.scalars import first_item, round_half_up
+from shelfmark.operators.relational import left_join, top
 
 
 def lookup(
@@ -82,13 +85,6 @@ def array_size(df: DataFrame, path: str, alias: str) -> DataFrame:
     return df.withColumn(alias, F.coalesce(F.array_size(path), F.lit(0)).cast("bigint"))
 
 
-def expensive_games(games: DataFrame, min_price: float, limit: int | None = 100) -> DataFrame:
-    return top(
-        games.where(F.col("price") > min_price).select("appid", "name", "price"),
-        [F.desc("price"), F.asc("appid")],
-        limit,
-    )
-
 
 def count_by_genre(game_genres: DataFrame, genres: DataFrame, limit: int | None = 100) -> DataFrame:
     links = game_genres.groupBy("genre_id").agg(F.count(F.lit(1)).alias("links"))
@@ -111,23 +107,6 @@ def games_with_developers(
     return top(rows, [F.asc("appid"), F.asc("developer")], limit)
 
 
-def review_stats_by_game(
-    games: DataFrame, reviews: DataFrame, limit: int | None = 100, min_price: float = 0, games_limit: int = 20
-) -> DataFrame:
-    n = games_limit if limit is None else min(games_limit, limit)
-    only = restriction(first_games(games, min_price, n), n)
-    grouped = (
-        only(reviews, "app_id")
-        .groupBy("app_id")
-        .agg(
-            F.count(F.lit(1)).alias("total_reviews"),
-            true_count(F.col("recommended")).alias("positive_reviews"),
-            exact_mean(F.col("votes_helpful")).alias("mean_votes"),
-        )
-    )
-    rows = grouped.withColumn("avg_helpful_votes", round_half_up(F.col("mean_votes"))).drop("mean_votes")
-    return top(rows, [F.desc("total_reviews"), F.asc("app_id")], limit)
-
 
 def developer_statistics(
     stats: DataFrame, developers: DataFrame, min_games: int = 3, limit: int | None = 100
@@ -144,22 +123,6 @@ def developer_statistics(
     return top(rows, [F.desc("total_games"), F.asc("developer_name")], limit)
 
 
-def price_history_analysis(history: DataFrame, limit: int | None = 100) -> DataFrame:
-    grouped = history.groupBy("game_appid").agg(
-        F.count(F.lit(1)).alias("price_points"),
-        F.min("price").alias("low"),
-        F.max("price").alias("high"),
-        exact_mean(F.col("price")).alias("mean"),
-    )
-    rows = grouped.select(
-        "game_appid",
-        "price_points",
-        round_half_up(F.col("low")).alias("min_price"),
-        round_half_up(F.col("high")).alias("max_price"),
-        round_half_up(F.col("mean")).alias("avg_price"),
-    )
-    return top(rows, [F.desc("price_points"), F.asc("game_appid")], limit)
-
 
 def game_details(
     games: DataFrame,

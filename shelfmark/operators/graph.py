@@ -12,10 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.scalars import exact_mean, round_half_up, true_count
 from shelfmark.operators.normalize import list_entries
 from shelfmark.operators.ordering import first_per_key
-from shelfmark.operators.relational import detail_order, first_games, restriction, top
+from shelfmark.operators.relational import detail_order, top
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -209,10 +208,6 @@ def match(
     return found.unionByName(alone, allowMissingColumns=True)
 
 
-def expensive_games(games: DataFrame, min_price: float, limit: int | None = 100) -> DataFrame:
-    rows = games.where(F.col("price") > min_price).select("appid", "name", "price")
-    return top(rows, [F.desc("price"), F.asc("appid")], limit)
-
 
 def count_by_genre(genre_edges: DataFrame, genres: DataFrame, limit: int | None = 100) -> DataFrame:
     """Edges counted per target first; the match then sees one row per genre."""
@@ -234,51 +229,6 @@ def games_with_developers(
     return top(rows, [F.asc("appid"), F.asc("developer")], limit)
 
 
-def review_stats_by_game(
-    games: DataFrame, reviews: DataFrame, limit: int | None = 100, min_price: float = 0, games_limit: int = 20
-) -> DataFrame:
-    """First step picks games, second matches review nodes by property, third groups."""
-    n = games_limit if limit is None else min(games_limit, limit)
-    only = restriction(first_games(games, min_price, n), n)
-    rows = (
-        only(reviews, "app_id")
-        .groupBy("app_id")
-        .agg(
-            F.count(F.lit(1)).alias("total_reviews"),
-            true_count(F.col("recommended")).alias("positive_reviews"),
-            round_half_up(exact_mean(F.col("votes_helpful"))).alias("avg_helpful_votes"),
-        )
-    )
-    return top(rows, [F.desc("total_reviews"), F.asc("app_id")], limit)
-
-
-def developer_statistics(
-    stats: DataFrame, developers: DataFrame, min_games: int = 3, limit: int | None = 100
-) -> DataFrame:
-    start = stats.where(F.col("total_games") >= min_games)
-    names = developers.select("developer_id", F.col("name").alias("developer_name"))
-    rows = start.join(names, "developer_id").select(
-        "developer_id",
-        "developer_name",
-        "total_games",
-        round_half_up(F.col("avg_game_price")).alias("avg_price"),
-        "total_positive_reviews",
-        "total_negative_reviews",
-    )
-    return top(rows, [F.desc("total_games"), F.asc("developer_name")], limit)
-
-
-def group_prices(history: DataFrame, limit: int | None = 100) -> DataFrame:
-    """Group inside the pattern, then continue with the grouped rows."""
-    grouped = history.groupBy("game_appid").agg(
-        F.count(F.lit(1)).alias("price_points"),
-        F.min("price").alias("min_price"),
-        F.max("price").alias("max_price"),
-        exact_mean(F.col("price")).alias("avg_price"),
-    )
-    rounded = grouped.withColumns({c: round_half_up(F.col(c)) for c in ("min_price", "max_price", "avg_price")})
-    return top(rounded, [F.desc("price_points"), F.asc("game_appid")], limit)
-
 
 def game_details(
     games: DataFrame,
