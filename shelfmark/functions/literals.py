@@ -8,6 +8,8 @@ a set.  While that goes on, noncharacters stand for whatever must not be taken f
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,6 +43,11 @@ def _blank_to_null(text: Column) -> Column:
     return F.when(F.trim(text) != "", text)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` names it; inside lambdas Spark shares nothing."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _one_of(value: Column, choices: dict[str, str], otherwise: Column) -> Column:
     out = None
     for name, stands_for in choices.items():
@@ -67,18 +74,32 @@ def _piece_value(piece: Column) -> Column:
 
 def _string_to_json(token: Column) -> Column:
     plain = F.regexp_replace(token, "^[rRuU]", "")
+    return _let(_let(plain, _body), lambda body: _let(_string_value(token, body), _quoted))
+
+
+def _body(plain: Column) -> Column:
     triple = plain.rlike("(?s)^('''|\"\"\").*('''|\"\"\")$") & (F.length(plain) >= 6)
-    body = F.when(triple, F.substring(plain, F.lit(4), F.length(plain) - 6)).otherwise(F.substring(plain, F.lit(2), F.length(plain) - 2))
+    return F.when(triple, F.substring(plain, F.lit(4), F.length(plain) - 6)).otherwise(F.substring(plain, F.lit(2), F.length(plain) - 2))
+
+
+def _string_value(token: Column, body: Column) -> Column:
     pieces = F.transform(F.regexp_extract_all(body, F.lit(_PIECE), F.lit(0)), _piece_value)
-    whole = F.when(~F.exists(pieces, lambda p: p.isNull()), F.array_join(pieces, ""))
-    value = F.when(token.rlike("^[rR]") | ~F.contains(body, F.lit("\\")), body).otherwise(whole)
-    quoted = F.to_json(F.struct(value.alias("v")))  # {"v":"…"}
-    inside = F.translate(F.substring(quoted, F.lit(7), F.length(quoted) - 8), _STRUCTURE, _IN_STRING)
+    whole = _let(pieces, lambda values: F.when(~F.exists(values, lambda p: p.isNull()), F.array_join(values, "")))
+    return F.when(token.rlike("^[rR]") | ~F.contains(body, F.lit("\\")), body).otherwise(whole)
+
+
+def _quoted(value: Column) -> Column:
+    json = F.to_json(F.struct(value.alias("v")))  # {"v":"…"}
+    inside = _let(json, lambda quoted: F.translate(F.substring(quoted, F.lit(7), F.length(quoted) - 8), _STRUCTURE, _IN_STRING))
     return F.when(value.isNull(), F.lit(_NO)).otherwise(F.concat(F.lit(_OPEN), inside, F.lit(_CLOSE)))
 
 
 def _number_to_json(token: Column) -> Column:
-    plain = F.regexp_replace(token, r"[\s+_]", "")
+    wrong = token.rlike("__|_(?![0-9a-fA-F])|[.eE+-]_")
+    return F.when(wrong, F.lit(_NO)).otherwise(_let(F.regexp_replace(token, r"[\s+_]", ""), _number_value))
+
+
+def _number_value(plain: Column) -> Column:
     sign = F.when(F.startswith(plain, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
     digits = F.regexp_replace(plain, "^-?0[xXoObB]", "")
     whole = None
@@ -89,17 +110,18 @@ def _number_to_json(token: Column) -> Column:
     # Zeros in front are fine for fractions and for zero itself.
     stripped = F.when(plain.rlike(r"[.eE]|^-?0+$"), F.regexp_replace(plain, r"^(-?)0+(?=[0-9])", "$1")).otherwise(plain)
     decimal = F.regexp_replace(F.regexp_replace(stripped, r"^(-?)\.", "$10."), r"\.(?![0-9])", ".0")
-    return F.when(token.rlike("__|_(?![0-9a-fA-F])|[.eE+-]_"), F.lit(_NO)).otherwise(whole.otherwise(decimal))
+    return whole.otherwise(decimal)
 
 
 def _token_to_json(token: Column) -> Column:
     first = F.substring(token, 1, 1)
+    # One sign is the commonest token and no string, number or word.
     return (
-        F.when(token.rlike(f"^{_STRING}$"), _string_to_json(token))
+        F.when((F.length(token) == 1) & F.contains(F.lit(_STRUCTURE), first), token)
+        .when(token.rlike(f"^{_STRING}$"), _string_to_json(token))
         .when(token.rlike(r"^(?:[+-]\s*)?\.?[0-9]"), _number_to_json(token))
         .when(token.rlike("^[A-Za-z_]"), _one_of(token, _WORDS, F.lit(_NO)))
         .when(token.rlike(r"^\s"), F.lit(" "))
-        .when((F.length(token) == 1) & F.contains(F.lit(_STRUCTURE), first), token)
         .otherwise(F.lit(_NO))
     )
 
@@ -107,14 +129,22 @@ def _token_to_json(token: Column) -> Column:
 def _resolved(segment: Column) -> Column:
     """A pair of brackets without any inside, as JSON in signs that are done; other segments as they are."""
     pair = segment.rlike(r"(?s)^[(\[{].*[)\]}]$")
-    begin, end = F.substring(segment, 1, 1), F.substring(segment, -1, 1)
     inner = F.trim(F.substring(segment, F.lit(2), F.length(segment) - 2))
+    out = _let(inner, lambda inside: _let(_without_last_comma(inside), lambda body: _pair_to_json(segment, inside, body)))
+    return F.when(pair, F.translate(out, _STRUCTURE, _DONE)).otherwise(segment)
+
+
+def _without_last_comma(inner: Column) -> Column:
+    return F.when(F.endswith(inner, F.lit(",")), F.trim(F.substring(inner, F.lit(1), F.length(inner) - 1))).otherwise(inner)
+
+
+def _pair_to_json(segment: Column, inner: Column, body: Column) -> Column:
+    begin, end = F.substring(segment, 1, 1), F.substring(segment, -1, 1)
     comma_last = F.endswith(inner, F.lit(","))
-    body = F.when(comma_last, F.trim(F.substring(inner, F.lit(1), F.length(inner) - 1))).otherwise(inner)
-    comma, colon = comma_last | F.contains(inner, F.lit(",")), F.contains(inner, F.lit(":"))
+    comma, colon = F.contains(inner, F.lit(",")), F.contains(inner, F.lit(":"))
     keys = F.regexp_replace(body, rf"(^|,)\s*([^{_OPEN}{_CLOSE},:]+?)\s*:", f"$1{_OPEN}$2{_CLOSE}:")  # numbers as keys
     listed = F.concat(F.lit("["), body, F.lit("]"))
-    out = (
+    return (
         F.when(comma_last & (body == ""), F.lit(_NO))
         .when((begin == "{") & (end == "}"), F.when(colon | (body == ""), F.concat(F.lit("{"), keys, F.lit("}"))).otherwise(listed))
         .when(colon, F.lit(_NO))
@@ -122,7 +152,6 @@ def _resolved(segment: Column) -> Column:
         .when((begin == "(") & (end == ")"), F.when(comma | (body == ""), listed).otherwise(body))
         .otherwise(F.lit(_NO))
     )
-    return F.when(pair, F.translate(out, _STRUCTURE, _DONE)).otherwise(segment)
 
 
 def literal_to_json(text: Column) -> Column:
@@ -135,7 +164,12 @@ def literal_to_json(text: Column) -> Column:
     flat = F.array_join(F.transform(tokens, _token_to_json), "")
     joined = F.regexp_replace(F.regexp_replace(flat, rf"{_CLOSE} ?{_OPEN}", ""), r"set ?\( ?\)", "[]")
     # The text as a whole may be a tuple without brackets.
-    whole = F.concat(F.lit("("), joined, F.lit(")"))
+    resolved = _let(F.concat(F.lit("("), joined, F.lit(")")), _all_resolved)
+    open_again = F.translate(resolved, _IN_STRING + _DONE + _OPEN + _CLOSE, _STRUCTURE + _STRUCTURE + '""')
+    return F.when(~text.rlike("[\ufdd0-\ufdef]"), open_again)
+
+
+def _all_resolved(whole: Column) -> Column:
     depths = F.aggregate(
         F.regexp_extract_all(whole, F.lit(_BRACKETS), F.lit(0)),
         F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
@@ -145,9 +179,7 @@ def literal_to_json(text: Column) -> Column:
         ),
     )
     levels = F.sequence(F.lit(1), F.greatest(depths["most"], F.lit(1)))
-    resolved = F.aggregate(levels, whole, lambda s, _: F.array_join(F.transform(F.regexp_extract_all(s, F.lit(_SEGMENT), F.lit(0)), _resolved), ""))
-    open_again = F.translate(resolved, _IN_STRING + _DONE + _OPEN + _CLOSE, _STRUCTURE + _STRUCTURE + '""')
-    return F.when(~text.rlike("[\ufdd0-\ufdef]"), open_again)
+    return F.aggregate(levels, whole, lambda s, _: F.array_join(F.transform(F.regexp_extract_all(s, F.lit(_SEGMENT), F.lit(0)), _resolved), ""))
 
 
 def _whole(text: Column, ddl: str, **options: str) -> Column:

@@ -13,7 +13,7 @@ from shelfmark.functions.scalars import round_half_up
 from shelfmark.operators import clean, digests, documents, graph, normalize, reconcile, registry, relational, runstats, sketches, summaries
 from shelfmark.operators.ordering import mode_per_key
 from shelfmark.plans.store import DERIVED, SNAPSHOT_BASE, Store, build_normalised, open_store
-from shelfmark.session import materialise, scratch_path, tune
+from shelfmark.session import materialise, scratch_path, spread, tune
 from shelfmark.sources import csv_files, partitioned, sinks
 from shelfmark.sources.catalog import event_number
 from shelfmark.sources.datasets import DATASETS, column_types
@@ -236,7 +236,7 @@ def drop_index_column(store: Store) -> DataFrame:
 @query("parse_nested_columns")
 def parse_nested_columns(store: Store) -> DataFrame:
     types = {"genres": "array<string>", "categories": "array<string>", "tags": "map<string,int>"}
-    parsed = clean.parse_nested_columns(store.catalog.games_text(), types)
+    parsed = clean.parse_nested_columns(spread(store.catalog.games_text()), types)
     return parsed.select(
         "appid",
         F.array_join("genres", "|").alias("genres"),
@@ -262,9 +262,10 @@ def parse_literal_forms(store: Store) -> DataFrame:
         .otherwise(F.concat(F.lit("["), F.array_join(words, ", "), F.lit("]")))  # no literal
     )
     numbers = F.concat(F.lit("{'tens': "), size, F.lit("_0, 'hex': 0x"), F.hex("p_size"), F.lit(", 'pair': (+"), size, F.lit(",),}"))
-    texts = store.catalog.table("part").select("p_partkey", names.alias("words"), numbers.alias("numbers"))
+    parts = spread(store.catalog.table("part").select("p_partkey", "p_name", "p_size"))
+    texts = parts.select("p_partkey", names.alias("words"), numbers.alias("numbers"))
     types = {"words": "array<string>", "numbers": "struct<tens:bigint,hex:bigint,pair:array<bigint>>"}
-    lost = clean.unparsed_rows(texts, types, "p_partkey").select("p_partkey", F.lit(True).alias("unread"))
+    lost = materialise(clean.unparsed_rows(texts, types, "p_partkey").select("p_partkey", F.lit(True).alias("unread")), "unread")
     read = clean.parse_nested_columns(texts, types).join(lost, "p_partkey", "left")
     return read.select(
         "p_partkey", F.array_join("words", "|").alias("words"), "numbers.tens", "numbers.hex", F.get("numbers.pair", F.lit(0)).alias("first"), F.coalesce("unread", F.lit(False)).alias("unread")
@@ -295,7 +296,7 @@ def first_records(store: Store) -> DataFrame:
 @query("unparsed_rows")
 def unparsed_rows(store: Store) -> DataFrame:
     """Texts of the events that are no list; they are dicts all."""
-    events = store.catalog.table("events").select("event_id", "props", F.lit("['a', None]").alias("fine"))
+    events = spread(store.catalog.table("events").select("event_id", "props")).select("*", F.lit("['a', None]").alias("fine"))
     return clean.unparsed_rows(events, {"props": "array<string>", "fine": "array<string>"}, "event_id")
 
 

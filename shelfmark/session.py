@@ -67,6 +67,15 @@ def size_shuffles(spark: SparkSession, path: str) -> None:
         spark.conf.set(_PARTITIONS, str(wanted))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` dealt evenly over a few tasks per core, before a step that computes much per row.
+
+    A scan makes tasks by bytes and by row groups; rows that compress well come in few of either.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get(_PARTITIONS, None) or 0)))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``.
 

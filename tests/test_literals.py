@@ -7,7 +7,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.functions import literals
 from shelfmark.functions.literals import is_unparsed, literal_to_json, parse_literal
+from shelfmark.session import spread
 
 TEXTS = ["", "a", "it's", 'say "so"', "a, b: (c) [d] {e}", "tab\tline\nend", "back\\slash", "é ü 中 😀", "\x07\x1f", "a/b", "None", "x" * 50]
 
@@ -119,3 +121,18 @@ def test_deep_nesting(spark):
 def test_only_non_literals_stay_unread(spark, text):
     frame = spark.createDataFrame([(text,)], "text string").withColumn("v", parse_literal(F.col("text"), "array<string>"))
     assert frame.select(is_unparsed(F.col("text"), F.col("v")).alias("bad"), "v").first() == (True, None)
+
+
+def test_a_literal_names_each_of_its_steps_once(spark):
+    """Inside lambdas Spark computes a value again wherever it is named."""
+    plan = spark.range(1).select(literals.literal_to_json(F.col("id").cast("string")).alias("json"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(literals._PIECE) == 1
+    assert plan.count(literals._SEGMENT) == 1
+    assert plan.count(literals._BRACKETS + ", 0)") == 1
+
+
+def test_spread_rows(spark):
+    rows = spark.range(1000).coalesce(1)
+    dealt = spread(rows)
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 3 * spark.sparkContext.defaultParallelism and max(sizes) < 1000 / 2 and sum(sizes) == 1000
