@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import BROADCAST_ROWS, materialise
 
-# Hashes that a task sorts at a time, and counters that it keeps of them.
-FLUSH, COUNTERS = 4_000_000, 4096
+# Hashes that a task sorts at a time, which bounds the memory of its worker, and counters that it keeps of them.
+FLUSH, COUNTERS = 1_000_000, 4096
 
 
 def key_hash(key: Sequence[str]) -> Column:
@@ -25,16 +25,26 @@ def key_hash(key: Sequence[str]) -> Column:
     return F.xxhash64(nulls, *key)
 
 
-def _in_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    held, n = [], 0
+def _in_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The different hashes of each run of ``FLUSH`` rows, and how often they occur; one buffer takes the rows of every run."""
+    buffer, n = np.empty(FLUSH, np.int64), 0
     for batch in batches:
-        held.append(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
-        n += len(held[-1])
-        if n >= FLUSH:
-            yield np.concatenate(held)
-            held, n = [], 0
+        values = batch.column(0).to_numpy(zero_copy_only=False)
+        while len(values):
+            taken = values[: FLUSH - n]
+            buffer[n : n + len(taken)] = taken
+            n, values = n + len(taken), values[len(taken) :]
+            if n == FLUSH:
+                yield _counted(buffer)
+                n = 0
     if n:
-        yield np.concatenate(held)
+        yield _counted(buffer[:n])
+
+
+def _counted(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    run.sort()
+    starts = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
+    return run[starts], np.diff(starts, append=len(run))
 
 
 def hashes_seen_twice(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int]:
@@ -47,8 +57,7 @@ def hashes_seen_twice(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), hashed.rdd.getNumPartitions())
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in _in_runs(batches):
-            own, counts = np.unique(run, return_counts=True)
+        for own, counts in _in_runs(batches):
             own = np.repeat(own, np.minimum(counts, 2))
             bucket, rest = own % buckets, (own // buckets).astype(np.uint64).astype(np.uint32).view(np.int32)
             order = np.argsort(bucket, kind="stable")
@@ -87,8 +96,7 @@ def frequent_hashes(df: DataFrame, key: Sequence[str], limit: int) -> DataFrame
     hashed = df.select(key_hash(key).alias("h"))
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in _in_runs(batches):
-            own, counts = np.unique(run, return_counts=True)
+        for own, counts in _in_runs(batches):
             order = np.argsort(-counts, kind="stable")
             kept, gone = order[:COUNTERS], order[COUNTERS : COUNTERS + 1]
             yield pa.RecordBatch.from_arrays(

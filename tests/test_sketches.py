@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,3 +56,11 @@ def test_unique_keys_shuffle_their_packed_hashes_only(spark):
     packed = _shuffled(spark) - before
     df.groupBy("k").count().where("count > 1").collect()
     assert packed < _shuffled(spark) - before - packed
+
+
+def test_no_run_of_hashes_is_longer_than_the_buffer(monkeypatch):
+    monkeypatch.setattr(sketches, "FLUSH", 10)
+    batches = [pa.RecordBatch.from_arrays([pa.array([i % 4 for i in range(n)], pa.int64())], names=["h"]) for n in (25, 0, 3, 12)]
+    runs = [dict(zip(own.tolist(), counts.tolist())) for own, counts in sketches._in_runs(iter(batches))]
+    assert [sum(run.values()) for run in runs] == [10] * 4
+    assert sum(map(Counter, runs), Counter()) == Counter(i % 4 for n in (25, 3, 12) for i in range(n))
