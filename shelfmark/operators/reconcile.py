@@ -95,9 +95,17 @@ def json_paths(df: DataFrame, column: str) -> DataFrame:
     ``$`` is a row itself, ``.name`` a field and ``[*]`` any element of an array.  Rows are read as Spark's variants and
     taken apart one level at a time; only the different paths of a level, combined per task, are shuffled.  Text that is
     no JSON has no paths.
+
+    Rows of one type have the same paths and types, so one of them stands for all.  Where the type hides paths, since
+    elements of an array fit none together, every row is taken apart.
     """
     spark = df.sparkSession
-    level = df.select(F.lit("$").alias("path"), F.try_parse_json(column).alias("v")).where("v is not null")
+    typed = df.select(F.col(column).alias("text"), F.schema_of_variant(F.try_parse_json(column)).alias("type")).where("type is not null")
+    hides = F.contains("type", F.lit("VARIANT"))
+    # Rows whose type hides paths are spread by their text and never meet in one group.
+    shown = typed.groupBy("type", F.when(hides, F.col("text")).alias("_own")).agg(F.first("text").alias("text"))
+    shown = materialise(shown.select("text"), "json-types")
+    level = shown.select(F.lit("$").alias("path"), F.try_parse_json("text").alias("v")).where("v is not null")
     found = None
     while True:
         kinds = level.groupBy("path").agg(F.schema_of_variant_agg("v").alias("type"), F.bool_or(_nested("v")).alias("_deeper"))

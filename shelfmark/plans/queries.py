@@ -877,7 +877,7 @@ def field_diff(store: Store) -> DataFrame:
 @query("path_diff")
 def path_diff(store: Store) -> DataFrame:
     """Nested rows of the events, with a renamed inner field, another type, and elements that have one field more."""
-    events, k = store.catalog.table("events"), event_number()
+    events, k = spread(store.catalog.table("events").select("event_id", "event_type", "value", "props")), event_number()
     inner = F.struct(F.col("event_type").alias("kind"), F.col("value"))
     left = events.select(F.to_json(F.struct("event_id", inner.alias("detail"), F.array(F.struct(k.alias("k"))).alias("items"))).alias("row"))
     other = F.struct(F.col("event_type").alias("type"), F.col("value").cast("string").alias("value"))

@@ -46,3 +46,18 @@ def test_json_paths_and_their_difference(spark, rows):
     )
     assert reconcile.path_diff(left, left, "row").count() == 0
     assert reconcile.path_diff(left.limit(0), left.limit(0), "row").count() == 0
+
+
+def test_rows_of_one_type_are_taken_apart_once(spark, rows, monkeypatch):
+    stored = {}
+
+    def counted(df, label, store=reconcile.materialise):
+        out = store(df, label)
+        stored.setdefault(label, out.count())
+        return out
+
+    monkeypatch.setattr(reconcile, "materialise", counted)
+    texts = ['{"a": %d}' % i for i in range(50)] + ['{"b": [1, {"c": %d}, "x"]}' % i for i in range(3)] + ["{", None, "3"]
+    paths = reconcile.json_paths(spark.createDataFrame([(t,) for t in texts], "row string"), "row")
+    assert {r["path"] for r in paths.collect()} == {"$", "$.a", "$.b", "$.b[*]", "$.b[*].c"}
+    assert stored["json-types"] == 1 + 3 + 1
