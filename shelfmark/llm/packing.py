@@ -7,6 +7,7 @@ their rank within a length.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -37,18 +38,32 @@ class PartIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(True)
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # ids of tokens that begin with a space
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
         self.known: dict[str, bytes] = {}
 
+    def _places(self, row: list[str], joined: str) -> np.ndarray:
+        """Where the tokens of each part begin, by their places in the text."""
+        got = self.tokenizer.encode(joined, add_special_tokens=False)
+        ends = np.fromiter((end for _, end in got.offsets), np.int64, len(got.ids))
+        return np.searchsorted(ends, np.cumsum([0] + [len(p) + 1 for p in row[:-1]]), side="right")
+
     def _encode(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part after a space.  They are encoded in rows of many, cut by the tokens' places."""
+        """Ids of each part after a space.  They are encoded in rows of many and cut where a token begins with a space.
+
+        Every part begins so; a row with more such tokens than parts has spaces inside and is cut by the tokens' places.
+        """
         rows = [parts[at : at + _ROW_PARTS] for at in range(0, len(parts), _ROW_PARTS)]
+        joined = [" " + " ".join(row) for row in rows]
         out = []
-        for row, got in zip(rows, self.tokenizer.encode_batch([" " + " ".join(row) for row in rows], add_special_tokens=False)):
+        for row, text, got in zip(rows, joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(got.ids, "<u4")
-            starts = np.cumsum([0] + [len(p) + 1 for p in row])
-            ends = np.fromiter((end for _, end in got.offsets), np.int64, len(ids))
-            cuts = np.searchsorted(ends, starts, side="right")
-            out += [ids[a:b].tobytes() for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+            cuts = np.flatnonzero(self.spaced[ids])
+            if len(cuts) != len(row):
+                cuts = self._places(row, text)
+            edges, raw = [*(4 * cuts).tolist(), 4 * len(ids)], ids.tobytes()
+            out += [raw[a:b] for a, b in zip(edges, edges[1:])]
         return out
 
     def _learn(self, tails: list[list[str]]) -> set[str]:
@@ -65,7 +80,7 @@ class PartIds:
         return missing
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         known, out = self.known, [b""] * len(texts)
@@ -90,6 +105,8 @@ class PartIds:
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> PartIds:
+    """The encoder of a worker.  Tasks share the cores already; threads of the tokenizer's own would only wait for each other."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return PartIds(path)
 
 

@@ -1,8 +1,11 @@
 """Toxicity, MinHash, line dedup, mixing and packing against brute force and on awkward rows."""
 
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -244,6 +247,25 @@ def test_packing_on_awkward_rows(spark):
     assert packing.pack(awkward(spark).limit(0), TOKENIZER).count() == 0
 
 
+def test_a_worker_encodes_without_threads_of_the_tokenizer():
+    code = f"""
+import os
+from shelfmark.llm import packing
+before = len(os.listdir("/proc/self/task"))
+packing._encoder({TOKENIZER!r}).encode([f"text {{i}} of w{{i}}  many" for i in range(5000)])
+print(len(os.listdir("/proc/self/task")) - before)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"PYTHONPATH": os.pathsep.join(sys.path), "RAYON_NUM_THREADS": "4"}
+    assert subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, check=True).stdout == "0\n"
+
+
+def test_rows_with_spaces_inside_a_part_are_cut_by_place():
+    encoder, tokenizer = packing.PartIds(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    parts = ["plain", "in  side", "Ġ", "x y", "漢 \u3000字", "end"]
+    wanted = [np.array(tokenizer.encode(" " + p, add_special_tokens=False).ids, "<u4").tobytes() for p in parts]
+    assert encoder._encode(parts) == wanted
+
+
 def test_packed_sequences_hold_the_ids(spark):
     docs = documents(spark, [BASE, "", LONG])
     placed = packing.pack(docs, TOKENIZER).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
