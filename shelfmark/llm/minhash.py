@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import WordHashes, cased_words, materialise, mix64, rows_of
 from shelfmark.llm.components import connected_components
 
-_HASHES = WordHashes()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -39,9 +38,12 @@ class Banding:
     block: int = 400
 
 
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles; the whole sequence is one shingle if it is shorter."""
-    hashed = _HASHES.of(cased_words(text)) if text else np.empty(0, np.uint64)
+def shingle_set(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles; the whole sequence is one shingle if it is shorter.
+
+    ``hashes`` is the cache of a task: one of a worker's would stay with it through all later steps.
+    """
+    hashed = hashes.of(cased_words(text)) if text else np.empty(0, np.uint64)
     if not len(hashed):
         return hashed
     width = min(words, len(hashed))
@@ -83,11 +85,12 @@ def signatures(docs: DataFrame, banding: Banding, ident: str = "doc_id", text: s
 
     @F.pandas_udf("set_id binary, n_shingles long, keys array<long>")
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
         with np.errstate(over="ignore"):
             for texts in batches:
                 out = []
                 for value in texts:
-                    shingles = shingle_set(value, banding.words)
+                    shingles = shingle_set(value, banding.words, hashes)
                     name = xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
                     out.append((name, len(shingles), sub_keys(shingles, banding) if len(shingles) else None))
                 yield pd.DataFrame(out, columns=["set_id", "n_shingles", "keys"])
@@ -213,10 +216,11 @@ def near_duplicates(
     wanted = members.select("rep").distinct()
 
     def full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
         with np.errstate(over="ignore"):
             for rows in rows_of(batches):
                 for rep, name, value in zip(rows["rep"], rows["set_id"], rows["body"]):
-                    shingles = shingle_set(value, banding.words)
+                    shingles = shingle_set(value, banding.words, hashes)
                     if xxhash.xxh3_128_digest(shingles.tobytes()) == bytes(name):
                         yield pd.DataFrame({"rep": [rep], "n": [len(shingles)], "shingles": [shingles.tobytes()]})
 

@@ -121,18 +121,21 @@ def token_pieces(docs: DataFrame, tokenizer: str, with_ids: bool = True, ident:
     @F.pandas_udf(kind)
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder, end = _encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
-        for texts in batches:
-            values, out = texts.tolist(), []
-            for at in range(0, len(values), 400):
-                for raw in encoder.encode(values[at : at + 400]):
-                    raw += end
-                    n = len(raw) // 4
-                    first = n % CAPACITY or CAPACITY
-                    edges = [0, *range(first, n + 1, CAPACITY)]
-                    parts = [raw[4 * a : 4 * b] for a, b in zip(edges, edges[1:])]
-                    row = [[len(p) // 4 for p in parts], [zlib.crc32(p) for p in parts]]
-                    out.append(row + [[np.frombuffer(p, "<i4") for p in parts]] * with_ids)
-            yield pd.DataFrame(out, columns=["lengths", "crcs", "ids"][: 2 + with_ids])
+        try:
+            for texts in batches:
+                values, out = texts.tolist(), []
+                for at in range(0, len(values), 400):
+                    for raw in encoder.encode(values[at : at + 400]):
+                        raw += end
+                        n = len(raw) // 4
+                        first = n % CAPACITY or CAPACITY
+                        edges = [0, *range(first, n + 1, CAPACITY)]
+                        parts = [raw[4 * a : 4 * b] for a, b in zip(edges, edges[1:])]
+                        row = [[len(p) // 4 for p in parts], [zlib.crc32(p) for p in parts]]
+                        out.append(row + [[np.frombuffer(p, "<i4") for p in parts]] * with_ids)
+                yield pd.DataFrame(out, columns=["lengths", "crcs", "ids"][: 2 + with_ids])
+        finally:  # the worker stays, and with it the memory of what it remembers
+            encoder.known.clear()
 
     zipped = "arrays_zip(lengths, crcs, ids)" if with_ids else "arrays_zip(lengths, crcs)"
     rows = docs.select(F.col(ident).alias(ident), cut(F.col(text)).alias("cut")).select(ident, "cut.*")

@@ -1,5 +1,6 @@
 """Toxicity, MinHash, line dedup, mixing and packing against brute force and on awkward rows."""
 
+import gc
 import math
 import os
 import random
@@ -10,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from llm_helpers import BASE, LONG, awkward, components, documents, near_duplicate_components
@@ -266,6 +268,20 @@ def test_rows_with_spaces_inside_a_part_are_cut_by_place():
     assert encoder._encode(parts) == wanted
 
 
+def test_workers_keep_no_words_after_their_tasks(spark):
+    docs = documents(spark, [" ".join(f"w{i}x{k}" for k in range(500)) for i in range(8)])
+
+    def held(batches):
+        for _ in batches:
+            hashes = sum(len(x) for x in gc.get_objects() if type(x).__name__ == "WordHashes")
+            yield pd.DataFrame({"hashes": [hashes], "parts": [len(packing._encoder(TOKENIZER).known)]})
+
+    minhash.near_duplicates(docs, minhash.Banding(words=3, percent=85)).collect()
+    packing.pack(docs, TOKENIZER).collect()
+    got = spark.range(0, 64, 1, 16).mapInPandas(held, "hashes long, parts long").collect()
+    assert {tuple(r) for r in got} == {(0, 0)}
+
+
 def test_packed_sequences_hold_the_ids(spark):
     docs = documents(spark, [BASE, "", LONG])
     placed = packing.pack(docs, TOKENIZER).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
