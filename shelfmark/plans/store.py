@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.operators import normalize, summaries
-from shelfmark.session import scratch_root, size_shuffles
+from shelfmark.session import bound_tasks, scratch_root, size_shuffles
 from shelfmark.sources.catalog import Catalog
 from shelfmark.sources.sinks import in_key_order, prepared
 
@@ -162,6 +162,7 @@ _stores: dict[tuple[str, str], Store] = {}
 
 def open_store(spark: SparkSession, folder: str) -> Store:
     """The store of this application for a folder."""
+    bound_tasks(spark)
     key = (spark.sparkContext.applicationId, folder.rstrip("/"))
     if key not in _stores:
         size_shuffles(spark, folder)

@@ -47,24 +47,46 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Bytes of files that one task scans at most, and of a shuffle that adaptive execution gathers for one task at most.
+# Two columns of whole numbers take four bytes a row in a stored table in key order and ten in a shuffle, and a hundred
+# or more in the hash table of an aggregate: with Spark's 128 MB and 64 MB that is gigabytes in one task.
+TASK_BYTES = 8 << 20
+_CEILINGS = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def bound_tasks(spark: SparkSession) -> None:
+    """Lower Spark's sizes of scan and shuffle partitions to ``TASK_BYTES``, so that more input makes more tasks.
+
+    Smaller values stay.
+    """
+    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key in _CEILINGS:
+        if as_bytes(spark.conf.get(key)) > TASK_BYTES:
+            spark.conf.set(key, f"{TASK_BYTES}b")
+
+
 # Bytes that one shuffle partition should hold, and how much larger rows are there than in compressed files.
-PARTITION_BYTES, EXPANSION = 200 << 20, 3
+PARTITION_BYTES, EXPANSION = 64 << 20, 3
 _PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
+_sized: dict[str, str] = {}  # the number set here, by application
+
 
 def size_shuffles(spark: SparkSession, path: str) -> None:
     """Let shuffles start with as many partitions as the files below ``path`` call for.
 
     Adaptive execution merges those that turn out small.  A number that the
-    user has set stays.
+    user has set stays; one set for a smaller folder grows.
     """
-    if spark.conf.get(_PARTITIONS, None):
+    app, known = spark.sparkContext.applicationId, spark.conf.get(_PARTITIONS, None)
+    if known and known != _sized.get(app):
         return
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     total = files.agg(F.sum("length")).first()[0] or 0  # file lengths only; no content is read
     wanted = -(-total * EXPANSION // PARTITION_BYTES)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+    if wanted > max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(known or 0)):
         spark.conf.set(_PARTITIONS, str(wanted))
+        _sized[app] = str(wanted)
 
 
 def spread(df: DataFrame) -> DataFrame:
