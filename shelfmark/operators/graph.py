@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.normalize import list_entries
 from shelfmark.operators.ordering import first_per_key
-from shelfmark.operators.relational import detail_order, top
+from shelfmark.operators.relational import detail_order, restriction, top
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -239,12 +239,15 @@ def game_details(
 ) -> DataFrame:
     """Optional matches per pattern (edges, nodes, node key, output column), one after the other.
 
-    With a limit the games are cut first, as each gives a row at least.
+    With a limit the games are cut first, as each gives a row at least, and
+    edges are made distinct and matched for these games only.
     """
     rows = games.where(F.col("price").between(low, high)).select("appid", F.col("name").alias("game_name"))
     names = [out for *_, out in patterns]
     if limit is not None:
         rows = top(rows, [F.asc("appid")], limit)
+        only = restriction(rows.where(F.col("appid").isNotNull()), limit)
+        patterns = [(only(edges, "src"), *rest) for edges, *rest in patterns]
     for step, (edges, nodes, key, out) in enumerate(patterns, start=1):
         found = match(rows, "appid", edges, nodes, key, "_node", ["name"], optional=True)
         rows = found.withColumn(out, F.col("_node.name")).drop("_node")

@@ -129,3 +129,20 @@ def test_detach_delete_keeps_null_labels(spark, rows):
     edges = spark.createDataFrame([(None, 2, "R", "B", 3), ("A", 1, "R", None, 2)], "src_label string, src int, rel_type string, dst_label string, dst int")
     left, kept = graph.detach_delete(nodes, edges, ["A"])
     assert rows(left, "key") == [(2,)] and rows(kept, "src", "dst") == [(2, 3)]
+
+
+def test_game_details_take_edges_of_the_first_games_only(spark, rows, tmp_path):
+    """The links are filtered before they are made distinct; games without an id or a link stay."""
+    links = [(g, t) for g in range(1, 60) for t in (g % 3, g % 3, 7)] + [(None, 1)]
+    spark.createDataFrame(links, "game bigint, dev bigint").write.parquet(str(tmp_path / "links"))
+    games = spark.createDataFrame([(None, "z", 1.0), (99, "y", 1.0), *[(g, f"g{g}", 1.0) for g in range(2, 50)]], "appid bigint, name string, price double")
+    devs = spark.createDataFrame([(0, "a"), (1, "b"), (2, None), (8, "c")], "dev bigint, name string")
+    edges = graph.edges_from_bridge(spark.read.parquet(str(tmp_path / "links")), "game", "dev", "BY", games, "appid", devs, "dev")
+    patterns = [(edges, devs, "dev", "developer"), (edges, devs, "dev", "again")]
+    cut = graph.game_details(games, patterns, 0, 2, 4)
+    assert [tuple(r) for r in cut.collect()] == [(None, "z", None, None), (2, "g2", None, None), (3, "g3", "a", "a"), (4, "g4", "b", "b")]
+    assert [tuple(r) for r in cut.collect()] == [tuple(r) for r in graph.game_details(games, patterns, 0, 2, None).collect()[:4]]
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet [game" in line]
+    assert scans and all("In(game, [2,3,4])" in line for line in scans)
+    assert rows(graph.game_details(games.where("appid IS NULL"), patterns, 0, 2, 4)) == [(None, "z", None, None)]
