@@ -15,6 +15,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,14 +26,52 @@ CAPACITY = 1024
 END_ID = 2
 _LONG_PART = 64
 _ROW_PARTS = 200
+_BLOCK_CHARS = 8_000_000
 _ROWS_PER_SALT = 500_000
 # A text may be cut before a single space between characters that aren't white space: byte-level BPE of this kind
-# always begins a token there, so the parts can be encoded, and remembered, one by one.
+# always begins a token there, so the parts can be encoded one by one.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_TOUCHES_WHITE = f"^$|^[{_WHITE}]|[{_WHITE}]$"
+# Inside a part the same holds before a single line break, and where a letter is followed by a sign or digit of ASCII: no
+# token holds both, and none depends on what stands before it.
+_SIGN_JOINT, _LINE_JOINT = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-@\[-`{-~])", r"([!-~À-ÖØ-öø-ÿ])(\n[!-~À-ÖØ-öø-ÿ])"
+
+
+def _at_spaces(texts: list[str]) -> pa.Array:
+    return pc.split_pattern(pa.array(texts, pa.string()), " ")
+
+
+def _at_single_spaces(texts: list[str]) -> pa.Array:
+    return pa.array([_CUT.split(text) for text in texts], pa.list_(pa.string()))
+
+
+def _strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def _heads_and_tails(lists: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """The first value of each list, all others, and how many values each list has."""
+    values, edges = lists.flatten(), lists.offsets.to_numpy()
+    first = np.zeros(len(values), bool)
+    first[edges[:-1]] = True
+    return values.filter(pa.array(first)), values.filter(pa.array(~first)), np.diff(edges)
+
+
+def _gather(ids: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``ids`` hold the ids of entries, ``sizes`` of them each; the same for the entries in the given order."""
+    starts, wanted = (np.cumsum(sizes) - sizes)[order], sizes[order]
+    places = np.repeat(starts - np.cumsum(wanted) + wanted, wanted)
+    places += np.arange(len(places))
+    return ids[places], wanted
 
 
 class PartIds:
-    """Token ids of texts as little-endian 32-bit bytes; the ids of space-separated parts are remembered."""
+    """Token ids of texts as little-endian 32-bit bytes.
+
+    Texts are cut into parts at spaces, and parts into a word and the pieces behind it; each different word is encoded
+    once a call, and the ids of the pieces are remembered.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -39,8 +79,10 @@ class PartIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab(True)
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # ids of tokens that begin with a space
-        self.spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self.begins = {}  # whether a token begins with a space, or with a line break
+        for mark, letter in ((" ", "Ġ"), ("\n", "Ċ")):
+            self.begins[mark] = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.begins[mark][[i for token, i in vocabulary.items() if token.startswith(letter)]] = True
         self.known: dict[str, bytes] = {}
 
     def _places(self, row: list[str], joined: str) -> np.ndarray:
@@ -49,54 +91,93 @@ class PartIds:
         ends = np.fromiter((end for _, end in got.offsets), np.int64, len(got.ids))
         return np.searchsorted(ends, np.cumsum([0] + [len(p) + 1 for p in row[:-1]]), side="right")
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part after a space.  They are encoded in rows of many and cut where a token begins with a space.
+    def _rows(self, parts: pa.Array, mark: str = " ") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, each after a mark, and how many each has.  They are encoded in rows of many and cut where a
+        token begins with the mark.
 
-        Every part begins so; a row with more such tokens than parts has spaces inside and is cut by the tokens' places.
+        Every part begins so; a row with more such tokens than parts has marks inside and is cut by the tokens' places.
         """
-        rows = [parts[at : at + _ROW_PARTS] for at in range(0, len(parts), _ROW_PARTS)]
-        joined = [" " + " ".join(row) for row in rows]
-        out = []
-        for row, text, got in zip(rows, joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(got.ids, "<u4")
-            cuts = np.flatnonzero(self.spaced[ids])
-            if len(cuts) != len(row):
-                cuts = self._places(row, text)
-            edges, raw = [*(4 * cuts).tolist(), 4 * len(ids)], ids.tobytes()
-            out += [raw[a:b] for a, b in zip(edges, edges[1:])]
-        return out
-
-    def _learn(self, tails: list[list[str]]) -> set[str]:
-        """Make every part known; parts that touch white space are None, as they don't stand alone."""
-        known, every = self.known, set().union(*tails)
-        missing = every.difference(known)
-        if len(known) + len(missing) > CACHE_WORDS:
-            known.clear()
-            missing = every
-        odd = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
-        row = list(missing - odd)
-        known.update(zip(row, self._encode(row)))
-        known.update(dict.fromkeys(odd))
-        return missing
+        edges = np.append(np.arange(0, len(parts), _ROW_PARTS), len(parts))
+        rows = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), parts), pa.scalar(mark, pa.string()))
+        ids, sizes = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+        for row, a, b in zip(_strings(rows), edges.tolist(), edges[1:].tolist()):
+            got = np.array(self._ids([mark + row])[0], "<u4")
+            cuts = np.flatnonzero(self.begins[mark][got])
+            if len(cuts) != b - a:
+                cuts = self._places(_strings(parts[a:b]), mark + row)
+            ids.append(got)
+            sizes.append(np.diff(cuts, append=len(got)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _encode(self, parts: list[str], mark: str = " ") -> list[bytes]:
+        ids, sizes = self._rows(pa.array(parts, pa.string()), mark)
+        edges, raw = [0, *(4 * np.cumsum(sizes)).tolist()], ids.tobytes()
+        return [raw[a:b] for a, b in zip(edges, edges[1:])]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(x, "<u4").tobytes() for at in range(0, len(texts), 100) for x in self._ids(texts[at : at + 100])]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that stand behind a word: a line break and what follows it, or what begins with a sign or digit."""
+        known = self.known
+        new = [p for p in pieces if p not in known]
+        if len(known) + len(new) > CACHE_WORDS:
+            known.clear()
+            new = pieces
+        # A line break is one token; pieces without one of their own are encoded behind one, which then goes.
+        found = self._encode([p.removeprefix("\n") for p in new], "\n")
+        known.update((p, ids if p[0] == "\n" else ids[4:]) for p, ids in zip(new, found))
+        return [known[p] for p in pieces]
+
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct parts after a space, how many each has, and which touch white space: they don't stand alone."""
+        odd = pc.match_substring_regex(parts, _TOUCHES_WHITE).to_numpy(zero_copy_only=False)
+        cut = ~odd & (pc.utf8_length(parts).to_numpy() <= _LONG_PART) & ~pc.match_substring(parts, " ").to_numpy(zero_copy_only=False)
+        marked = parts.filter(pa.array(cut))
+        for joint in (_SIGN_JOINT, _LINE_JOINT, _LINE_JOINT):  # lines of one character share it with both neighbours
+            marked = pc.replace_substring_regex(marked, joint, r"\1 \2")
+        heads, tails, counts = _heads_and_tails(pc.split_pattern(marked, " "))
+        words = pa.concat_arrays([heads, parts.filter(pa.array(~cut & ~odd))]).dictionary_encode()
+        pieces = tails.dictionary_encode()
+        ids, sizes = self._rows(words.dictionary)
+        found = self._pieces(_strings(pieces.dictionary))
+        ids = np.concatenate([ids, np.frombuffer(b"".join(found), "<u4")])
+        sizes = np.concatenate([sizes, np.fromiter(map(len, found), np.int64, len(found)) // 4, [0]])  # the last: no ids
+        many = np.ones(len(parts), np.int64)
+        many[cut] = counts
+        first = np.cumsum(many) - many
+        order = np.full(many.sum(), -1)
+        order[np.concatenate([first[cut], first[~cut & ~odd]])] = words.indices.to_numpy()
+        order[np.setdiff1d(np.arange(len(order)), first, assume_unique=True)] = len(words.dictionary) + pieces.indices.to_numpy()
+        ids, sizes = _gather(ids, sizes, order)
+        return ids, np.add.reduceat(sizes, first) if len(first) else sizes, odd
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        known, out = self.known, [b""] * len(texts)
+        out = [b""] * len(texts)
         left = [k for k, text in enumerate(texts) if text]
-        for cutter in (lambda text: text.split(" "), _CUT.split):
-            cut = [cutter(texts[k]) for k in left]
-            new = self._learn([parts[1:] for parts in cut])
-            again = []
-            for k, parts, head in zip(left, cut, self._whole([parts[0] for parts in cut])):
-                try:
-                    out[k] = head + b"".join(map(known.__getitem__, parts[1:]))
-                except TypeError:
-                    again.append(k)
-            for p in new:
-                if len(p) > _LONG_PART:
-                    del known[p]
+        for cutter in (_at_spaces, _at_single_spaces):
+            if not left:
+                break
+            heads, tails, counts = _heads_and_tails(cutter([texts[k] for k in left]))
+            tails = tails.dictionary_encode()
+            own, sizes, odd = self._parts(tails.dictionary)
+            order, ends = tails.indices.to_numpy(), np.append(0, np.cumsum(counts - 1))
+            heads, again = self._whole(_strings(heads)), []
+            for at in range(0, len(left), 100):
+                edges = ends[at : at + 101]
+                row = order[edges[0] : edges[-1]]
+                ids, wanted = _gather(own, sizes, row)
+                edges, raw = edges - edges[0], ids.tobytes()
+                places = 4 * np.append(0, np.cumsum(wanted))[edges]
+                odds = np.diff(np.append(0, np.cumsum(odd[row]))[edges])
+                for k, head, a, b, n in zip(left[at : at + 100], heads[at : at + 100], places.tolist(), places[1:].tolist(), odds.tolist()):
+                    if n:
+                        again.append(k)
+                    else:
+                        out[k] = head + raw[a:b]
             left = again
         for k, ids in zip(left, self._whole([texts[k] for k in left])):
             out[k] = ids
@@ -110,6 +191,20 @@ def _encoder(path: str) -> PartIds:
     return PartIds(path)
 
 
+def _blocks(batches: Iterator[pd.Series]) -> Iterator[list[str | None]]:
+    """The texts in lists of some size, as the words of a list are encoded once."""
+    held, chars = [], 0
+    for texts in batches:
+        for text in texts.tolist():
+            held.append(text)
+            chars += len(text or "")
+            if chars >= _BLOCK_CHARS:
+                yield held
+                held, chars = [], 0
+    if held:
+        yield held
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, with_ids: bool = True, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """``(ident, piece, start, length, ids_crc32[, ids])``: the ids of every text and the end id, cut where too long.
 
@@ -122,10 +217,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, with_ids: bool = True, ident:
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder, end = _encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
         try:
-            for texts in batches:
-                values, out = texts.tolist(), []
-                for at in range(0, len(values), 400):
-                    for raw in encoder.encode(values[at : at + 400]):
+            for values in _blocks(batches):
+                coded = encoder.encode(values)
+                for at in range(0, len(values), 1000):
+                    out = []
+                    for raw in coded[at : at + 1000]:
                         raw += end
                         n = len(raw) // 4
                         first = n % CAPACITY or CAPACITY
@@ -133,9 +229,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, with_ids: bool = True, ident:
                         parts = [raw[4 * a : 4 * b] for a, b in zip(edges, edges[1:])]
                         row = [[len(p) // 4 for p in parts], [zlib.crc32(p) for p in parts]]
                         out.append(row + [[np.frombuffer(p, "<i4") for p in parts]] * with_ids)
-                yield pd.DataFrame(out, columns=["lengths", "crcs", "ids"][: 2 + with_ids])
+                    yield pd.DataFrame(out, columns=["lengths", "crcs", "ids"][: 2 + with_ids])
         finally:  # the worker stays, and with it the memory of what it remembers
             encoder.known.clear()
+            pa.default_memory_pool().release_unused()
 
     zipped = "arrays_zip(lengths, crcs, ids)" if with_ids else "arrays_zip(lengths, crcs)"
     rows = docs.select(F.col(ident).alias(ident), cut(F.col(text)).alias("cut")).select(ident, "cut.*")

@@ -268,6 +268,47 @@ def test_rows_with_spaces_inside_a_part_are_cut_by_place():
     assert encoder._encode(parts) == wanted
 
 
+class CountingTokenizer:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.chars = tokenizer, 0
+
+    def encode(self, text, **options):
+        self.chars += len(text)
+        return self.tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.chars += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def _plain_ids(texts):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    return [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_word_is_encoded_once_whatever_signs_follow_it():
+    words = [f"{a}{b}straße" for a in "abcdefghij" for b in "klmnopqrst"]
+    texts = [" ".join(["start", *(w + s for w in words)]) for s in ("", ",", ".", "!?", "'s", "-x", "2", ".\nNext", "\nNext.")]
+    encoder = packing.PartIds(TOKENIZER)
+    encoder.tokenizer = counting = CountingTokenizer(encoder.tokenizer)
+    assert encoder.encode(texts) == _plain_ids(texts)
+    assert counting.chars < 2 * sum(len(w) + 1 for w in words)
+
+
+def test_ids_of_texts_of_signs_and_white_space():
+    draw = random.Random(5)
+    letters = ["ab \n.'s", "aéß×÷ªº1., ’\n", "ab \t\n\r\x1c\x1f\x85\xa0", "漢\u3000\u180e\ufeffe\u0301,\nЖ²½٣Ⅷ ", "\x00a.b \n"]
+    texts = ["".join(draw.choices(draw.choice(letters), k=draw.randrange(40))) for _ in range(3000)]
+    assert packing.PartIds(TOKENIZER).encode(texts) == _plain_ids(texts)
+
+
+def test_blocks_hold_all_texts_in_order(monkeypatch):
+    monkeypatch.setattr(packing, "_BLOCK_CHARS", 10)
+    batches = [pd.Series(["abc", None, "", "x" * 25], dtype=object), pd.Series([], dtype=object), pd.Series(["d", "efg"], dtype=object)]
+    assert list(packing._blocks(iter(batches))) == [["abc", None, "", "x" * 25], ["d", "efg"]]
+
+
 def test_workers_keep_no_words_after_their_tasks(spark):
     docs = documents(spark, [" ".join(f"w{i}x{k}" for k in range(500)) for i in range(8)])
 
